@@ -56,7 +56,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     h = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(dlon / 2), 2
     )
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    # clamp without `least`, which would skip a null (unknown place) and return 1
+    clamped = F.when(h > F.lit(1.0), F.lit(1.0)).otherwise(h)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(clamped))
 
 
 def details(*pairs: tuple[str, str | Column]) -> Column:

@@ -134,14 +134,17 @@ p AS (
   FROM s WINDOW w AS (PARTITION BY user_name ORDER BY ts, req_id)),
 c AS (
   SELECT *, {SEC('ts')} - {SEC('pts')} AS seconds_between,
-    CAST({2 * K.EARTH_RADIUS_KM} AS DOUBLE) * asin(sqrt(least(1.0,
-      pow(sin(radians(lat - plat) / 2), 2)
-      + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))) AS dist
-  FROM p)
+    pow(sin(radians(lat - plat) / 2), 2)
+      + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2) AS h
+  FROM p),
+c2 AS (
+  SELECT *, CAST({2 * K.EARTH_RADIUS_KM} AS DOUBLE)
+    * asin(sqrt(CASE WHEN h > 1.0 THEN 1.0 ELSE h END)) AS dist
+  FROM c)
 SELECT user_name AS "user", req_id, pc AS previous_country, country AS current_country,
   pts AS previous_login_ts, ts AS current_login_ts, seconds_between,
   round(dist, 1) AS distance_km, round(dist / (seconds_between / 3600.0), 1) AS required_speed_kmh
-FROM c
+FROM c2
 WHERE pc IS NOT NULL AND country <> pc AND seconds_between > 0
   AND seconds_between <= {K.TRAVEL_MAX_SECONDS} AND dist IS NOT NULL
   AND dist / (seconds_between / 3600.0) > {K.TRAVEL_MAX_SPEED_KMH}
