@@ -83,7 +83,8 @@ def run_detections(
             counts[table] = int(obs.get["rows"])
             LOG.info("Detection %s wrote %s rows", table, counts[table])
             if table in consumers and format in FILE_FORMATS:
-                return spark.read.format(format).load(target(table))
+                # the known schema also covers a table written with no rows
+                return spark.read.schema(df.schema).format(format).load(target(table))
             return df
         if table in requested:  # dry run: count only, keep for consumers
             kept = df.persist(StorageLevel.MEMORY_AND_DISK) if table in consumers else df
