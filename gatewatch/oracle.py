@@ -433,3 +433,162 @@ def detection_sql(table: str) -> str:
 
 def detection_sqls() -> dict[str, str]:
     return {t: detection_sql(t) for t in META}
+
+
+# ---------------------------------------------------------------- operators on their own
+
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+_TS_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+OPERATOR_CORE: dict[str, str] = {}
+
+OPERATOR_CORE["dedup_latest_lineitem"] = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in _LI_REST)}) AS rn
+  FROM lineitem) x WHERE rn = 1
+"""
+
+OPERATOR_CORE["asof_latest_login"] = """
+SELECT a.usage_id, a.user_name AS "user", a.ts AS app_ts, l.login_ts, l.login_req_id
+FROM app a LEFT JOIN (
+  SELECT a2.usage_id, o.ts AS login_ts, o.req_id AS login_req_id,
+    row_number() OVER (PARTITION BY a2.usage_id ORDER BY o.ts DESC, o.req_id DESC) AS rn
+  FROM app a2 JOIN auth o ON o.user_name = a2.user_name AND o.ts <= a2.ts) l
+  ON l.usage_id = a.usage_id AND l.rn = 1
+"""
+
+OPERATOR_CORE["asof_next_use"] = """
+SELECT o.req_id, o.user_name AS "user", o.ts AS login_ts, n.app_ts, n.next_usage_id
+FROM auth o LEFT JOIN (
+  SELECT o2.req_id, a.ts AS app_ts, a.usage_id AS next_usage_id,
+    row_number() OVER (PARTITION BY o2.req_id ORDER BY a.ts ASC, a.usage_id ASC) AS rn
+  FROM auth o2 JOIN app a ON a.user_name = o2.user_name AND a.ts >= o2.ts) n
+  ON n.req_id = o.req_id AND n.rn = 1
+"""
+
+OPERATOR_CORE["interval_login_app_pairs"] = f"""
+SELECT o.req_id, a.usage_id, a.user_name AS "user", {SEC('a.ts')} - {SEC('o.ts')} AS seconds_after
+FROM auth o JOIN app a ON a.user_name = o.user_name AND a.ts > o.ts
+  AND {SEC('a.ts')} - {SEC('o.ts')} <= 600
+"""
+
+OPERATOR_CORE["unmatched_directory_requests"] = """
+SELECT d.event_id, d.user_name AS "user", d.request_id, d.action FROM dir d
+WHERE NOT EXISTS (SELECT 1 FROM req r WHERE r.req_id = d.request_id AND r.user_name = d.user_name)
+"""
+
+OPERATOR_CORE["rolling_daily_events"] = """
+WITH daily AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1, 2)
+SELECT d.event_type, CAST(d.day AS VARCHAR) AS day, d.events, avg(h.events) AS rolling_average,
+  count(h.events) AS history_days
+FROM daily d LEFT JOIN daily h ON h.event_type = d.event_type
+  AND h.day >= d.day - 7 AND h.day <= d.day - 1
+GROUP BY d.event_type, d.day, d.events
+"""
+
+OPERATOR_CORE["event_sequences"] = """
+WITH s AS (
+  SELECT event_id, user_id, ts, event_type, lag(event_type) OVER w AS p, lead(event_type) OVER w AS n
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, user_id, ts FROM s WHERE p = 'view' AND event_type = 'click' AND n = 'purchase'
+"""
+
+OPERATOR_CORE["login_moves"] = f"""
+WITH s AS (SELECT *, CASE country {_LAT} END AS lat, CASE country {_LON} END AS lon FROM auth),
+p AS (
+  SELECT *, lag(country) OVER w AS pc, lag(ts) OVER w AS pts, lag(lat) OVER w AS plat,
+    lag(lon) OVER w AS plon
+  FROM s WINDOW w AS (PARTITION BY user_name ORDER BY ts, req_id)),
+c AS (
+  SELECT *, {SEC('ts')} - {SEC('pts')} AS seconds_between,
+    pow(sin(radians(lat - plat) / 2), 2)
+      + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2) AS h
+  FROM p),
+c2 AS (
+  SELECT *, CAST({2 * K.EARTH_RADIUS_KM} AS DOUBLE)
+    * asin(sqrt(CASE WHEN h > 1.0 THEN 1.0 ELSE h END)) AS dist FROM c)
+SELECT req_id, user_name AS "user", pc AS previous_place, seconds_between,
+  round(dist, 3) AS distance_km,
+  round(CASE WHEN seconds_between = 0 THEN NULL ELSE dist / (seconds_between / 3600.0) END, 3)
+    AS required_speed_kmh
+FROM c2
+"""
+
+OPERATOR_CORE["order_priority_drift"] = """
+WITH f AS (SELECT o_custkey, o_orderpriority AS first_priority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC, o_orderkey ASC) AS rn
+    FROM orders WHERE o_orderdate IS NOT NULL) x WHERE rn = 1),
+l AS (SELECT o_custkey, o_orderpriority AS latest_priority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderdate IS NOT NULL) x WHERE rn = 1),
+g AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS distinct_priorities,
+      min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders GROUP BY 1)
+SELECT g.o_custkey, f.first_priority, l.latest_priority, g.distinct_priorities, g.first_order,
+  g.last_order
+FROM g LEFT JOIN f ON f.o_custkey = g.o_custkey LEFT JOIN l ON l.o_custkey = g.o_custkey
+"""
+
+OPERATOR_CORE["supplier_line_rates"] = """
+SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R') AS returned,
+  count(*) FILTER (WHERE l_linestatus = 'O') AS open_lines, count(*) AS lines,
+  max(l_shipdate) AS last_ship,
+  CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / count(*) AS return_rate
+FROM lineitem GROUP BY l_suppkey
+"""
+
+OPERATOR_CORE["daily_event_variety"] = f"""
+SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {SET('event_type')} AS type_set,
+  min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT event_type) AS types
+FROM events GROUP BY user_id, CAST(ts AS DATE) HAVING count(DISTINCT event_type) > 3
+"""
+
+_CUST_LEVEL = " ".join(f"WHEN coalesce(a.risk_score, 0) >= {t} THEN '{n}'" for n, t in K.RISK_LEVELS)
+OPERATOR_CORE["customer_scores"] = f"""
+WITH pop AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS u FROM customer),
+contrib AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS u, 'open_order' AS f, 1 AS w FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'urgent_order', 3 FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'large_order', 2 FROM orders WHERE o_totalprice > 300000),
+agg AS (SELECT u, CAST(sum(w) AS BIGINT) AS risk_score, {SET('f')} AS risk_factors,
+        count(*) AS finding_count FROM contrib WHERE {NB('u')} GROUP BY u)
+SELECT pop.u AS "user", coalesce(a.risk_score, 0) AS risk_score, a.risk_factors,
+  coalesce(a.finding_count, 0) AS finding_count,
+  CASE {_CUST_LEVEL} ELSE '{K.RISK_LEVEL_DEFAULT}' END AS risk_level
+FROM pop LEFT JOIN agg a ON a.u = pop.u
+WHERE {NB('pop.u')}
+"""
+
+OPERATOR_CORE["order_finding_ids"] = """
+SELECT o_orderkey, o_orderstatus, o_orderdate, 'order_check' AS detection_name,
+  sha256(concat_ws('||', 'order_check', coalesce(CAST(o_orderkey AS VARCHAR), ''),
+                   coalesce(CAST(o_orderstatus AS VARCHAR), ''))) AS finding_id,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS event_date, 'fixture-run' AS pipeline_run_id
+FROM orders
+"""
+
+OPERATOR_CORE["page_identifiers"] = """
+SELECT page_id, coalesce(nullif(substring(regexp_replace(regexp_replace(trim(url),
+    '[^a-zA-Z0-9_-]+', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), 1, 63), ''), 'manual') AS identifier
+FROM pages
+"""
+
+OPERATOR_CORE["envelope_round_trip"] = f"""
+SELECT req_id, user_name AS "user", {_TS_TEXT} AS ts, country, mfa, status, session_id,
+  'fixture-run' AS _pipeline_run_id
+FROM auth
+"""
+
+OPERATOR_CORE["aligned_logins"] = f"""
+SELECT req_id, user_name AS "user", {_TS_TEXT} AS ts, CAST(NULL AS VARCHAR) AS device,
+  CAST(NULL AS VARCHAR) AS ip, country, mfa, status, session_id,
+  CAST(NULL AS VARCHAR) AS _pipeline_run_id, CAST(NULL AS VARCHAR) AS _pubsub_message_id,
+  CAST(NULL AS VARCHAR) AS _ingested_at
+FROM auth
+"""
+
+
+def operator_sqls() -> dict[str, str]:
+    w = duckdb_with_clause()
+    return {k: f"{w}\nSELECT * FROM ({v.strip()}) q" for k, v in OPERATOR_CORE.items()}
