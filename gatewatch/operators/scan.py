@@ -47,17 +47,20 @@ def asof_join(
     *,
     bucket_of,
     direction: str = "backward",
+    inclusive: bool = True,
     out: str = "asof_value",
 ) -> DataFrame:
     """As-of lookup without pairing rows.
 
     For every left row, `out` is the max (backward) or min (forward) of
-    `value` over right rows with equal `by` columns and
-    `right_key <= left_key` (backward) or `right_key >= left_key` (forward).
-    `value` must order like `right_key` (make it a struct whose first field
-    is the right key; later fields break ties). Right rows with a null key or
-    null `by` never match; left rows with null `by` or key get null.
-    `bucket_of(col)` maps a key column to a monotone long bucket id.
+    `value` over right rows with equal `by` columns and `right_key <=
+    left_key` (backward) or `right_key >= left_key` (forward); with
+    `inclusive=False` the comparison is strict. Give `value` as a struct whose
+    first field is the right key to get the latest (earliest) right row, later
+    fields breaking ties. Keys may be any orderable type (timestamps, longs,
+    structs); `bucket_of(key)` must map them monotonically to long bucket ids.
+    Right rows with a null key or null `by` never match; left rows with a null
+    `by` or key get null.
 
     Returns `left` with one extra column `out`; the row count is unchanged.
     """
@@ -79,12 +82,21 @@ def asof_join(
     )
     both = l.unionByName(r, allowMissingColumns=True).withColumn("_b", bucket_of(F.col("_k")))
 
+    # level 1: running extreme inside each (key, bucket) chunk; at equal keys
+    # right rows come first when inclusive, after the left row when strict
     key_order = F.col("_k").asc_nulls_first() if backward else F.col("_k").desc_nulls_last()
+    side_order = F.col("_side").asc() if inclusive else F.col("_side").desc()
     local_w = (
         Window.partitionBy(*by, "_b")
-        .orderBy(key_order, F.col("_side").asc())
+        .orderBy(key_order, side_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    local = both.withColumn("_local", extreme("_v").over(local_w))
+
+    # level 2: one row per chunk (left-only chunks included, so they receive a
+    # carry). The aggregate runs on the raw rows with a map-side partial step:
+    # each task ships at most one row per chunk it saw, and a hot key's rows
+    # never travel twice. The per-key scan then runs over chunk rows only.
     chunk_order = F.col("_b").asc_nulls_first() if backward else F.col("_b").desc_nulls_last()
     chunks = both.groupBy(*by, "_b").agg(extreme("_v").alias("_cv"))
     carried = chunks.select(
@@ -98,12 +110,9 @@ def asof_join(
         )
         .alias("_carry"),
     )
-    local = both.withColumn("_local", extreme("_v").over(local_w)).filter(F.col("_side") == 1)
-    joined = local.join(carried, on=[*by, "_b"], how="left")
+    joined = local.filter(F.col("_side") == 1).join(carried, on=[*by, "_b"], how="left")
     result = F.when(F.col("_k").isNotNull(), pick(F.col("_local"), F.col("_carry")))
-    return joined.withColumn(out, result).drop(
-        "_k", "_side", "_v", "_b", "_local", "_carry"
-    ).select(*left.columns, out)
+    return joined.withColumn(out, result).select(*left.columns, out)
 
 
 def neighbors(
@@ -136,6 +145,8 @@ def neighbors(
             "_lead": F.lead("_val").over(w),
         }
     )
+    # first and last row of every chunk: a partial aggregate on the map side,
+    # so only one or two rows per chunk and task are shuffled
     edge = F.struct("_ord", "_val")
     chunks = base.groupBy(*keys, "_b").agg(F.min(edge).alias("_head"), F.max(edge).alias("_tail"))
     cw = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
@@ -160,3 +171,48 @@ def neighbors(
     if next:
         cols[next] = F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_lead"))
     return joined.withColumns(cols).select(*df.columns, *cols.keys())
+
+
+def running_extremes(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    value: Column,
+    *,
+    bucket: Column,
+    before: str | None = "max_before",
+    after: str | None = "min_after",
+) -> DataFrame:
+    """Skew-safe `max(value)` over all earlier rows and `min(value)` over all
+    later rows of the same `keys` (rows ordered by `order`, a total order;
+    nulls ignored), i.e. the windows `ROWS BETWEEN UNBOUNDED PRECEDING AND 1
+    PRECEDING` / `1 FOLLOWING AND UNBOUNDED FOLLOWING` without putting a
+    key's whole history in one task. `bucket` must be monotone in the first
+    order column."""
+    ord_cols = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+    base = df.withColumns({"_b": bucket, "_v": value}).withColumn("_ord", F.struct(*ord_cols))
+    w = Window.partitionBy(*keys, "_b").orderBy("_ord")
+    cols = {}
+    if before:
+        cols["_lb"] = F.max("_v").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    if after:
+        cols["_la"] = F.min("_v").over(w.rowsBetween(1, Window.unboundedFollowing))
+    local = base.withColumns(cols)
+    chunks = base.groupBy(*keys, "_b").agg(F.max("_v").alias("_cmax"), F.min("_v").alias("_cmin"))
+    cw = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
+    ctx = chunks.select(
+        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_b"]],
+        F.max("_cmax").over(cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_cb"),
+        F.min("_cmin").over(cw.rowsBetween(1, Window.unboundedFollowing)).alias("_ca"),
+    )
+    on = None
+    for c in [*keys, "_b"]:
+        term = F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+        on = term if on is None else on & term
+    joined = local.join(ctx, on=on, how="left")
+    outs = {}
+    if before:
+        outs[before] = F.greatest("_lb", "_cb")
+    if after:
+        outs[after] = F.least("_la", "_ca")
+    return joined.withColumns(outs).select(*df.columns, *outs.keys())

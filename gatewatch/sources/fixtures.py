@@ -2,7 +2,9 @@
 
 Each view is written once as SQL text with `{table}` placeholders. Spark runs
 it through `spark.sql(text, name=DataFrame)`; the DuckDB oracle gets the same
-text as a WITH clause. The derived sources therefore grow with `events`,
+text as a WITH clause. The one exception is `linked` on the Spark side,
+built with a skew-safe two-level scan (`linked_events`) rather than a window over
+each user's full history. The derived sources grow with `events`,
 `customer` and `labels`, and every query reads them in full.
 """
 
@@ -130,6 +132,24 @@ def duckdb_with_clause() -> str:
     return "WITH " + ",\n".join(parts)
 
 
+def linked_events(events: DataFrame, bucket_seconds: int = 6 * 3600) -> DataFrame:
+    """`LINKED` as DataFrame operations: the per-user request ids before and
+    after each event come from a two-level scan over (user, time bucket)
+    chunks (`running_extremes`) instead of one window over each user's whole
+    history, so a user with a large share of all events does not end up in
+    one task. Same rows as the SQL text (checked in tests)."""
+    from pyspark.sql import functions as F
+
+    from gatewatch.operators.scan import running_extremes, time_bucket
+
+    ev = events.withColumn("k", F.expr(_K))
+    request_id = F.when(F.expr(_REQUEST_ROW), F.col("event_id"))
+    return running_extremes(
+        ev, ["user_id"], [F.col("ts"), F.col("event_id")], request_id,
+        bucket=time_bucket(F.col("ts"), bucket_seconds), before="prv", after="nxt",
+    )
+
+
 def _rename(df: DataFrame) -> DataFrame:
     renames = {"user_name": "user", "group_name": "group"}
     return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
@@ -144,6 +164,9 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     frames: dict[str, DataFrame] = dict(load_base_tables(spark, sf_dir))
     out: dict[str, DataFrame] = {}
     for name, (sql, source) in VIEWS.items():
+        if name == "linked":
+            frames[name] = linked_events(frames["events"])
+            continue
         needed = {k: frames[k] for k in frames if "{" + k + "}" in sql}
         frames[name] = spark.sql(sql, **needed)
         if source is not None:

@@ -116,3 +116,31 @@ def test_rolling_baseline_excludes_today_and_gaps(spark):
     assert out[5] == (3.0, 2)
     assert out[9] == (5.0, 2)  # days 2 and 5 within the 7 days before the 9th
     assert out[20] == (None, 0)
+
+
+def test_strict_asof_excludes_equal_keys(spark):
+    left = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("a", 3, 30)], "k string, id int, s long")
+    right = spark.createDataFrame([("a", 10, 1), ("a", 20, 2), ("a", 30, 3)], "k string, rs long, rid int")
+    bk = lambda c: number_bucket(c, 15)
+    back = asof_join(left, right, ["k"], F.col("s"), F.col("rs"), F.col("rid"), bucket_of=bk,
+                     inclusive=False, out="p")
+    both = asof_join(back, right, ["k"], F.col("s"), F.col("rs"), F.col("rid"), bucket_of=bk,
+                     direction="forward", inclusive=False, out="n")
+    assert sorted((r["id"], r["p"], r["n"]) for r in both.collect()) == [(1, None, 2), (2, 1, 3), (3, 2, None)]
+
+
+def test_linked_events_equal_sql_window(spark):
+    from pathlib import Path
+
+    import pytest
+
+    from gatewatch.sources.fixtures import LINKED, linked_events
+
+    path = "/root/testdata/sf0.01/events.parquet"
+    if not Path(path).exists():
+        pytest.skip("test data not present")
+    ev = spark.read.parquet(path)
+    exp = spark.sql(LINKED, events=ev)
+    got = linked_events(ev)
+    assert got.columns == exp.columns
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
