@@ -9,6 +9,8 @@
 | D4 travel, D8 sequence | per-key state (`applyInPandasWithState`); `lag` is not |
 |                        | allowed on streams |
 | D5, D19 evidence | `foreachBatch` anti join against the requests table |
+| D6, D9 baselines | daily aggregate (update mode) merged into stored daily |
+|                  | history by `foreachBatch`, affected days re-scored |
 
 Timestamps must be TIMESTAMP (not NTZ) for watermarks; `as_event_time`
 converts. Rows later than the watermark are dropped by Spark, so the delay
@@ -242,3 +244,74 @@ def evidence_batch_writer(saviynt_loader, sink):
              R.privilege_escalation_without_request(batch, requests), batch_id)
 
     return run
+
+
+# ---------------------------------------------------------------- D6, D9 over stored daily history
+
+
+def daily_totals_stream(app: DataFrame, *, delay: str = "1 day") -> DataFrame:
+    """Per (user, day) data volume, emitted in update mode: every micro-batch
+    carries the new totals of the days it touched."""
+    return (
+        app.withWatermark("ts", delay)
+        .groupBy("user", F.to_date("ts").alias("activity_date"))
+        .agg(F.sum(F.col("data_mb").try_cast("double")).alias("total_data_mb"))
+    )
+
+
+def daily_counts_stream(ad: DataFrame, *, delay: str = "1 day") -> DataFrame:
+    """Per (day, action) directory-change counts, update mode."""
+    return (
+        ad.withWatermark("ts", delay)
+        .groupBy(F.to_date("ts").alias("activity_date"), "action")
+        .agg(F.count(F.lit(1)).alias("event_count"))
+    )
+
+
+def baseline_batch_writer(history_path: str, scored_path: str, kind: str, *,
+                          days: int = K.BASELINE_DAYS):
+    """`foreachBatch` function for `daily_totals_stream` (kind="data", D9) or
+    `daily_counts_stream` (kind="volume", D6).
+
+    Each micro-batch (a) replaces the touched days in the stored daily
+    history (dynamic partition overwrite by day, so a replayed batch is
+    harmless), then (b) re-scores every day whose result can have changed --
+    the touched days and the `days` after them -- from the stored history
+    alone, and (c) replaces those days in the scored table. Every scored
+    (key, day) row is kept with an `is_finding` flag, so a day that stops
+    being a finding is overwritten too; findings are `is_finding = true`.
+    The stream holds one state row per open (key, day); the touched-day range
+    reaches the driver as one aggregated row.
+    """
+    import datetime as dt
+
+    from gatewatch.operators.aggregates import rolling_baseline
+
+    if kind == "data":
+        value, keys, average = "total_data_mb", ["user"], "rolling_average_mb"
+    elif kind == "volume":
+        value, keys, average = "event_count", ["action"], "rolling_average"
+    else:
+        raise ValueError("kind must be 'data' or 'volume'")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        span = batch.agg(F.min("activity_date").alias("lo"), F.max("activity_date").alias("hi")).first()
+        if span is None or span["lo"] is None:
+            return
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("activity_date").parquet(history_path))
+        lo, hi = span["lo"], span["hi"] + dt.timedelta(days=days)
+        history = batch.sparkSession.read.parquet(history_path).filter(
+            F.col("activity_date").between(lo - dt.timedelta(days=days), hi))
+        scored = rolling_baseline(history, keys, "activity_date", value, days=days, average=average)
+        if kind == "data":
+            hit = F.col(value) > F.greatest(F.col(average) * K.SPIKE_FACTOR, F.lit(K.DATA_FLOOR_MB))
+        else:
+            hit = F.col(value) > F.col(average) * K.SPIKE_FACTOR
+        flag = F.coalesce((F.col("history_days") >= K.BASELINE_MIN_HISTORY) & hit, F.lit(False))
+        (scored.filter(F.col("activity_date").between(lo, hi))
+         .withColumn("is_finding", flag)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("activity_date").parquet(scored_path))
+
+    return run

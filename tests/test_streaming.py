@@ -85,3 +85,42 @@ def test_ingest_stream_lands_once(spark):
     okta = load_source(spark, landing, "okta")
     assert okta.count() == frames["okta"].count()
     assert okta.select("req_id").distinct().count() == okta.count()
+
+
+def _run_batches(df, fn, name):
+    q = df.writeStream.outputMode("update").foreachBatch(fn).option(
+        "checkpointLocation", tempfile.mkdtemp(prefix=f"gw-{name}-")).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def test_streaming_baselines_equal_batch(spark, staged):
+    root, b = staged
+    hist, scored = tempfile.mkdtemp(prefix="gw-hist-"), tempfile.mkdtemp(prefix="gw-scored-")
+    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
+    _run_batches(live.daily_totals_stream(app, delay="30 days"),
+                 live.baseline_batch_writer(f"{hist}/d", f"{scored}/d", "data"), "data")
+    got = spark.read.parquet(f"{scored}/d").filter("is_finding")
+    exp = R.excessive_data_transferred(b["app_usage"])
+    assert sorted((r["user"], str(r["activity_date"])) for r in got.collect()) == sorted(
+        (r["user"], str(r["activity_date"])) for r in exp.collect())
+    ad = _stream(spark, root, "ad", b["ad"].schema)
+    _run_batches(live.daily_counts_stream(ad, delay="30 days"),
+                 live.baseline_batch_writer(f"{hist}/v", f"{scored}/v", "volume"), "volume")
+    got = spark.read.parquet(f"{scored}/v")
+    assert got.filter("is_finding").count() == R.ad_volume_spikes(b["ad"]).count()
+
+
+def test_evidence_batch_writer(spark, staged):
+    root, b = staged
+    out = {}
+
+    def sink(name, df, batch_id):
+        out[name] = out.get(name, 0) + df.count()
+
+    ad = _stream(spark, root, "ad", b["ad"].schema)
+    q = ad.writeStream.foreachBatch(live.evidence_batch_writer(lambda: b["saviynt"], sink)).option(
+        "checkpointLocation", tempfile.mkdtemp(prefix="gw-ev-")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert out["shadow_access_events"] == R.shadow_access(b["ad"], b["saviynt"]).count()
+    assert out["privilege_escalation_without_request"] == R.privilege_escalation_without_request(
+        b["ad"], b["saviynt"]).count()
