@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gatewatch.plans.registry import SPECS, build_detections, select_tables
 from gatewatch.session import apply_engine_conf, ensure_checkpoint_dir
-from gatewatch.sources.contracts import ACTIVITY_SOURCES, SOURCE_SCHEMAS
+from gatewatch.sources.contracts import ACTIVITY_SOURCES, RULE_COLUMNS, SOURCE_SCHEMAS
 from gatewatch.sources.loader import load_source
 from gatewatch.sources.sinks import FILE_FORMATS, write_findings
 
@@ -36,7 +36,8 @@ def validate_identifier(value: str, label: str) -> str:
 
 
 def load_sources(spark: SparkSession, input_root: str) -> dict[str, DataFrame]:
-    return {s: load_source(spark, input_root, s) for s in SOURCE_SCHEMAS}
+    """Deduplicated, typed sources narrowed to the columns the rules read."""
+    return {s: load_source(spark, input_root, s).select(*RULE_COLUMNS[s]) for s in SOURCE_SCHEMAS}
 
 
 def guard_activity(frames: Mapping[str, DataFrame]) -> None:

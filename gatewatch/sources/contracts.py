@@ -49,6 +49,17 @@ SOURCE_ID_COLUMNS: dict[str, tuple[str, ...]] = {
 # end of fixed values
 
 KNOWN_SOURCES = frozenset(SOURCE_FILES)
+
+# columns the detections read, per source (everything else is pruned before
+# the deduplicated sources are cached for the run)
+RULE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "okta": ("req_id", "user", "ts", "country", "mfa", "status", "session_id"),
+    "ad": ("event_id", "user", "ts", "group", "action", "initiator", "request_id"),
+    "app_usage": ("usage_id", "user", "ts", "app", "action", "data_mb", "session_id", "request_id"),
+    "saviynt": ("req_id", "user", "ts", "app", "role", "status", "approver"),
+    "hrlifecycle": ("user",),
+    "anomaly_key": ("user",),
+}
 ACTIVITY_SOURCES = ("okta", "ad", "app_usage", "saviynt")
 
 

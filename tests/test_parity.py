@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -60,3 +61,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert {"user", "risk_score", "risk_level", "finding_id"} <= set(df.columns)
+
+
+@pytest.mark.parametrize("name", [
+    "impossible_login_anomalies", "mfa_bypass_events", "mfa_bypass_events_all_apps",
+    "impossible_travel_events", "privilege_escalation_without_request", "rejected_but_executed",
+    "high_risk_sequence", "excessive_data_transferred", "role_drift", "multi_app_single_session",
+    "mfa_drift", "orphan_event_detection", "orphan_user_detection", "shadow_access_events",
+    "risk_scores", "cleanest_users", "identity_timelines", "suspicious_time_warp"])
+def test_finding_ids_unique(spark, name):
+    """The end-to-end invariant: finding ids are never null and unique."""
+    df = entry.queries()[name](spark, SF)
+    stats = df.agg(F.count("*").alias("n"), F.count_distinct("finding_id").alias("ids"),
+                   F.count_if(F.col("finding_id").isNull()).alias("nulls")).first()
+    assert stats["nulls"] == 0 and stats["ids"] == stats["n"] and stats["n"] > 0
