@@ -124,3 +124,34 @@ def test_evidence_batch_writer(spark, staged):
     assert out["shadow_access_events"] == R.shadow_access(b["ad"], b["saviynt"]).count()
     assert out["privilege_escalation_without_request"] == R.privilege_escalation_without_request(
         b["ad"], b["saviynt"]).count()
+
+
+def test_no_recent_login_stream_equals_batch_path_b(spark, staged):
+    root, b = staged
+    okta = _stream(spark, root, "okta", b["okta"].schema)
+    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
+    got = _drain(live.no_recent_login_stream(okta, app, delay="0 seconds"), "s_nologin")
+    exp = R.impossible_login(b["okta"], b["app_usage"]).filter(
+        F.col("anomaly_reason").isin("no_preceding_login", "application_too_long_after_login")
+        & (F.col("session_id").isNull() | (F.trim("session_id") == "")))
+    # an unmatched use is final (and emitted) once the global watermark -- the
+    # smaller of the latest times of the two watermarked inputs (successful
+    # logins, session-less uses) -- is strictly past it
+    logins = b["okta"].filter(F.upper(F.trim("status")) == "SUCCESS")
+    uses = b["app_usage"].filter(F.col("session_id").isNull() | (F.trim("session_id") == ""))
+    closed = min(logins.agg(F.max("ts")).first()[0], uses.agg(F.max("ts")).first()[0])
+    got_ids = sorted(r["usage_id"] for r in got.collect())
+    assert got_ids == sorted(r["usage_id"] for r in exp.filter(F.col("app_access_time") < closed).collect())
+
+
+def test_multi_app_session_stream_equals_batch(spark, staged):
+    root, b = staged
+    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
+    q = (live.multi_app_session_stream(app, window="3650 days", delay="0 seconds")
+         .writeStream.format("memory").queryName("s_multi").outputMode("update")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("s_multi")
+    exp = R.multi_app_session(b["app_usage"])
+    assert sorted((r["user"], r["session_id"], r["application_count"]) for r in got.collect()) == sorted(
+        (r["user"], r["session_id"], r["application_count"]) for r in exp.collect())
