@@ -47,6 +47,15 @@ def build_session(
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # the status store keeps every job, stage and SQL execution (with its plan)
+    # even without a UI; long local sessions only need recent ones
+    conf["spark.ui.retainedJobs"] = "200"
+    conf["spark.ui.retainedStages"] = "200"
+    conf["spark.ui.retainedTasks"] = "10000"
+    conf["spark.sql.ui.retainedExecutions"] = "50"
+    # release finished queries' shuffle files and broadcast blocks promptly
+    # (the cleaner acts on JVM garbage collection, by default every 30 min)
+    conf["spark.cleaner.periodicGC.interval"] = "1min"
     conf["spark.driver.memory"] = os.environ.get("GATEWATCH_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
