@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gatewatch.functions.columns import safe_identifier
 from gatewatch.operators.scoring import union_all
-from gatewatch.sources.contracts import KNOWN_SOURCES, SOURCE_REQUIRED_COLUMNS, SOURCE_SCHEMAS
+from gatewatch.sources.contracts import KNOWN_SOURCES, SOURCE_REQUIRED_COLUMNS
 
 ENVELOPE_COLUMNS = ("message_id", "value", "source", "pipeline_env", "run_id")
 UNLABELLED_RUN = "unlabelled"
@@ -58,10 +58,11 @@ def _payload_schema(source: str) -> StructType:
     return StructType([StructField(c, StringType()) for c in cols] + [StructField(_CORRUPT, StringType())])
 
 
-def rejection_reason(envelopes_col_env: Column, expected_env: str) -> Column:
+def rejection_reason(message_env: Column, expected_env: str) -> Column:
+    """Why an envelope cannot be landed (null when it can)."""
     return F.when(~F.col("source").isin(*sorted(KNOWN_SOURCES)) | F.col("source").isNull(),
                   F.lit("unknown_source")).when(
-        envelopes_col_env != safe_identifier(F.lit(expected_env)), F.lit("environment_mismatch")
+        message_env != safe_identifier(F.lit(expected_env)), F.lit("environment_mismatch")
     )
 
 
@@ -121,7 +122,3 @@ def require_clean(rejects: DataFrame) -> None:
     if first:
         r = first[0]
         raise ValueError(f"Message {r['message_id']} rejected: {r['reason']} (source={r['source']!r})")
-
-
-def landed_schema(source: str) -> StructType:
-    return SOURCE_SCHEMAS[source]

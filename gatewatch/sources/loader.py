@@ -12,7 +12,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gatewatch.operators.dedup import latest_by_key
 from gatewatch.sources.contracts import (
-    LINEAGE_COLUMNS,
     SOURCE_FILES,
     SOURCE_ID_COLUMNS,
     SOURCE_REQUIRED_COLUMNS,
@@ -136,7 +135,3 @@ def load_source(
         frame = spark.createDataFrame([], schema)
     frame = dedup_source(align(frame, schema), source)
     return canonical(source, frame) if typed else frame
-
-
-def business_columns(source: str) -> list[str]:
-    return [c for c in SOURCE_SCHEMAS[source].fieldNames() if c not in LINEAGE_COLUMNS]
