@@ -26,16 +26,33 @@ def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
 
 
 def without_evidence(
-    actions: DataFrame, evidence: DataFrame, on: Sequence[tuple[str, str]]
+    actions: DataFrame,
+    evidence: DataFrame,
+    on: Sequence[tuple[str, str]],
+    *,
+    split_null_keys: bool = False,
 ) -> DataFrame:
     """Actions with no evidence row matching every (action col, evidence col)
-    pair. A null in any action key never matches, so such actions are kept."""
+    pair; an action with a null key never matches and is kept.
+
+    Null keys all hash to one shuffle partition. With adaptive execution the
+    skew-join rule splits that partition of the (left) action side across
+    tasks. `split_null_keys=True` instead keeps null-keyed actions out of the
+    join altogether, at the price of reading `actions` twice; use it when
+    adaptive execution is off or the actions are cheap to re-read.
+    """
     ev = evidence.select(*[F.col(rc).alias(f"_ev_{i}") for i, (_, rc) in enumerate(on)])
+    any_null = None
     cond = None
     for i, (lc, _) in enumerate(on):
         term = actions[lc] == ev[f"_ev_{i}"]
         cond = term if cond is None else cond & term
-    return actions.join(ev, cond, "left_anti")
+        isnull = F.col(lc).isNull()
+        any_null = isnull if any_null is None else any_null | isnull
+    if not split_null_keys:
+        return actions.join(ev, cond, "left_anti")
+    keyed = actions.filter(~any_null)
+    return keyed.join(ev, cond, "left_anti").unionByName(actions.filter(any_null))
 
 
 def with_evidence(

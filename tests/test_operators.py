@@ -144,3 +144,13 @@ def test_linked_events_equal_sql_window(spark):
     got = linked_events(ev)
     assert got.columns == exp.columns
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_without_evidence_split_null_keys_same_rows(spark):
+    acts = spark.createDataFrame([("r1", "u1"), (None, "u1"), ("r2", "u2"), ("r3", None)], "rid string, u string")
+    ev = spark.createDataFrame([("r1", "u1"), ("r2", "x")], "erid string, eu string")
+    on = [("rid", "erid"), ("u", "eu")]
+    plain = without_evidence(acts, ev, on)
+    split = without_evidence(acts, ev, on, split_null_keys=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert plain.count() == 3
