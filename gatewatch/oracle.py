@@ -168,18 +168,23 @@ WHERE d.group_name IN ({PRIV}) AND d.action IN ('add_member', 'privilege_escalat
   AND NOT EXISTS {_APPROVED_REQ}
 """
 
-CORE["ad_volume_spikes"] = f"""
+def _spike_sql(days: int = K.BASELINE_DAYS, min_history: int = K.BASELINE_MIN_HISTORY,
+               factor: float = K.SPIKE_FACTOR) -> str:
+    return f"""
 WITH daily AS (
   SELECT CAST(ts AS DATE) AS activity_date, action, count(*) AS event_count FROM dir GROUP BY 1, 2)
 SELECT d.activity_date, d.action, d.event_count, avg(h.event_count) AS rolling_average,
   count(h.event_count) AS history_days
 FROM daily d LEFT JOIN daily h ON h.action = d.action
-  AND h.activity_date >= d.activity_date - {K.BASELINE_DAYS} AND h.activity_date <= d.activity_date - 1
+  AND h.activity_date >= d.activity_date - {days} AND h.activity_date <= d.activity_date - 1
 GROUP BY d.activity_date, d.action, d.event_count
-HAVING count(h.event_count) >= {K.BASELINE_MIN_HISTORY}
-  AND d.event_count > avg(h.event_count) * {K.SPIKE_FACTOR}
+HAVING count(h.event_count) >= {min_history}
+  AND d.event_count > avg(h.event_count) * {factor}
 """
 
+
+CORE["ad_volume_spikes"] = _spike_sql()
+
 CORE["rejected_but_executed"] = f"""
 SELECT d.user_name AS "user", d.event_id, d.request_id, r.status AS request_status,
   r.app AS requested_app, r.role AS requested_role, r.ts AS decision_time,
@@ -235,7 +240,8 @@ FROM g LEFT JOIN f ON f.user_name = g.user_name AND f.app = g.app
 WHERE g.distinct_roles > 1 AND f.first_role <> l.latest_role
 """
 
-CORE["stale_access"] = f"""
+def _stale_sql(days: int = K.STALE_DAYS) -> str:
+    return f"""
 WITH appr AS (SELECT * FROM req WHERE {NS('status')} IN ({APPROVED})),
 {_first_last('appr', 'user_name, app', 'role', 'first_role', 'latest_role')},
 g AS (SELECT user_name, app, max(ts) AS latest_grant_time FROM appr GROUP BY 1, 2),
@@ -250,9 +256,12 @@ j AS (
     CROSS JOIN ao)
 SELECT user_name AS "user", app, latest_grant_time, latest_role, last_used_time, as_of_time,
   inactive_days
-FROM j WHERE inactive_days > {K.STALE_DAYS}
+FROM j WHERE inactive_days > {days}
 """
 
+
+CORE["stale_access"] = _stale_sql()
+
 CORE["multi_app_single_session"] = f"""
 SELECT user_name AS "user", session_id, count(DISTINCT app) AS application_count,
   {SET('app')} AS applications, min(ts) AS session_start, max(ts) AS session_end
@@ -274,7 +283,9 @@ FROM g LEFT JOIN f ON f.user_name = g.user_name LEFT JOIN l ON l.user_name = g.u
 WHERE g.distinct_mfa_methods > 1 AND f.first_mfa_method <> l.latest_mfa_method
 """
 
-CORE["suspicious_approver_behavior"] = f"""
+def _approver_sql(min_decisions: int = K.APPROVER_MIN_DECISIONS, high: float = K.APPROVER_HIGH_RATE,
+                  low: float = K.APPROVER_LOW_RATE) -> str:
+    return f"""
 WITH g AS (
   SELECT approver, count(*) AS decision_count,
     CAST(sum(CASE WHEN {NS('status')} IN ({APPROVED}) THEN 1 ELSE 0 END) AS BIGINT) AS approved_count,
@@ -284,21 +295,28 @@ WITH g AS (
 SELECT approver AS "user", decision_count, approved_count, rejected_count, latest_decision_time,
   CAST(approved_count AS DOUBLE) / decision_count AS approval_rate
 FROM g
-WHERE decision_count >= {K.APPROVER_MIN_DECISIONS}
-  AND (CAST(approved_count AS DOUBLE) / decision_count >= {K.APPROVER_HIGH_RATE}
-       OR CAST(approved_count AS DOUBLE) / decision_count <= {K.APPROVER_LOW_RATE})
+WHERE decision_count >= {min_decisions}
+  AND (CAST(approved_count AS DOUBLE) / decision_count >= {high}
+       OR CAST(approved_count AS DOUBLE) / decision_count <= {low})
 """
 
-CORE["ad_group_churn_rate"] = f"""
+
+CORE["suspicious_approver_behavior"] = _approver_sql()
+
+def _churn_sql(min_changes: int = K.CHURN_MIN_CHANGES) -> str:
+    return f"""
 SELECT user_name AS "user", group_name AS "group",
   CAST(sum(CASE WHEN action = 'add_member' THEN 1 ELSE 0 END) AS BIGINT) AS add_count,
   CAST(sum(CASE WHEN action = 'remove_member' THEN 1 ELSE 0 END) AS BIGINT) AS remove_count,
   count(*) AS change_count, max(ts) AS latest_change_time
 FROM dir WHERE action IN ('add_member', 'remove_member')
 GROUP BY user_name, group_name
-HAVING count(*) >= {K.CHURN_MIN_CHANGES}
+HAVING count(*) >= {min_changes}
 """
 
+
+CORE["ad_group_churn_rate"] = _churn_sql()
+
 _EVENTS = """
   SELECT user_name, req_id AS source_event_id, 'okta' AS source, ts AS event_time FROM auth
   UNION ALL SELECT user_name, req_id, 'saviynt', ts FROM req
@@ -388,6 +406,22 @@ ORDER BY risk_score ASC, finding_count ASC, "user" ASC
 LIMIT {K.CLEANEST_USERS}
 """
 
+# Lower-threshold variants of the rules that yield very few rows on the
+# fixtures: same rule, thresholds passed as parameters (name -> table, params).
+VARIANTS = {
+    "stale_access_15_days": ("stale_access", {"days": 15}),
+    "ad_group_churn_2_changes": ("ad_group_churn_rate", {"min_changes": 2}),
+    "suspicious_approver_2_decisions": ("suspicious_approver_behavior",
+                                        {"min_decisions": 2, "high": 0.6, "low": 0.4}),
+    "ad_volume_spikes_relaxed": ("ad_volume_spikes", {"min_history": 1, "factor": 1.5}),
+}
+_VARIANT_SQL = {
+    "stale_access": _stale_sql,
+    "ad_group_churn_rate": _churn_sql,
+    "suspicious_approver_behavior": _approver_sql,
+    "ad_volume_spikes": _spike_sql,
+}
+
 # table -> (detection_name, identity, event column, event is a date)
 META = {
     "impossible_login_anomalies": ("impossible_login", ["usage_id", "anomaly_reason"], "app_access_time", False),
@@ -419,20 +453,24 @@ META = {
 DATE_COLUMNS = {"ad_volume_spikes": ["activity_date"], "excessive_data_transferred": ["activity_date"]}
 
 
-def detection_sql(table: str) -> str:
+def detection_sql(table: str, core: str | None = None) -> str:
     name, ids, event, is_date = META[table]
+    core = CORE[table] if core is None else core
     star = "t.*"
     if table in DATE_COLUMNS:
         casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in DATE_COLUMNS[table])
         star = f"t.* REPLACE ({casts})"
     return (
         duckdb_with_clause()
-        + f"\nSELECT {star}, {_meta(name, ids, event, is_date)}\nFROM ({CORE[table].strip()}) t"
+        + f"\nSELECT {star}, {_meta(name, ids, event, is_date)}\nFROM ({core.strip()}) t"
     )
 
 
 def detection_sqls() -> dict[str, str]:
-    return {t: detection_sql(t) for t in META}
+    out = {t: detection_sql(t) for t in META}
+    for name, (table, params) in VARIANTS.items():
+        out[name] = detection_sql(table, _VARIANT_SQL[table](**params))
+    return out
 
 
 # ---------------------------------------------------------------- operators on their own

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType
 
-from gatewatch.oracle import AS_OF_DATE, RUN_ID
+from gatewatch.oracle import AS_OF_DATE, RUN_ID, VARIANTS
 from gatewatch.plans.registry import TABLES, build_detections
 from gatewatch.sources.fixtures import fixture_sources
 
@@ -34,22 +34,29 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def detection(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def detection(spark: SparkSession, sf_dir: str, table: str, params: dict | None = None) -> DataFrame:
     frames = fixture_sources(spark, sf_dir)
     out = build_detections(
-        frames, RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False
+        frames, RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
+        params={table: params} if params else None,
     )[table]
     return comparable(out)
 
 
-def _detection_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
+def _detection_query(table: str, params: dict | None = None, name: str | None = None
+                     ) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return detection(spark, sf_dir, table)
+        return detection(spark, sf_dir, table, params)
 
-    run.__name__ = table
+    run.__name__ = name or table
     return run
 
 
 DETECTION_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     t: _detection_query(t) for t in TABLES
 }
+# the same rules at lower thresholds, for fixtures where the defaults leave
+# only a row or two
+DETECTION_QUERIES.update(
+    {name: _detection_query(table, params, name) for name, (table, params) in VARIANTS.items()}
+)
