@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from helpers import at, frames
+from pyspark.sql import functions as F
 
 from gatewatch.plans import rules as R
 from gatewatch.plans.registry import TABLES, build_detections
@@ -137,3 +138,24 @@ def test_all_tables_ids_unique_and_invariants(spark):
     assert risk["u1"]["risk_score"] == 15 and risk["u1"]["risk_level"] == "CRITICAL"
     assert risk["u3"]["risk_score"] == 0 and risk["u3"]["risk_factors"] is None
     assert out["cleanest_users"].count() == 4
+
+
+def test_impossible_login_null_user_never_matches(spark):
+    """H18: a use with no user matches no login, on either path."""
+    f = frames(
+        spark,
+        okta=[login("L1", "u1", 0), login("L2", "u1", 0, session="")],
+        app_usage=[use("U1", None, 10), use("U2", None, 10, session=""), use("U3", "u1", 10)],
+    )
+    got = {r["usage_id"]: r["anomaly_reason"] for r in R.impossible_login(f["okta"], f["app_usage"]).collect()}
+    assert got == {"U1": "missing_session_login", "U2": "no_preceding_login"}
+
+
+def test_finding_id_separator_collision_is_documented(spark):
+    """H10: identities are joined with '||', so ('a||b', 'c') and ('a', 'b||c')
+    share an id; the format is kept for id stability."""
+    from gatewatch.functions.findings import finding_id
+
+    df = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "x string, y string")
+    ids = [r[0] for r in df.select(finding_id("n", [F.col("x"), F.col("y")])).collect()]
+    assert ids[0] == ids[1]
