@@ -10,6 +10,8 @@ each user's full history. The derived sources grow with `events`,
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("events", "customer", "labels")
@@ -159,8 +161,24 @@ def load_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
 
 
+# Derived source frames per session and directory, like views registered once
+# per session: only the (lazy) plans are kept; every query that uses them still
+# reads and derives the sources from the files when it runs.
+_DEFINED: "weakref.WeakKeyDictionary[SparkSession, dict[str, dict[str, DataFrame]]]" = (
+    weakref.WeakKeyDictionary()
+)
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Canonical source frames (engine column names) derived from `sf_dir`."""
+    per_session = _DEFINED.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = _define_sources(spark, key)
+    return dict(per_session[key])
+
+
+def _define_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     frames: dict[str, DataFrame] = dict(load_base_tables(spark, sf_dir))
     out: dict[str, DataFrame] = {}
     for name, (sql, source) in VIEWS.items():
