@@ -49,6 +49,7 @@ def asof_join(
     direction: str = "backward",
     inclusive: bool = True,
     out: str = "asof_value",
+    group_count: str | None = None,
 ) -> DataFrame:
     """As-of lookup without pairing rows.
 
@@ -62,7 +63,11 @@ def asof_join(
     Right rows with a null key or null `by` never match; left rows with a null
     `by` or key get null.
 
-    Returns `left` with one extra column `out`; the row count is unchanged.
+    `group_count`, when given, names an extra column with the number of
+    right rows of the left row's `by` group (0 when none); it comes from the
+    per-chunk table, so it costs no extra pass over the data.
+
+    Returns `left` with the extra column(s); the row count is unchanged.
     """
     if direction not in ("backward", "forward"):
         raise ValueError("direction must be 'backward' or 'forward'")
@@ -98,7 +103,9 @@ def asof_join(
     # each task ships at most one row per chunk it saw, and a hot key's rows
     # never travel twice. The per-key scan then runs over chunk rows only.
     chunk_order = F.col("_b").asc_nulls_first() if backward else F.col("_b").desc_nulls_last()
-    chunks = both.groupBy(*by, "_b").agg(extreme("_v").alias("_cv"))
+    chunks = both.groupBy(*by, "_b").agg(
+        extreme("_v").alias("_cv"), F.sum(F.lit(1) - F.col("_side")).alias("_cn")
+    )
     carried = chunks.select(
         *by,
         "_b",
@@ -109,10 +116,14 @@ def asof_join(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         .alias("_carry"),
+        F.sum("_cn").over(Window.partitionBy(*by)).alias("_gcount"),
     )
     joined = local.filter(F.col("_side") == 1).join(carried, on=[*by, "_b"], how="left")
     result = F.when(F.col("_k").isNotNull(), pick(F.col("_local"), F.col("_carry")))
-    return joined.withColumn(out, result).select(*left.columns, out)
+    outs = {out: result}
+    if group_count:
+        outs[group_count] = F.coalesce(F.col("_gcount"), F.lit(0).cast("long"))
+    return joined.withColumns(outs).select(*left.columns, *outs.keys())
 
 
 def neighbors(

@@ -159,3 +159,20 @@ def test_finding_id_separator_collision_is_documented(spark):
     df = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "x string, y string")
     ids = [r[0] for r in df.select(finding_id("n", [F.col("x"), F.col("y")])).collect()]
     assert ids[0] == ids[1]
+
+
+def test_impossible_login_untimed_login_counts_only_as_last_resort(spark):
+    """A session login without a usable time makes a use a finding only when
+    no timed login of the session offends."""
+    rows = [login("L1", "u", 0, session="S1"), ("L2", "u", None, "USA", "push", "SUCCESS", "S1"),
+            ("L3", "u", None, "USA", "push", "SUCCESS", "S2"), login("L4", "u", 100, session="S2")]
+    f = frames(spark, okta=rows, app_usage=[use("U1", "u", 5000, session="S1"),
+                                            use("U2", "u", 200, session="S2"),
+                                            use("U3", "u", 50, session="S3")])
+    got = {r["usage_id"]: (r["anomaly_reason"], r["seconds_from_login"])
+           for r in R.impossible_login(f["okta"], f["app_usage"]).collect()}
+    assert got == {
+        "U1": ("application_too_long_after_login", 5000),
+        "U2": ("missing_session_login", None),
+        "U3": ("missing_session_login", None),
+    }
