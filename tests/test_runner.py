@@ -77,3 +77,23 @@ def test_dry_run_counts_without_writing(spark, landed):
 def test_guard_refuses_empty_activity(spark):
     with pytest.raises(RuntimeError):
         run(spark, input_root=tempfile.mkdtemp(), run_id="r3", dry_run=True)
+
+
+def test_cli_end_to_end(spark, tmp_path):
+    """publish -> ingest -> run through the command line entry point."""
+    from gatewatch.__main__ import main
+    from gatewatch.sources.contracts import SOURCE_FILES
+
+    data = tmp_path / "csv"
+    data.mkdir()
+    for source, name in SOURCE_FILES.items():
+        cols = SOURCE_REQUIRED_COLUMNS[source]
+        vals = {c: f"{source}-{c}" for c in cols}
+        vals.update({"ts": "2024-01-01 00:00:00", "user": "u1"} if "ts" in cols else {"user": "u1"})
+        (data / name).write_text(",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
+    assert main(["check-csv", str(data)]) == 0
+    assert main(["publish", str(data), str(tmp_path / "env"), "--env", "dev", "--run-id", "r 1"]) == 0
+    assert main(["ingest", str(tmp_path / "env"), str(tmp_path / "land"),
+                 "--checkpoint", str(tmp_path / "ck"), "--env", "dev"]) == 0
+    assert main(["run", str(tmp_path / "land"), "--run-id", "r1", "--dry-run",
+                 "--tables", "identity_timelines,risk_scores"]) == 0
