@@ -1,7 +1,7 @@
 """Registered queries: each detection on the fixture sources of a scale dir.
 
 A registered query returns the detection exactly as the library produces
-it, with two presentation changes so the result compares across engines:
+it, with presentation changes so the result compares across engines:
 arrays are rendered as comma-joined text, dates as ISO `yyyy-MM-dd` text
 (engines hand dates to pandas as different types), `detected_at` (wall
 clock) is left out; `event_date` for the undated tables uses a fixed as-of date.
