@@ -157,6 +157,13 @@ def _haversine(lat1, lon1, lat2, lon2):
     return 2 * K.EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, h)))
 
 
+def _round1(x: float) -> float:
+    """Half-up rounding on the decimal form, as Spark's `round(col, 1)`."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    return float(Decimal(repr(x)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+
+
 def _travel_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per user: carry the last successful login across micro-batches and
     compare each new login (in time order) with the one before it."""
@@ -172,7 +179,7 @@ def _travel_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
                 speed = km / (seconds / 3600.0)
                 if speed > K.TRAVEL_MAX_SPEED_KMH:
                     out.append((key[0], r.req_id, prev[2], r.country, pd.Timestamp(prev[0]), r.ts,
-                                seconds, round(km, 1), round(speed, 1)))
+                                seconds, _round1(km), _round1(speed)))
         prev = (r.ts, r.req_id, r.country)
     if prev is not None:
         state.update(prev)
