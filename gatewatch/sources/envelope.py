@@ -94,8 +94,10 @@ def decode_envelopes(
     bad_json: list[DataFrame] = []
     for source in sorted(KNOWN_SOURCES):
         schema = _payload_schema(source)
+        # parse once per row: a filter on a generator's output is not pushed
+        # below it, so the validity filters below cannot re-run from_json
         parsed = good.filter(F.col("source") == source).withColumn(
-            "_p", F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+            "_p", F.explode(F.array(F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})))
         )
         ok = parsed.filter(F.col("_p").isNotNull() & F.col(f"_p.{_CORRUPT}").isNull())
         by_source[source] = ok.select(
