@@ -3,10 +3,14 @@ can express them."""
 
 from __future__ import annotations
 
+from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .simhash import op8_simhash_near_dedup
 
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": OP3_SQL,
+}
