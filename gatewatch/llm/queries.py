@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .simhash import op8_simhash_near_dedup
+from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
