@@ -3,11 +3,13 @@ can express them."""
 
 from __future__ import annotations
 
+from .chat import OP9_SQL, op9_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -15,4 +17,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3_SQL,
+    "op9_chat_formatting": OP9_SQL,
 }
