@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
+from .licenses import op2_license_scan, op2_sql
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": op2_sql(),
     "op3_benchmark_decontamination": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
 }
