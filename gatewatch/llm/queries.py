@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
+from .html import op7_html_extraction
 from .licenses import op2_license_scan, op2_sql
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op7_html_extraction": op7_html_extraction,
     "op2_license_scan": op2_license_scan,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
