@@ -8,10 +8,12 @@ from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .html import op7_html_extraction
 from .licenses import op2_license_scan, op2_sql
 from .packing import op1_best_fit_packing
+from .pii import op5_pii
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op5_pii": op5_pii,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_html_extraction": op7_html_extraction,
     "op2_license_scan": op2_license_scan,
