@@ -6,6 +6,7 @@ from __future__ import annotations
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .html import op7_html_extraction
+from .lattice import op4_embedding_near_dedup
 from .licenses import op2_license_scan, op2_sql
 from .packing import op1_best_fit_packing
 from .pii import op5_pii
@@ -13,6 +14,7 @@ from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_pii": op5_pii,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_html_extraction": op7_html_extraction,
