@@ -10,19 +10,21 @@ from .lattice import op4_embedding_near_dedup
 from .licenses import op2_license_scan, op2_sql
 from .packing import op1_best_fit_packing
 from .pii import op5_pii
+from .repeats import op6_suffix_array_dedup
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_license_scan": op2_license_scan,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_pii": op5_pii,
-    "op1_best_fit_packing": op1_best_fit_packing,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_html_extraction": op7_html_extraction,
-    "op2_license_scan": op2_license_scan,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
-    "op3_benchmark_decontamination": op3_benchmark_decontamination,
-    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
