@@ -250,11 +250,12 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with all its columns, without the documents whose group holds a
     smaller id, and with one of each repeated row. Rows with a null id stay."""
     groups = simhash_groups(docs, id_col, text_col, **how)
-    marked = docs.withColumn("_print", F.xxhash64(text_or_empty(text_col)))
-    drop = groups.where("component < id").select(F.col("id").alias("_id")).distinct()
-    left = marked.join(drop, marked[id_col] == drop["_id"], "left_anti")
-    return left.where(F.col(id_col).isNull()).unionByName(
-        left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, "_print"])).drop("_print")
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                         F.xxhash64(text_or_empty(text_col)).alias("print"))
+    drop = groups.where("component < id").select(F.col("id").alias("gone")).distinct()
+    left = packed.join(drop, packed["id"] == drop["gone"], "left_anti")
+    kept = left.where("id is null").unionByName(left.where("id is not null").dropDuplicates(["id", "print"]))
+    return kept.select("row.*")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
