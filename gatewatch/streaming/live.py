@@ -4,35 +4,42 @@
 | --- | --- |
 | D2 mfa bypass | stream-stream inner join, watermarks on both sides, time range |
 | D16 orphan events | stream-static left anti join against the workforce table |
-| D12 multi-app session | event-time windowed `collect_set` per (user, session) |
-| D1 path B | stream-stream left outer join over the 30-minute look-back |
-| D4 travel, D8 sequence | per-key state (`applyInPandasWithState`); `lag` is not |
-|                        | allowed on streams |
+| D12 multi-app session | event-time session window per (user, session) |
+| D1 path B | `foreachBatch` as-of look-up in the landed logins (both reasons), |
+|           | or a stream-stream left outer join over the 30-minute look-back |
+| D4 travel, D8 sequence | per-key state that holds rows back to the watermark |
+|                        | and handles them in time order; idle keys expire |
 | D5, D19 evidence | `foreachBatch` anti join against the requests table |
-| D6, D9 baselines | daily aggregate (update mode) merged into stored daily |
-|                  | history by `foreachBatch`, affected days re-scored |
+| D6, D9 baselines | daily sums of each micro-batch, kept by batch; affected |
+|                  | days re-scored from all of them by `foreachBatch` |
 
-Timestamps must be TIMESTAMP (not NTZ) for watermarks; `as_event_time`
-converts. Rows later than the watermark are dropped by Spark, so the delay
-must cover the sources' disorder.
+Timestamps must be TIMESTAMP (not NTZ) for watermarks. D2, D12, D1's join form,
+D4 and D8 leave out rows that come later than their delay;
+`dropped_by_watermark` counts them, and the batch rules over the landed tables
+(`plans.runner`) correct for them. D5, D6, D9, D16 and D19 drop nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gatewatch import constants as K
-from gatewatch.functions.columns import blank, epoch_seconds, nonblank, normalized_status
+from gatewatch.functions.columns import blank, epoch_seconds, nonblank, normalized_status, session_key
 from gatewatch.plans import rules as R
 
 
-def as_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators left out as too late, over the
+    progress reports that Spark keeps."""
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0)) for p in map(dict, query.recentProgress) for op in p["stateOperators"])
 
 
 # ---------------------------------------------------------------- D2
@@ -90,15 +97,16 @@ def source_events_stream(okta: DataFrame, saviynt: DataFrame, ad: DataFrame, app
 
 
 def multi_app_session_stream(
-    app: DataFrame, *, window: str = "1 day", delay: str = "1 hour",
+    app: DataFrame, *, gap: str = "1 day", delay: str = "1 hour",
     more_than: int = K.MULTI_APP_MORE_THAN,
 ) -> DataFrame:
-    """Distinct apps per (user, session) within event-time windows (append
-    mode emits a window once the watermark closes it)."""
+    """Distinct apps per (user, session). A session's uses belong together
+    while they are at most `gap` apart, whatever day boundary lies between
+    (append mode emits a session once the watermark is `gap` past its end)."""
     return (
         app.filter(nonblank("session_id"))
         .withWatermark("ts", delay)
-        .groupBy("user", "session_id", F.window("ts", window).alias("w"))
+        .groupBy("user", "session_id", F.session_window("ts", gap).alias("w"))
         .agg(
             F.sort_array(F.collect_set("app")).alias("applications"),
             F.min("ts").alias("session_start"),
@@ -106,8 +114,7 @@ def multi_app_session_stream(
         )
         .withColumn("application_count", F.size("applications").cast("long"))
         .filter(F.col("application_count") > more_than)
-        .select("user", "session_id", "application_count", "applications", "session_start",
-                "session_end", F.col("w.start").alias("window_start"))
+        .select("user", "session_id", "application_count", "applications", "session_start", "session_end")
     )
 
 
@@ -139,14 +146,72 @@ def no_recent_login_stream(
     )
 
 
+def no_recent_login_batch_writer(okta_loader, sink):
+    """`foreachBatch` function over session-less app uses: the batch rule's two
+    reasons with the login time, against the logins as they are when the batch
+    runs (`okta_loader()` returns them). `sink(df, batch_id)` persists."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sink(R.impossible_login(okta_loader(), batch.filter(blank("session_id"))), batch_id)
+
+    return run
+
+
 # ---------------------------------------------------------------- D4, D8 with state
 
+# rows held back and what is carried on, both as JSON
+_ORDERED_STATE = "held string, carried string"
+
+
+def _micros(ts: pd.Timestamp) -> int:
+    return pd.Timestamp(ts).value // 1000
+
+
+def _in_order(
+    pdfs: Iterable[pd.DataFrame],
+    state: GroupState,
+    columns: list[str],
+    step: Callable[[list | None, list], tuple[list, tuple | None]],
+    expire_seconds: int,
+) -> list[tuple]:
+    """New rows join the held ones; those before the watermark are final and
+    go through `step(carried, row) -> (carried, output or None)` in (time, id)
+    order, the others wait. `columns` begin with the time and the id. A key
+    with nothing held is forgotten `expire_seconds` after its last row."""
+    held, carried = [], None
+    if state.exists:
+        held_json, carried_json = state.get
+        held, carried = json.loads(held_json), json.loads(carried_json)
+    for pdf in pdfs:
+        for row in pdf[columns].itertuples(index=False, name=None):
+            held.append([_micros(row[0]), *[None if pd.isna(v) else v for v in row[1:]]])
+    watermark = state.getCurrentWatermarkMs()
+    held.sort(key=lambda r: (r[0], "" if r[1] is None else r[1]))
+    ready = [r for r in held if r[0] < watermark * 1000]
+    held = held[len(ready):]
+    out = []
+    for row in ready:
+        carried, found = step(carried, row)
+        if found is not None:
+            out.append(found)
+    if held:
+        wake = held[0][0] // 1000 + 1
+    elif carried is not None and carried[0] // 1000 + expire_seconds * 1000 > watermark:
+        wake = carried[0] // 1000 + expire_seconds * 1000
+    else:
+        if state.exists:
+            state.remove()
+        return out
+    state.update((json.dumps(held), json.dumps(carried)))
+    state.setTimeoutTimestamp(max(wake, watermark + 1))
+    return out
+
+
 TRAVEL_SCHEMA = (
     "user string, req_id string, previous_country string, current_country string, "
     "previous_login_ts timestamp, current_login_ts timestamp, seconds_between long, "
     "distance_km double, required_speed_kmh double"
 )
-_TRAVEL_STATE = "ts timestamp, req_id string, country string"
 
 
 def _haversine(lat1, lon1, lat2, lon2):
@@ -165,36 +230,38 @@ def _round1(x: float) -> float:
 
 
 def _travel_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per user: carry the last successful login across micro-batches and
-    compare each new login (in time order) with the one before it."""
-    rows = pd.concat(list(pdfs)).sort_values(["ts", "req_id"])
-    prev = state.get if state.exists else None
-    out = []
-    for r in rows.itertuples(index=False):
-        if prev is not None and prev[2] is not None and r.country is not None and r.country != prev[2]:
-            seconds = int(r.ts.timestamp() // 1) - int(pd.Timestamp(prev[0]).timestamp() // 1)
-            a, b = K.COUNTRY_CENTROIDS.get(prev[2]), K.COUNTRY_CENTROIDS.get(r.country)
-            if a and b and 0 < seconds <= K.TRAVEL_MAX_SECONDS:
-                km = _haversine(a[0], a[1], b[0], b[1])
-                speed = km / (seconds / 3600.0)
-                if speed > K.TRAVEL_MAX_SPEED_KMH:
-                    out.append((key[0], r.req_id, prev[2], r.country, pd.Timestamp(prev[0]), r.ts,
-                                seconds, _round1(km), _round1(speed)))
-        prev = (r.ts, r.req_id, r.country)
-    if prev is not None:
-        state.update(prev)
+    """Per user: each successful login against the one before it in time."""
+
+    def step(last: list | None, row: list) -> tuple[list, tuple | None]:
+        at, req_id, country = row
+        if last is None or last[2] is None or country is None or country == last[2]:
+            return row, None
+        seconds = at // 1_000_000 - last[0] // 1_000_000
+        here, there = K.COUNTRY_CENTROIDS.get(country), K.COUNTRY_CENTROIDS.get(last[2])
+        if not (here and there and 0 < seconds <= K.TRAVEL_MAX_SECONDS):
+            return row, None
+        km = _haversine(*there, *here)
+        speed = km / (seconds / 3600.0)
+        if speed <= K.TRAVEL_MAX_SPEED_KMH:
+            return row, None
+        return row, (key[0], req_id, last[2], country, pd.Timestamp(last[0], unit="us"), pd.Timestamp(at, unit="us"),
+                     seconds, _round1(km), _round1(speed))
+
+    out = _in_order(pdfs, state, ["ts", "req_id", "country"], step, K.TRAVEL_MAX_SECONDS)
     yield pd.DataFrame(out, columns=[f.split()[0] for f in TRAVEL_SCHEMA.split(", ")])
 
 
-def impossible_travel_stream(okta: DataFrame) -> DataFrame:
-    """Stateful D4: one small state row per user (its last successful login)."""
+def impossible_travel_stream(okta: DataFrame, *, delay: str = "2 hours") -> DataFrame:
+    """Stateful D4: per user the logins newer than the watermark and the last
+    one before it, for as long as it can still begin a finding."""
     return (
         okta.filter(normalized_status("status") == K.SUCCESS_STATUS)
         .filter(F.col("ts").isNotNull())
         .select("user", "req_id", "country", "ts")
+        .withWatermark("ts", delay)
         .groupBy("user")
-        .applyInPandasWithState(_travel_step, TRAVEL_SCHEMA, _TRAVEL_STATE, "append",
-                                GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(_travel_step, TRAVEL_SCHEMA, _ORDERED_STATE, "append",
+                                GroupStateTimeout.EventTimeTimeout)
     )
 
 
@@ -202,35 +269,33 @@ SEQUENCE_SCHEMA = (
     "user string, usage_id string, session_id string, previous_app string, current_app string, "
     "next_app string, sequence_time timestamp"
 )
-_SEQ_STATE = ("p_app string, c_app string, c_usage string, c_session string, c_ts timestamp, "
-              "last_ts timestamp, last_usage string")
 
 
-def _sequence_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per (user, session key): keep the last two apps; when a third arrives
-    and the three match the pattern, emit the middle one."""
-    rows = pd.concat(list(pdfs)).sort_values(["ts", "usage_id"])
-    p_app = c_app = c_usage = c_session = c_ts = None
-    if state.exists:
-        p_app, c_app, c_usage, c_session, c_ts, _, _ = state.get
-    out = []
+def high_risk_sequence_stream(app: DataFrame, *, delay: str = "2 hours", idle_seconds: int = 30 * 86400) -> DataFrame:
+    """Stateful D8: per session the uses newer than the watermark and the two
+    before it; when three in a row match the pattern, the middle one is emitted.
+    A session without a use for `idle_seconds` is over."""
     first, middle, last = K.HIGH_RISK_SEQUENCE
-    for r in rows.itertuples(index=False):
-        if p_app == first and c_app == middle and r.app == last:
-            out.append((key[0], c_usage, c_session, p_app, c_app, r.app, pd.Timestamp(c_ts)))
-        p_app, c_app, c_usage, c_session, c_ts = c_app, r.app, r.usage_id, r.session_id, r.ts
-    if c_usage is not None:
-        state.update((p_app, c_app, c_usage, c_session, c_ts, c_ts, c_usage))
-    yield pd.DataFrame(out, columns=[f.split()[0] for f in SEQUENCE_SCHEMA.split(", ")])
-
-
-def high_risk_sequence_stream(app: DataFrame) -> DataFrame:
-    keyed = app.withColumn(
-        "session_key",
-        F.when(nonblank("session_id"), F.col("session_id")).otherwise(F.concat(F.lit("user:"), F.col("user"))),
-    ).select("user", "session_key", "usage_id", "session_id", "app", "ts")
-    return keyed.groupBy("user", "session_key").applyInPandasWithState(
-        _sequence_step, SEQUENCE_SCHEMA, _SEQ_STATE, "append", GroupStateTimeout.NoTimeout
+
+    def sequence_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def step(before: list | None, row: list) -> tuple[list, tuple | None]:
+            # carried: the last use (time, id, app, session) and the app before it
+            found = None
+            if before and before[4] == first and before[2] == middle and row[2] == last:
+                found = (key[0], before[1], before[3], first, middle, last, pd.Timestamp(before[0], unit="us"))
+            return [*row, before[2] if before else None], found
+
+        out = _in_order(pdfs, state, ["ts", "usage_id", "app", "session_id"], step, idle_seconds)
+        yield pd.DataFrame(out, columns=[f.split()[0] for f in SEQUENCE_SCHEMA.split(", ")])
+
+    return (
+        app.filter(F.col("ts").isNotNull())
+        .withColumn("session_key", session_key())
+        .select("user", "session_key", "usage_id", "session_id", "app", "ts")
+        .withWatermark("ts", delay)
+        .groupBy("user", "session_key")
+        .applyInPandasWithState(sequence_step, SEQUENCE_SCHEMA, _ORDERED_STATE, "append",
+                                GroupStateTimeout.EventTimeTimeout)
     )
 
 
@@ -256,61 +321,47 @@ def evidence_batch_writer(saviynt_loader, sink):
 # ---------------------------------------------------------------- D6, D9 over stored daily history
 
 
-def daily_totals_stream(app: DataFrame, *, delay: str = "1 day") -> DataFrame:
-    """Per (user, day) data volume, emitted in update mode: every micro-batch
-    carries the new totals of the days it touched."""
-    return (
-        app.withWatermark("ts", delay)
-        .groupBy("user", F.to_date("ts").alias("activity_date"))
-        .agg(F.sum(F.col("data_mb").try_cast("double")).alias("total_data_mb"))
-    )
-
-
-def daily_counts_stream(ad: DataFrame, *, delay: str = "1 day") -> DataFrame:
-    """Per (day, action) directory-change counts, update mode."""
-    return (
-        ad.withWatermark("ts", delay)
-        .groupBy(F.to_date("ts").alias("activity_date"), "action")
-        .agg(F.count(F.lit(1)).alias("event_count"))
-    )
-
-
 def baseline_batch_writer(history_path: str, scored_path: str, kind: str, *,
                           days: int = K.BASELINE_DAYS):
-    """`foreachBatch` function for `daily_totals_stream` (kind="data", D9) or
-    `daily_counts_stream` (kind="volume", D6).
-
-    Each micro-batch (a) replaces the touched days in the stored daily
-    history (dynamic partition overwrite by day, so a replayed batch is
-    harmless), then (b) re-scores every day whose result can have changed --
-    the touched days and the `days` after them -- from the stored history
-    alone, and (c) replaces those days in the scored table. Every scored
-    (key, day) row is kept with an `is_finding` flag, so a day that stops
-    being a finding is overwritten too; findings are `is_finding = true`.
-    The stream holds one state row per open (key, day); the touched-day range
-    reaches the driver as one aggregated row.
+    """`foreachBatch` function over app uses (kind="data", D9) or directory
+    changes (kind="volume", D6).
+
+    Each micro-batch (a) is reduced to its sums per key and day and written as
+    its own partition of the history (`batch_id`, overwritten if the batch is
+    replayed), so no batch touches what others have written and rows may come
+    as late as they like, then (b) every day whose result can have changed, the
+    touched days and the `days` after them, is re-scored from the sums of all
+    batches, and (c) replaces those days in the scored table. Every scored
+    (key, day) row is kept with an `is_finding` flag, so a day that stops being
+    a finding is overwritten too. Only the touched-day range reaches the driver.
     """
     import datetime as dt
 
     from gatewatch.operators.aggregates import rolling_baseline
 
     if kind == "data":
-        value, keys, average = "total_data_mb", ["user"], "rolling_average_mb"
+        value, key, average = "total_data_mb", "user", "rolling_average_mb"
+        amount = F.sum(F.col("data_mb").try_cast("double"))
     elif kind == "volume":
-        value, keys, average = "event_count", ["action"], "rolling_average"
+        value, key, average = "event_count", "action", "rolling_average"
+        amount = F.count(F.lit(1))
     else:
         raise ValueError("kind must be 'data' or 'volume'")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min("activity_date").alias("lo"), F.max("activity_date").alias("hi")).first()
-        if span is None or span["lo"] is None:
+        spark = batch.sparkSession
+        part = f"{history_path.rstrip('/')}/batch_id={batch_id}"
+        daily = batch.groupBy(key, F.to_date("ts").alias("activity_date")).agg(amount.alias(value))
+        daily.write.mode("overwrite").parquet(part)
+        written = spark.read.schema(daily.schema).parquet(part)
+        span = written.agg(F.min("activity_date").alias("lo"), F.max("activity_date").alias("hi")).first()
+        if span["lo"] is None:
             return
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("activity_date").parquet(history_path))
         lo, hi = span["lo"], span["hi"] + dt.timedelta(days=days)
-        history = batch.sparkSession.read.parquet(history_path).filter(
+        history = spark.read.schema(daily.schema).parquet(history_path).filter(
             F.col("activity_date").between(lo - dt.timedelta(days=days), hi))
-        scored = rolling_baseline(history, keys, "activity_date", value, days=days, average=average)
+        totals = history.groupBy(key, "activity_date").agg(F.sum(value).alias(value))
+        scored = rolling_baseline(totals, [key], "activity_date", value, days=days, average=average)
         if kind == "data":
             hit = F.col(value) > F.greatest(F.col(average) * K.SPIKE_FACTOR, F.lit(K.DATA_FLOOR_MB))
         else:

@@ -60,16 +60,52 @@ def test_orphan_events_stream_equals_batch(spark, staged):
     assert sorted(got.collect()) == sorted(exp.collect())
 
 
-def test_stateful_travel_and_sequence_equal_batch(spark, staged):
+def _closing(df, ts, **values):
+    """`df` and one row at `ts` that pushes the watermark past all others."""
+    row = df.limit(1).select(*[
+        (F.lit(values[c]) if c in values else F.lit(ts) if c == "ts" else F.col(c)).cast(df.schema[c].dataType).alias(c)
+        for c in df.columns])
+    return df.unionByName(row)
+
+
+def _in_files(df, root, name, parts, jitter_seconds):
+    """Files in time order, each row up to `jitter_seconds` out of place."""
+    path = f"{root}/{name}"
+    rows = df.withColumn("_at", F.unix_timestamp("ts") + F.pmod(F.xxhash64(*df.columns), F.lit(jitter_seconds)))
+    rows = sorted(rows.collect(), key=lambda r: r["_at"])
+    size = -(-len(rows) // parts)
+    for k in range(parts):
+        chunk = [tuple(r)[:-1] for r in rows[k * size:(k + 1) * size]]
+        df.sparkSession.createDataFrame(chunk, df.schema).coalesce(1).write.parquet(f"{path}/{k:03d}")
+    return path
+
+
+def _stream_files(spark, path, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+
+
+def test_stateful_travel_and_sequence_equal_batch_over_disordered_batches(spark, staged):
     root, b = staged
-    got = _drain(live.impossible_travel_stream(_stream(spark, root, "okta", b["okta"].schema)), "s_travel")
+    okta = _closing(b["okta"], "2035-01-01 00:00:00", user="closing", req_id="closing", status="success")
+    path = _in_files(okta, root, "okta_files", 7, 5400)
+    q = live.impossible_travel_stream(_stream_files(spark, path, okta.schema)).writeStream.format("memory").queryName(
+        "s_travel").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert live.dropped_by_watermark(q) == 0
     exp = R.impossible_travel(b["okta"])
     cols = ["req_id", "previous_country", "current_country", "seconds_between", "distance_km",
             "required_speed_kmh"]
-    assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
-    got = _drain(live.high_risk_sequence_stream(_stream(spark, root, "app_usage", b["app_usage"].schema)), "s_seq")
+    assert sorted(spark.table("s_travel").select(*cols).collect()) == sorted(exp.select(*cols).collect())
+    assert exp.count() > 5
+    # only the closing user's row is left in the state
+    assert [op["numRowsTotal"] for op in dict(q.recentProgress[-1])["stateOperators"]] == [1]
+
+    app = _closing(b["app_usage"], "2035-01-01 00:00:00", user="closing", usage_id="closing")
+    path = _in_files(app, root, "app_files", 5, 5400)
+    got = _drain(live.high_risk_sequence_stream(_stream_files(spark, path, app.schema)), "s_seq")
     exp = R.high_risk_sequence(b["app_usage"])
-    assert sorted(r["usage_id"] for r in got.collect()) == sorted(r["usage_id"] for r in exp.collect())
+    assert sorted(got.collect()) == sorted(exp.collect())
+    assert exp.count() > 0
 
 
 def test_ingest_stream_lands_once(spark):
@@ -90,26 +126,65 @@ def test_ingest_stream_lands_once(spark):
 
 
 def _run_batches(df, fn, name):
-    q = df.writeStream.outputMode("update").foreachBatch(fn).option(
+    q = df.writeStream.foreachBatch(fn).option(
         "checkpointLocation", tempfile.mkdtemp(prefix=f"gw-{name}-")).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def test_streaming_baselines_equal_batch(spark, staged):
+def test_ingest_keeps_files_with_old_times_and_the_last_delivery(spark):
+    import os
+
+    src, landing = tempfile.mkdtemp(prefix="gw-env-"), tempfile.mkdtemp(prefix="gw-land-")
+    schema = "user string, join_date string, location string"
+
+    def deliver(rows, run, mtime):
+        write_envelopes(encode_records({"hrlifecycle": spark.createDataFrame(rows, schema).coalesce(1)}, "dev", run), f"{src}/in")
+        for p in Path(f"{src}/in").glob("*.json"):
+            if p not in seen:
+                os.utime(p, (mtime, mtime))
+                seen.add(p)
+
+    def ingest():
+        ingest_stream(spark, f"{src}/in", landing, f"{src}/ckpt", "dev", max_files_per_trigger=1).awaitTermination()
+
+    seen: set = set()
+    deliver([("a", "1", "first")], "r1", 1_700_000_000)
+    ingest()
+    deliver([("b", "1", "late file"), ("a", "1", "second")], "r2", 1_700_000_000 - 3 * 3600)  # three hours older
+    ingest()  # restarted between the batches
+    deliver([("c", "1", "x"), ("c", "1", "y"), ("c", "1", "z")], "r3", 1_700_000_000 + 3 * 3600)
+    ingest()
+    got = {r["user"]: r["location"] for r in load_source(spark, landing, "hrlifecycle").collect()}
+    assert got == {"a": "second", "b": "late file", "c": "z"}
+
+
+def test_streaming_baselines_equal_batch_over_many_batches(spark, staged):
+    """Micro-batches share days, come out of order by days, and one is replayed."""
     root, b = staged
-    hist, scored = tempfile.mkdtemp(prefix="gw-hist-"), tempfile.mkdtemp(prefix="gw-scored-")
-    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
-    _run_batches(live.daily_totals_stream(app, delay="30 days"),
-                 live.baseline_batch_writer(f"{hist}/d", f"{scored}/d", "data"), "data")
-    got = spark.read.parquet(f"{scored}/d").filter("is_finding")
-    exp = R.excessive_data_transferred(b["app_usage"])
-    assert sorted((r["user"], str(r["activity_date"])) for r in got.collect()) == sorted(
-        (r["user"], str(r["activity_date"])) for r in exp.collect())
-    ad = _stream(spark, root, "ad", b["ad"].schema)
-    _run_batches(live.daily_counts_stream(ad, delay="30 days"),
-                 live.baseline_batch_writer(f"{hist}/v", f"{scored}/v", "volume"), "volume")
-    got = spark.read.parquet(f"{scored}/v")
-    assert got.filter("is_finding").count() == R.ad_volume_spikes(b["ad"]).count()
+    for name, source, kind, rule in (("d", "app_usage", "data", R.excessive_data_transferred), ("v", "ad", "volume", R.ad_volume_spikes)):
+        hist, scored = tempfile.mkdtemp(prefix="gw-hist-"), tempfile.mkdtemp(prefix="gw-scored-")
+        path = _in_files(b[source], root, f"{source}_days", 6, 10 * 86400)
+        write = live.baseline_batch_writer(f"{hist}/h", f"{scored}/s", kind)
+        kept = []
+
+        def run(batch, batch_id, write=write, kept=kept):
+            write(batch, batch_id)
+            if batch_id == 2:
+                write(batch, batch_id)
+                kept.append(batch_id)
+
+        _run_batches(_stream_files(spark, path, b[source].schema), run, name)
+        assert kept == [2]
+        got = spark.read.parquet(f"{scored}/s")
+        key = "user" if kind == "data" else "action"
+        value = "total_data_mb" if kind == "data" else "event_count"
+        exp = rule(b[source])
+        rows = lambda df: sorted((r[key], str(r["activity_date"]), round(r[value], 6)) for r in df.collect())
+        assert rows(got.filter("is_finding")) == rows(exp)
+        # every (key, day) of every batch is in the history
+        days = b[source].groupBy(key, F.to_date("ts").alias("activity_date")).agg(
+            (F.sum("data_mb") if kind == "data" else F.count(F.lit(1))).alias(value))
+        assert rows(got.select(key, "activity_date", value)) == rows(days)
 
 
 def test_evidence_batch_writer(spark, staged):
@@ -146,14 +221,41 @@ def test_no_recent_login_stream_equals_batch_path_b(spark, staged):
     assert got_ids == sorted(r["usage_id"] for r in exp.filter(F.col("app_access_time") < closed).collect())
 
 
+def test_no_recent_login_batches_give_both_reasons(spark, staged):
+    root, b = staged
+    found = []
+    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
+    _run_batches(app, live.no_recent_login_batch_writer(lambda: b["okta"], lambda df, i: found.extend(df.collect())), "nl")
+    exp = R.impossible_login(b["okta"], b["app_usage"]).filter(F.col("session_id").isNull() | (F.trim("session_id") == ""))
+    assert sorted(found, key=str) == sorted(exp.collect(), key=str)
+    assert {r["anomaly_reason"] for r in found} == {"no_preceding_login", "application_too_long_after_login"}
+
+
+def test_multi_app_session_stream_crosses_midnight(spark):
+    import datetime as dt
+
+    root = tempfile.mkdtemp(prefix="gw-multi-")
+    apps = ["GitHub", "Snowflake", "Databricks", "Workday", "Salesforce"]
+    start = dt.datetime(2024, 3, 1, 22, 0)
+    rows = [("u", f"U{i}", a, "S1", start + dt.timedelta(hours=i)) for i, a in enumerate(apps)]
+    rows += [("v", f"V{i}", a, "S2", start + dt.timedelta(hours=i)) for i, a in enumerate(apps[:2])]
+    schema = "user string, usage_id string, app string, session_id string, ts timestamp"
+    for k in range(3):
+        part = rows[k::3] + ([("closing", "C", "GitHub", "S9", start + dt.timedelta(days=9))] if k == 2 else [])
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{root}/a/{k:03d}")
+    exp = R.multi_app_session(spark.createDataFrame(rows, schema))
+    q = live.multi_app_session_stream(_stream_files(spark, f"{root}/a", schema), delay="6 hours")
+    got = _drain(q, "s_midnight")
+    assert sorted(got.collect()) == sorted(exp.collect()) and exp.count() == 1
+
+
 def test_multi_app_session_stream_equals_batch(spark, staged):
     root, b = staged
     app = _stream(spark, root, "app_usage", b["app_usage"].schema)
-    q = (live.multi_app_session_stream(app, window="3650 days", delay="0 seconds")
-         .writeStream.format("memory").queryName("s_multi").outputMode("update")
+    q = (live.multi_app_session_stream(app, gap="40 days", delay="0 seconds")
+         .writeStream.format("memory").queryName("s_multi").outputMode("complete")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.table("s_multi")
     exp = R.multi_app_session(b["app_usage"])
-    assert sorted((r["user"], r["session_id"], r["application_count"]) for r in got.collect()) == sorted(
-        (r["user"], r["session_id"], r["application_count"]) for r in exp.collect())
+    assert sorted(got.collect()) == sorted(exp.collect())
