@@ -1,6 +1,7 @@
 """Command line: `python -m gatewatch <command> ...` (under spark-submit on a cluster).
 
-  check-csv  DATA_DIR                         contract check of the source CSV files
+  check-csv  DATA_DIR [--out PATH]            contract check of the source CSV files;
+                                              all violations as JSON lines below PATH
   publish    DATA_DIR OUT --env E --run-id R  CSV rows -> JSON-lines envelopes
   ingest     IN LANDING --checkpoint C --env E
                                               envelopes -> landed Parquet (bounded stream)
@@ -13,9 +14,9 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def _session(app: str) -> SparkSession:
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
 
     c = sub.add_parser("check-csv")
     c.add_argument("data_dir")
+    c.add_argument("--out", help="where to write the violations")
 
     pub = sub.add_parser("publish")
     pub.add_argument("data_dir")
@@ -62,26 +64,31 @@ def main(argv: list[str] | None = None) -> int:
         from gatewatch.sources.loader import check_source_files
 
         problems = check_source_files(spark, a.data_dir)
-        rows = problems.limit(50).collect()
-        for row in rows:
+        if a.out:
+            seen = Observation("violations")
+            problems.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(a.out)
+            n = int(seen.get["n"])
+        else:
+            n = problems.count()
+        shown = problems.limit(50).collect()
+        for row in shown:
             print(json.dumps(row.asDict()))
-        return 1 if rows else 0
+        print(json.dumps({"violations": n, "shown": len(shown), "written_to": a.out}))
+        return 1 if n else 0
 
     if a.cmd == "publish":
         from gatewatch.sources.contracts import SOURCE_FILES
-        from gatewatch.sources.envelope import encode_records, envelope_counts
-        from gatewatch.sources.loader import check_source_files, read_csv_source
+        from gatewatch.sources.envelope import encode_records, observed_counts
+        from gatewatch.sources.loader import check_source_files, csv_path, read_csv_source
         from gatewatch.streaming.ingest import write_envelopes
 
         if not check_source_files(spark, a.data_dir).isEmpty():
             print("source files violate the contract; run check-csv", file=sys.stderr)
             return 1
-        frames = {s: read_csv_source(spark, str(Path(a.data_dir) / n), s) for s, n in SOURCE_FILES.items()}
-        frames = {s: df.select(*[c for c in df.columns if not c.startswith("_")]) for s, df in frames.items()}
-        env = encode_records(frames, a.env, a.run_id)
-        write_envelopes(env, a.out)
-        counts = {r["source"]: r["messages"] for r in envelope_counts(spark.read.json(a.out)).collect()}
-        print(json.dumps(counts))
+        frames = {s: read_csv_source(spark, csv_path(a.data_dir, s), s) for s in SOURCE_FILES}
+        published = Observation("published")
+        write_envelopes(encode_records(frames, a.env, a.run_id).observe(published, *observed_counts()), a.out)
+        print(json.dumps(published.get))
         return 0
 
     if a.cmd == "ingest":

@@ -76,7 +76,8 @@ def _typed_columns() -> dict[str, dict[str, str]]:
     return {
         "okta": {"ts": "timestamp"},
         "ad": {"ts": "timestamp"},
-        "app_usage": {"ts": "timestamp", "data_mb": "double"},
+        # data_mb stays text: the timeline prints it as it came, sums try_cast it
+        "app_usage": {"ts": "timestamp"},
         "saviynt": {"ts": "timestamp"},
         "hrlifecycle": {},
         "anomaly_key": {},

@@ -35,7 +35,7 @@ def encode_records(
     for source, df in frames.items():
         if source not in KNOWN_SOURCES:
             raise ValueError(f"unknown source {source!r}")
-        value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+        value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
         parts.append(
             df.select(
                 value.alias("value"),
@@ -53,6 +53,11 @@ def envelope_counts(envelopes: DataFrame) -> DataFrame:
     return envelopes.groupBy("source").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def observed_counts() -> list[Column]:
+    """Messages per source, as metrics that a write can observe on the way."""
+    return [F.count_if(F.col("source") == s).alias(s) for s in sorted(KNOWN_SOURCES)]
+
+
 def _payload_schema(source: str) -> StructType:
     cols = SOURCE_REQUIRED_COLUMNS[source]
     return StructType([StructField(c, StringType()) for c in cols] + [StructField(_CORRUPT, StringType())])
@@ -80,7 +85,8 @@ def decode_envelopes(
     are not a JSON object go to `rejects` with a `reason` instead of failing
     the job (`require_clean` gives the fail-all behaviour). Decoded rows get
     the lineage columns `_pipeline_run_id`, `_pubsub_message_id`,
-    `_ingested_at` (ISO-8601 UTC text).
+    `_ingested_at` (ISO-8601 UTC text), and `_delivery` where the envelopes
+    have it.
     """
     env = safe_identifier(F.coalesce(F.col("pipeline_env"), F.lit(expected_env)))
     run = safe_identifier(F.coalesce(F.col("run_id"), F.lit(UNLABELLED_RUN)))
@@ -90,6 +96,8 @@ def decode_envelopes(
     base = envelopes.withColumns({"_env": env, "_run": run, "_reason": rejection_reason(env, expected_env)})
     good = base.filter(F.col("_reason").isNull())
 
+    # the order of delivery travels along where the envelopes carry it
+    delivery = [F.col("_delivery")] if "_delivery" in envelopes.columns else []
     by_source: dict[str, DataFrame] = {}
     bad_json: list[DataFrame] = []
     for source in sorted(KNOWN_SOURCES):
@@ -105,6 +113,7 @@ def decode_envelopes(
             F.col("_run").alias("_pipeline_run_id"),
             F.col("message_id").alias("_pubsub_message_id"),
             ingested.alias("_ingested_at"),
+            *delivery,
         )
         bad_json.append(
             parsed.filter(F.col("_p").isNull() | F.col(f"_p.{_CORRUPT}").isNotNull()).select(

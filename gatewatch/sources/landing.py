@@ -16,29 +16,25 @@ from pyspark.sql import functions as F
 
 from gatewatch.sources.loader import dedup_source, source_path
 
-ROW_GROUP_ROWS = 100_000
-
-
-def land_source(
-    df: DataFrame, root: str, source: str, *, max_records_per_file: int = ROW_GROUP_ROWS
-) -> None:
-    """Dedup one source batch by identity and append it under its run."""
+def land_source(df: DataFrame, root: str, source: str) -> None:
+    """Dedup one source batch by identity (last delivery wins) and append it
+    under its run. The rows are rebalanced by run before the write, so file
+    sizes follow the advisory partition size and not the number of tasks."""
     (
         dedup_source(df, source)
+        .drop("_delivery")
         .withColumn("run_id", F.col("_pipeline_run_id"))
+        .hint("rebalance", F.col("run_id"))
         .write.mode("append")
         .partitionBy("run_id")
-        .option("maxRecordsPerFile", max_records_per_file)
         .parquet(source_path(root, source))
     )
 
 
-def land(
-    by_source: Mapping[str, DataFrame], root: str, *, max_records_per_file: int = ROW_GROUP_ROWS
-) -> list[str]:
+def land(by_source: Mapping[str, DataFrame], root: str) -> list[str]:
     """Land every source in sorted order; returns the paths written to."""
     written = []
     for source in sorted(by_source):
-        land_source(by_source[source], root, source, max_records_per_file=max_records_per_file)
+        land_source(by_source[source], root, source)
         written.append(source_path(root, source))
     return written

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import logging
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,11 +23,32 @@ LOG = logging.getLogger("gatewatch.sources")
 CORRUPT = "_corrupt_record"
 
 
+# RFC 4180: a doubled quote is a quote, and a quoted field may hold line breaks
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": "true"}
+
+
+def csv_path(data_dir: str, source: str) -> str:
+    """Path of a source's CSV file; any path that Spark reads."""
+    return f"{data_dir.rstrip('/')}/{SOURCE_FILES[source]}"
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
+
+
 def read_csv_source(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Header CSV read with the source's fixed schema (no inference)."""
-    return spark.read.option("header", True).option("encoding", "UTF-8").schema(
-        SOURCE_SCHEMAS[source]
+    """The source's contract columns of a CSV file, bound by header name.
+
+    Columns may come in any order, extra ones (lineage columns too) are left
+    out, contract columns without a header are null, and a blank value is ''."""
+    header = _header(spark, path)
+    found = spark.read.options(**CSV_OPTIONS).schema(
+        StructType([StructField(c, StringType()) for c in header])
     ).csv(path)
+    return found.select(*[
+        (F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in header else F.lit(None).cast("string")).alias(c)
+        for c in SOURCE_REQUIRED_COLUMNS[source]
+    ])
 
 
 def check_source_files(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -36,21 +56,25 @@ def check_source_files(spark: SparkSession, data_dir: str) -> DataFrame:
 
     * `missing_file`: a configured file does not exist;
     * `missing_columns`: the header lacks required columns;
-    * `malformed_row`: a row whose field count differs from the header's.
+    * `malformed_row`: a row whose field count differs from the header's;
+    * `invalid_utf8`: a line that is not valid UTF-8.
 
-    Row checks run as one Spark job per file (PERMISSIVE parse with a
-    corrupt-record column), so large files are checked in parallel. An empty
-    result means the files may be published.
+    Files are found and read by Spark, so any file system it reads will do. Row
+    checks are one Spark job per file (PERMISSIVE parse with a corrupt-record
+    column). An empty result means the files may be published.
     """
     schema = StructType([StructField(n, StringType()) for n in ("source", "kind", "detail", "row")])
     parts: list[DataFrame] = []
     problems: list[tuple[str, str, str, str | None]] = []
-    for source, name in SOURCE_FILES.items():
-        path = str(Path(data_dir) / name)
-        if not Path(path).is_file():
+    for source in SOURCE_FILES:
+        path = csv_path(data_dir, source)
+        try:
+            header = _header(spark, path)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             problems.append((source, "missing_file", path, None))
             continue
-        header = spark.read.option("header", True).csv(path).columns
         missing = sorted(set(SOURCE_REQUIRED_COLUMNS[source]) - set(header))
         if missing:
             problems.append((source, "missing_columns", ", ".join(missing), None))
@@ -59,25 +83,28 @@ def check_source_files(spark: SparkSession, data_dir: str) -> DataFrame:
             [StructField(c, StringType()) for c in header] + [StructField(CORRUPT, StringType())]
         )
         rows = (
-            spark.read.option("header", True)
+            spark.read.options(**CSV_OPTIONS)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("enforceSchema", False)
             .schema(file_schema)
             .csv(path)
         )
+
+        def violation(df: DataFrame, kind: str, row: Column, source: str = source, path: str = path) -> DataFrame:
+            return df.select(F.lit(source).alias("source"), F.lit(kind).alias("kind"), F.lit(path).alias("detail"),
+                             row.alias("row"))
+
         # Spark refuses scans that read only the corrupt-record column (which
         # is what column pruning leaves for a count), so the predicate also
         # reads the parsed fields; the second term is always true.
-        parsed_fields = F.length(F.concat_ws("", *[F.col(c) for c in header])) >= 0
-        parts.append(
-            rows.filter(F.col(CORRUPT).isNotNull() & parsed_fields).select(
-                F.lit(source).alias("source"), F.lit("malformed_row").alias("kind"),
-                F.lit(path).alias("detail"),
-                # also reading a data column keeps the parse on the full schema
-                F.coalesce(F.col(CORRUPT), F.col(header[0])).alias("row"),
-            )
-        )
+        parsed_fields = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in header])) >= 0
+        parts.append(violation(
+            rows.filter(F.col(CORRUPT).isNotNull() & parsed_fields), "malformed_row",
+            # also reading a data column keeps the parse on the full schema
+            F.coalesce(F.col(CORRUPT), F.col(f"`{header[0]}`"))))
+        lines = spark.read.text(path)
+        parts.append(violation(lines.filter(~F.is_valid_utf8("value")), "invalid_utf8", F.make_valid_utf8("value")))
     out = spark.createDataFrame(problems, schema)
     for p in parts:
         out = out.unionByName(p)
@@ -103,35 +130,35 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def dedup_source(df: DataFrame, source: str) -> DataFrame:
-    """One row per identity: the latest landing wins (by `_ingested_at`,
-    then message id), remaining columns break any tie so the pick is
-    deterministic."""
+    """One row per identity: the latest landing wins (by `_ingested_at`, then
+    the order of delivery within a batch, then message id); two hashes of the
+    remaining columns break any tie, so the pick is deterministic and the sort
+    keys stay narrow."""
     keys = list(SOURCE_ID_COLUMNS[source])
-    order_cols = [c for c in ("_ingested_at", "_pubsub_message_id") if c in df.columns]
-    rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    order = [F.col(c).desc_nulls_last() for c in [*order_cols, *rest]]
-    return latest_by_key(df, keys, order)
+    order_cols = [c for c in ("_ingested_at", "_delivery", "_pubsub_message_id") if c in df.columns]
+    rest = [F.col(c) for c in df.columns if c not in keys and c not in order_cols]
+    order = [F.col(c).desc_nulls_last() for c in order_cols]
+    return latest_by_key(df, keys, [*order, F.xxhash64(*rest).desc(), F.hash(*rest).desc()])
+
+
+def scan_source(spark: SparkSession, input_root: str, source: str) -> DataFrame:
+    """Landed rows of `source` as they are, under its fixed schema (any
+    partition layout below its path); no rows where nothing has landed."""
+    schema, path = SOURCE_SCHEMAS[source], source_path(input_root, source)
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    try:
+        return align(reader.parquet(path), schema)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            LOG.warning("source %s has not landed below %s", source, input_root)
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def load_source(
     spark: SparkSession, input_root: str, source: str, *, typed: bool = True
 ) -> DataFrame:
-    """Landed Parquet for `source` under its contract.
-
-    Reads `<root>/<source>` (any partition layout below it) with the fixed
-    schema; a missing path gives an empty frame and a warning, any other
-    analysis error is raised. Columns are aligned to the contract, rows are
-    deduplicated by identity, and (by default) the computed-on columns are
-    typed with `try_` casts.
-    """
-    schema = SOURCE_SCHEMAS[source]
-    path = source_path(input_root, source)
-    try:
-        frame = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        LOG.warning("No files for %s at %s; using an empty source", source, path)
-        frame = spark.createDataFrame([], schema)
-    frame = dedup_source(align(frame, schema), source)
+    """`scan_source` with one row per identity and (by default) the columns
+    that rules order and subtract typed with `try_` casts."""
+    frame = dedup_source(scan_source(spark, input_root, source), source)
     return canonical(source, frame) if typed else frame

@@ -8,6 +8,24 @@ from pyspark.sql import DataFrame
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "delta", "iceberg"})
 
+# What an indirect warehouse write sets on top of the given options.
+INDIRECT_OPTIONS = {"truncate": "true", "partitionField": "event_date", "partitionType": "DAY"}
+
+
+def connector_options(options: Mapping[str, str]) -> dict[str, str]:
+    """Options of a warehouse write. `writeMethod` is `indirect` (the default:
+    staged files, so a `temporaryGcsBucket` is required; the table is truncated
+    and partitioned by day) or `direct` (none of these)."""
+    out = {"writeMethod": "indirect", **options}
+    method = out["writeMethod"]
+    if method == "direct":
+        return out
+    if method != "indirect":
+        raise ValueError(f"writeMethod must be direct or indirect, not {method!r}")
+    if not out.get("temporaryGcsBucket"):
+        raise ValueError("an indirect write stages files: set temporaryGcsBucket")
+    return {**INDIRECT_OPTIONS, **out}
+
 
 def write_findings(
     df: DataFrame,
@@ -22,13 +40,14 @@ def write_findings(
     File formats: `target` is a path; the table is fully replaced (static
     overwrite, never a dynamic per-partition overwrite) and laid out by
     `event_date` so readers prune by day. Other formats (warehouse
-    connectors): `target` is passed as the `table` option together with any
-    connector `options`; such a connector must be on the classpath.
+    connectors): `target` is passed as the `table` option together with
+    `connector_options`; such a connector must be on the classpath.
     """
+    files = format in FILE_FORMATS
     writer = df.write.format(format).mode("overwrite")
-    for k, v in (options or {}).items():
+    for k, v in (dict(options or {}) if files else connector_options(options or {})).items():
         writer = writer.option(k, v)
-    if format in FILE_FORMATS:
+    if files:
         writer = writer.option("partitionOverwriteMode", "static")
         if partition_by_date and "event_date" in df.columns:
             writer = writer.partitionBy("event_date")

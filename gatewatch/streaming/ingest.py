@@ -2,12 +2,15 @@
 
 Envelope files (JSON lines with `message_id, value, source, pipeline_env,
 run_id`) are read as a stream; each micro-batch is decoded, validated and
-landed (`sources.landing`), rejects go to `<landing>/_rejects`. The source
-offsets are committed to the checkpoint only after the batch's writes
-succeed, so a crash replays the batch; landing and loading both dedup by
-identity, which makes the replay harmless (at-least-once delivery,
-exactly-once effect). `trigger(availableNow=True)` drains what is there and
-stops, like a bounded pull.
+landed (`sources.landing`), rejects go to `<landing>/_rejects`. No message is
+dropped on its age: a file counts as delivered when the stream reads it,
+whatever its modification time, and a redelivered message is the same row
+again. The source offsets are committed to the checkpoint only after the
+batch's writes succeed, so a crash replays the batch; landing and loading both
+dedup by identity and keep the last delivery, which makes replays and
+redeliveries harmless (at-least-once delivery, exactly-once effect).
+`trigger(availableNow=True)` drains what is there and stops, like a bounded
+pull.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gatewatch.sources.envelope import ENVELOPE_COLUMNS, decode_envelopes
-from gatewatch.sources.landing import ROW_GROUP_ROWS, land
+from gatewatch.sources.landing import land
 
 ENVELOPE_SCHEMA = StructType([StructField(c, StringType()) for c in ENVELOPE_COLUMNS])
 
@@ -27,13 +30,22 @@ def read_envelopes(spark: SparkSession, path: str, *, max_files_per_trigger: int
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).withColumn("_arrival", F.col("_metadata.file_modification_time"))
+    source = reader.json(path)
+    return source.select(
+        *ENVELOPE_COLUMNS,
+        F.col("_metadata.file_modification_time").alias("_arrival"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
 
 
-def dedup_deliveries(envelopes: DataFrame, within: str = "1 hour") -> DataFrame:
-    """Drop redelivered messages (same id) arriving within `within` of each
-    other; state older than the watermark is evicted."""
-    return envelopes.withWatermark("_arrival", within).dropDuplicatesWithinWatermark(["message_id"])
+def with_delivery(batch: DataFrame) -> DataFrame:
+    """Envelopes of one micro-batch with `_delivery`, their order of delivery:
+    file time, file, place in the file."""
+    return batch.select(
+        *ENVELOPE_COLUMNS,
+        F.struct("_arrival", "_file", "_block", F.monotonically_increasing_id().alias("_row")).alias("_delivery"),
+    )
 
 
 def ingest_stream(
@@ -44,22 +56,23 @@ def ingest_stream(
     expected_env: str,
     *,
     available_now: bool = True,
-    dedup_within: str = "1 hour",
     max_files_per_trigger: int | None = None,
-    max_records_per_file: int = ROW_GROUP_ROWS,
 ) -> StreamingQuery:
     """Start the ingest query (call `.awaitTermination()` for a bounded run)."""
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
-        by_source, rejects = decode_envelopes(batch.drop("_arrival"), expected_env)
-        land(by_source, landing_root, max_records_per_file=max_records_per_file)
-        rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
-            f"{landing_root.rstrip('/')}/_rejects"
-        )
+        # read once: six sources and the rejects are written from the same rows
+        delivered = with_delivery(batch).persist()
+        try:
+            by_source, rejects = decode_envelopes(delivered, expected_env)
+            land(by_source, landing_root)
+            rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
+                f"{landing_root.rstrip('/')}/_rejects"
+            )
+        finally:
+            delivered.unpersist()
 
-    stream = dedup_deliveries(
-        read_envelopes(spark, envelope_path, max_files_per_trigger=max_files_per_trigger), dedup_within
-    )
+    stream = read_envelopes(spark, envelope_path, max_files_per_trigger=max_files_per_trigger)
     writer = stream.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -145,3 +145,85 @@ def test_write_findings_replaces(spark):
     write_findings(df, out)
     write_findings(df.withColumn("event_date", F.lit("2024-01-02")), out)
     assert [str(r["event_date"]) for r in spark.read.parquet(out).collect()] == ["2024-01-02"]
+
+
+def test_csv_binds_by_header_name_and_follows_rfc_4180(spark, tmp_path):
+    from gatewatch.sources.loader import csv_path, read_csv_source
+
+    path = csv_path(str(tmp_path), "hrlifecycle")
+    Path(path).write_bytes(
+        'location,user,extra,_pubsub_message_id,join_date,move_date1,move_date2,termination_date,department,job_role\r\n'
+        'Oslo,alice,e,m,2024-01-01,,,,"said ""yes"", ok","two\nlines"\r\n'.encode())
+    (r,) = read_csv_source(spark, path, "hrlifecycle").collect()
+    assert r["user"] == "alice" and r["location"] == "Oslo" and r["department"] == 'said "yes", ok'
+    assert r["job_role"] == "two\nlines" and r["move_date1"] == "" and "extra" not in r.asDict()
+    assert "_pubsub_message_id" not in r.asDict()
+
+
+def test_blank_csv_values_survive_publish_and_decode(spark, tmp_path):
+    from gatewatch.sources.envelope import decode_envelopes, encode_records
+    from gatewatch.sources.loader import csv_path, read_csv_source
+
+    path = csv_path(str(tmp_path), "anomaly_key")
+    Path(path).write_text('user,anomaly_description\nalice,\n"",x\n')
+    rows = read_csv_source(spark, path, "anomaly_key")
+    back, rejects = decode_envelopes(encode_records({"anomaly_key": rows}, "dev", "r"), "dev")
+    assert sorted(tuple(r)[:2] for r in back["anomaly_key"].collect()) == [("", "x"), ("alice", "")]
+    assert rejects.count() == 0
+
+
+def test_check_finds_invalid_utf8_and_accepts_any_column_order(spark, tmp_path):
+    from gatewatch.sources.contracts import SOURCE_FILES, SOURCE_REQUIRED_COLUMNS
+    from gatewatch.sources.loader import check_source_files
+
+    for source, name in SOURCE_FILES.items():
+        cols = [*reversed(SOURCE_REQUIRED_COLUMNS[source]), "more"]
+        (tmp_path / name).write_text(",".join(cols) + "\n" + ",".join("v" for _ in cols) + "\n")
+    assert check_source_files(spark, str(tmp_path)).count() == 0
+    assert check_source_files(spark, f"file://{tmp_path}/").count() == 0
+    with open(tmp_path / SOURCE_FILES["anomaly_key"], "ab") as f:
+        f.write(b"bad \xff byte,x,y\n")
+    found = check_source_files(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["kind"]) for r in found} == {("anomaly_key", "invalid_utf8")}
+
+
+def test_connector_write_rules():
+    import pytest
+
+    from gatewatch.sources.sinks import connector_options
+
+    full = connector_options({"temporaryGcsBucket": "b", "x": "1"})
+    assert full == {"writeMethod": "indirect", "truncate": "true", "partitionField": "event_date", "partitionType": "DAY",
+                    "temporaryGcsBucket": "b", "x": "1"}
+    assert connector_options({"writeMethod": "direct"}) == {"writeMethod": "direct"}
+    for bad in ({}, {"writeMethod": "indirect"}, {"writeMethod": "other", "temporaryGcsBucket": "b"}):
+        with pytest.raises(ValueError):
+            connector_options(bad)
+
+
+def test_landed_text_reaches_the_timeline_and_untimed_uses_are_no_findings(spark, tmp_path):
+    from gatewatch.plans import rules as R
+    from gatewatch.sources.contracts import SOURCE_SCHEMAS
+    from gatewatch.sources.landing import land
+    from gatewatch.sources.loader import load_source
+
+    def rows(source, *given):
+        names = SOURCE_SCHEMAS[source].names
+        full = [{**dict.fromkeys(names), **g, "_pipeline_run_id": "r", "_ingested_at": "2024"} for g in given]
+        return spark.createDataFrame([tuple(g[n] for n in names) for g in full], SOURCE_SCHEMAS[source])
+
+    land({
+        "app_usage": rows("app_usage",
+                          {"usage_id": "U1", "user": "u", "ts": "2024-01-01 08:00:00", "session_id": "S", "data_mb": "12", "app": "A"},
+                          {"usage_id": "U2", "user": "u", "ts": "no time", "session_id": "S", "data_mb": "a lot", "app": "A"},
+                          {"usage_id": "U3", "user": "u", "ts": None, "session_id": "T", "data_mb": None, "app": "A"}),
+        "okta": rows("okta", {"req_id": "L1", "user": "u", "ts": "2024-01-01 07:50:00", "session_id": "S", "status": "success"}),
+        "saviynt": rows("saviynt"), "ad": rows("ad"),
+    }, str(tmp_path))
+    src = {s: load_source(spark, str(tmp_path), s) for s in ("app_usage", "okta", "saviynt", "ad")}
+    line = R.identity_timeline(src["okta"], src["saviynt"], src["ad"], src["app_usage"])
+    text = {r["source_event_id"]: r["details"] for r in line.collect()}
+    assert text["U1"] == "app=A | data_mb=12" and text["U2"] == "app=A | data_mb=a lot" and text["U3"] == "app=A"
+    found = {(r["usage_id"], r["anomaly_reason"]) for r in R.impossible_login(src["okta"], src["app_usage"]).collect()}
+    # U2 has no time but its session has a login; U3's session has none
+    assert found == {("U3", "missing_session_login")}
