@@ -10,7 +10,6 @@ from __future__ import annotations
 
 # --- fixed values -----------------------------------------------------------
 PRIVILEGED_GROUPS = ("Security-Admins", "DBA", "DevOps")
-FAILURE_STATUSES = ("FAILED", "MFA_FAILED")  # kept for reference; rules test contains("FAIL")
 APPROVED_STATUSES = ("APPROVED", "COMPLETED")
 REJECTED_STATUSES = ("REJECTED", "DENIED")
 SUCCESS_STATUS = "SUCCESS"

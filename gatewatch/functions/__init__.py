@@ -8,8 +8,7 @@ from gatewatch.functions.columns import (
     nonblank,
     normalized_status,
     safe_identifier,
-    seconds_between,
-    sorted_set,
+    session_key,
 )
 from gatewatch.functions.findings import METADATA_COLUMNS, as_findings, finding_id
 
@@ -24,6 +23,5 @@ __all__ = [
     "nonblank",
     "normalized_status",
     "safe_identifier",
-    "seconds_between",
-    "sorted_set",
+    "session_key",
 ]

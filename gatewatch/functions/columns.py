@@ -34,8 +34,9 @@ def epoch_seconds(column: str | Column) -> Column:
     return F.unix_timestamp(_c(column))
 
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    return epoch_seconds(end) - epoch_seconds(start)
+def session_key(session: str = "session_id", user: str = "user") -> Column:
+    """The session, or one stand-in session per user for rows without one."""
+    return F.when(nonblank(session), F.col(session)).otherwise(F.concat(F.lit("user:"), F.col(user)))
 
 
 def safe_identifier(column: str | Column, fallback: str = IDENTIFIER_FALLBACK) -> Column:
@@ -64,7 +65,3 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 def details(*pairs: tuple[str, str | Column]) -> Column:
     """'k1=v1 | k2=v2'; a null value drops its part, a blank keeps `k=`."""
     return F.concat_ws(" | ", *[F.concat(F.lit(f"{k}="), _c(v).cast("string")) for k, v in pairs])
-
-
-def sorted_set(column: str | Column) -> Column:
-    return F.sort_array(F.collect_set(_c(column)))

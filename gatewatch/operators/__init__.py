@@ -3,6 +3,7 @@
 from gatewatch.operators.aggregates import (
     conditional_rates,
     first_last_drift,
+    inactivity,
     rolling_baseline,
     session_diversity,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "conditional_rates",
     "first_last_drift",
     "geo_velocity",
+    "inactivity",
     "interval_join",
     "latest_by_key",
     "match_sequence",

@@ -41,7 +41,7 @@ def first_last_drift(
     aggs = [
         F.min_by(value, order).alias(first),
         F.max_by(value, order).alias(latest),
-        F.size(F.collect_set(value)).cast("long").alias(distinct),
+        F.count_distinct(value).alias(distinct),
     ]
     if first_seen:
         aggs.append(F.min(ts).alias(first_seen))
@@ -130,3 +130,30 @@ def rolling_baseline(
     return daily.withColumns(
         {average: F.avg(value_col).over(w), history: F.count(value_col).over(w)}
     )
+
+
+def inactivity(
+    grants: DataFrame,
+    uses: DataFrame,
+    keys: Sequence[str],
+    *,
+    granted: str,
+    used: str,
+    days: int,
+    last_used: str = "last_used_time",
+    as_of: str = "as_of_time",
+    inactive: str = "inactive_days",
+) -> DataFrame:
+    """Grants (one row per `keys`, with a time `granted`) not used for more than
+    `days` days before the latest use anywhere. Days count from the last use of
+    the same keys, or from the grant if there is none."""
+    last = uses.groupBy(*keys).agg(F.max(used).alias(last_used))
+    # one row by construction: a global aggregate; broadcasting it is safe
+    now = uses.agg(F.max(used).alias(as_of))
+    since = F.to_date(F.coalesce(F.col(last_used), F.col(granted)))
+    return (
+        grants.join(last, list(keys), "left")
+        .crossJoin(F.broadcast(now))
+        .withColumn(inactive, F.datediff(F.to_date(as_of), since))
+        .filter(F.col(inactive) > days)
+    )

@@ -19,11 +19,3 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
-def latest_by_key_desc(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """`latest_by_key` ordered by `order_cols` descending (nulls last), then by
-    every other column descending as the final tie-break."""
-    rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    order = [F.col(c).desc_nulls_last() for c in [*order_cols, *rest]]
-    return latest_by_key(df, keys, order)

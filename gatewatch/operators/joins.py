@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from gatewatch.functions.columns import epoch_seconds
 
 
+# begins the stand-in for a null key; a control character no identifier holds
+_NO_KEY = "\u0001"
+
+
 def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     cond = None
     for lc, rc in pairs:
@@ -31,21 +35,26 @@ def without_evidence(
     on: Sequence[tuple[str, str]],
     *,
     split_null_keys: bool = False,
+    salt: str | None = None,
 ) -> DataFrame:
     """Actions with no evidence row matching every (action col, evidence col)
     pair; an action with a null key never matches and is kept.
 
-    Null keys all hash to one shuffle partition. With adaptive execution the
-    skew-join rule splits that partition of the (left) action side across
-    tasks. `split_null_keys=True` instead keeps null-keyed actions out of the
-    join altogether, at the price of reading `actions` twice; use it when
-    adaptive execution is off or the actions are cheap to re-read.
+    Null keys all hash to one shuffle partition. `salt` names a column of the
+    actions (an event id, say) that spreads them: a null text key is replaced,
+    for the join only, by a value made of it that no evidence can hold.
+    `split_null_keys=True` instead keeps null-keyed actions out of the join
+    altogether, at the price of reading `actions` twice. With neither, the
+    adaptive skew-join rule may split that partition.
     """
     ev = evidence.select(*[F.col(rc).alias(f"_ev_{i}") for i, (_, rc) in enumerate(on)])
     any_null = None
     cond = None
     for i, (lc, _) in enumerate(on):
-        term = actions[lc] == ev[f"_ev_{i}"]
+        key = actions[lc]
+        if salt is not None:
+            key = F.coalesce(key, F.concat(F.lit(_NO_KEY), F.coalesce(actions[salt].cast("string"), F.lit(""))))
+        term = key == ev[f"_ev_{i}"]
         cond = term if cond is None else cond & term
         isnull = F.col(lc).isNull()
         any_null = isnull if any_null is None else any_null | isnull

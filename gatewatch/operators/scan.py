@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600
+# chunk of the rows without an as-of key; below every real bucket
+_NO_BUCKET = -(2**62)
 
 
 def time_bucket(column: Column, width_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
@@ -85,7 +87,9 @@ def asof_join(
         .filter(r_keep & F.col("_k").isNotNull())
         .select(*by, "_k", "_v", F.lit(0).alias("_side"))
     )
-    both = l.unionByName(r, allowMissingColumns=True).withColumn("_b", bucket_of(F.col("_k")))
+    # a row without a key gets a chunk of its own, so that it still finds its group's count
+    both = l.unionByName(r, allowMissingColumns=True).withColumn(
+        "_b", F.coalesce(bucket_of(F.col("_k")), F.lit(_NO_BUCKET)))
 
     # level 1: running extreme inside each (key, bucket) chunk; at equal keys
     # right rows come first when inclusive, after the left row when strict

@@ -626,6 +626,34 @@ SELECT req_id, user_name AS "user", {_TS_TEXT} AS ts, CAST(NULL AS VARCHAR) AS d
 FROM auth
 """
 
+OPERATOR_CORE["landed_latest"] = f"""
+SELECT usage_id, user_name AS "user", {_TS_TEXT} AS ts, app, action, '' AS session_id,
+  'run-2' AS _pipeline_run_id
+FROM app
+"""
+
+_ACTIVITY_COUNTS = " UNION ALL ".join(
+    f"SELECT '{source}' AS source, count(*) AS n_rows, "
+    + ("count(*) FILTER (WHERE session_id = '')" if view in ("auth", "app") else "CAST(0 AS BIGINT)")
+    + f" AS n_blank FROM {view}"
+    for view, source in [("auth", "okta"), ("app", "app_usage"), ("req", "saviynt"), ("dir", "ad"),
+                         ("hr", "hrlifecycle"), ("known", "anomaly_key")]
+)
+OPERATOR_CORE["envelope_counts_by_source"] = f"""
+{_ACTIVITY_COUNTS} UNION ALL SELECT 'rejects', CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+"""
+
+OPERATOR_CORE["inactive_buyers"] = f"""
+SELECT b.user_id, {_TS_TEXT.replace("ts", "b.bought", 1)} AS bought,
+  {_TS_TEXT.replace("ts", "c.last_click", 1)} AS last_click,
+  CAST(date_diff('day', CAST(coalesce(c.last_click, b.bought) AS DATE), CAST(a.at AS DATE)) AS INT) AS inactive_days
+FROM (SELECT user_id, max(ts) AS bought FROM events WHERE event_type = 'purchase' GROUP BY user_id) b
+LEFT JOIN (SELECT user_id, max(ts) AS last_click FROM events WHERE event_type = 'click' GROUP BY user_id) c
+  ON b.user_id = c.user_id
+CROSS JOIN (SELECT max(ts) AS at FROM events WHERE event_type = 'click') a
+WHERE date_diff('day', CAST(coalesce(c.last_click, b.bought) AS DATE), CAST(a.at AS DATE)) > 3
+"""
+
 
 def operator_sqls() -> dict[str, str]:
     w = duckdb_with_clause()

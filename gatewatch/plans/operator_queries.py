@@ -9,23 +9,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewatch.constants import COUNTRY_CENTROIDS, RISK_LEVEL_DEFAULT, RISK_LEVELS
 from gatewatch.functions.columns import epoch_seconds, safe_identifier
 from gatewatch.functions.findings import as_findings
-from gatewatch.operators.aggregates import conditional_rates, first_last_drift, rolling_baseline, session_diversity
+from gatewatch.operators.aggregates import (
+    conditional_rates,
+    first_last_drift,
+    inactivity,
+    rolling_baseline,
+    session_diversity,
+)
 from gatewatch.operators.dedup import latest_by_key
 from gatewatch.operators.joins import interval_join, without_evidence
 from gatewatch.operators.scan import asof_join, time_bucket
-from gatewatch.operators.scoring import weighted_score
+from gatewatch.operators.scoring import union_all, weighted_score
 from gatewatch.operators.sequence import geo_velocity, match_sequence
 from gatewatch.plans.queries import comparable
 from gatewatch.sources.contracts import SOURCE_REQUIRED_COLUMNS, SOURCE_SCHEMAS
 from gatewatch.sources.envelope import decode_envelopes, encode_records
 from gatewatch.sources.fixtures import fixture_sources
-from gatewatch.sources.loader import align
+from gatewatch.sources.loader import align, dedup_source
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -47,7 +53,7 @@ def dedup_latest_lineitem(spark, sf_dir):
 def asof_latest_login(spark, sf_dir):
     """Backward as-of: every app use with the user's latest login (any
     status) at or before it; ties on time go to the greater req_id."""
-    src = fixture_sources(spark, sf_dir)
+    src = fixture_sources(spark, sf_dir, links=False)
     app = src["app_usage"].select("usage_id", "user", F.col("ts").alias("app_ts"))
     logins = src["okta"].select("user", F.col("ts").alias("login_ts"), "req_id")
     out = asof_join(app, logins, ["user"], F.col("app_ts"), F.col("login_ts"),
@@ -60,7 +66,7 @@ def asof_latest_login(spark, sf_dir):
 def asof_next_use(spark, sf_dir):
     """Forward as-of: every login with the user's first app use at or after
     it; ties on time go to the smaller usage_id."""
-    src = fixture_sources(spark, sf_dir)
+    src = fixture_sources(spark, sf_dir, links=False)
     logins = src["okta"].select("req_id", "user", F.col("ts").alias("login_ts"))
     app = src["app_usage"].select("user", F.col("ts").alias("app_ts"), "usage_id")
     out = asof_join(logins, app, ["user"], F.col("login_ts"), F.col("app_ts"),
@@ -73,7 +79,7 @@ def asof_next_use(spark, sf_dir):
 def interval_login_app_pairs(spark, sf_dir):
     """Interval join: every (login, later app use) of one user at most 600
     whole seconds apart."""
-    src = fixture_sources(spark, sf_dir)
+    src = fixture_sources(spark, sf_dir, links=False)
     logins = src["okta"].select("req_id", F.col("user").alias("login_user"), F.col("ts").alias("login_ts"))
     app = src["app_usage"].select("usage_id", "user", F.col("ts").alias("app_ts"))
     pairs = interval_join(logins, app, [("login_user", "user")], "login_ts", "app_ts", 600)
@@ -86,7 +92,7 @@ def unmatched_directory_requests(spark, sf_dir):
     of any status."""
     src = fixture_sources(spark, sf_dir)
     reqs = src["saviynt"].select(F.col("req_id").alias("rid"), F.col("user").alias("ruser"))
-    return without_evidence(src["ad"], reqs, [("request_id", "rid"), ("user", "ruser")]).select(
+    return without_evidence(src["ad"], reqs, [("request_id", "rid"), ("user", "ruser")], salt="event_id").select(
         "event_id", "user", "request_id", "action")
 
 
@@ -109,7 +115,7 @@ def event_sequences(spark, sf_dir):
 def login_moves(spark, sf_dir):
     """Geo velocity over all logins (any status): every login with its
     previous one, the centroid distance and speed (null for unknown places)."""
-    okta = fixture_sources(spark, sf_dir)["okta"].select("user", "req_id", "country", "ts")
+    okta = fixture_sources(spark, sf_dir, links=False)["okta"].select("user", "req_id", "country", "ts")
     moves = geo_velocity(okta, ["user"], "ts", "req_id", "country", COUNTRY_CENTROIDS)
     return moves.select("req_id", "user", "previous_place", "seconds_between",
                         F.round("distance_km", 3).alias("distance_km"),
@@ -173,16 +179,62 @@ def page_identifiers(spark, sf_dir):
 def envelope_round_trip(spark, sf_dir):
     """Encode the login source as JSON envelopes, decode and validate them
     again: the business columns come back unchanged."""
-    okta = fixture_sources(spark, sf_dir)["okta"].withColumn("ts", F.date_format("ts", TS_TEXT))
+    okta = fixture_sources(spark, sf_dir, links=False)["okta"].withColumn("ts", F.date_format("ts", TS_TEXT))
     by_source, _ = decode_envelopes(encode_records({"okta": okta}, "dev", "fixture run"), "dev")
     cols = [c for c in SOURCE_REQUIRED_COLUMNS["okta"] if c in okta.columns]
     return by_source["okta"].select(*cols, "_pipeline_run_id")
 
 
+def _as_text(df: DataFrame) -> DataFrame:
+    """All columns as landed text; times in one fixed format."""
+    return df.select(*[
+        (F.date_format(f.name, TS_TEXT) if f.dataType.typeName().startswith("timestamp") else F.col(f.name).cast("string")).alias(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def landed_latest(spark, sf_dir):
+    """Publish, decode, landing dedup: every app use delivered twice, the second
+    time with a blank session; the last delivery is the one that stays."""
+    uses = _as_text(fixture_sources(spark, sf_dir, links=False)["app_usage"].drop("request_id", "data_mb"))
+    again = uses.withColumn("session_id", F.lit(""))
+    sent = encode_records({"app_usage": uses}, "dev", "run 1").withColumn("_delivery", F.lit(1)).unionByName(
+        encode_records({"app_usage": again}, "dev", "run 2").withColumn("_delivery", F.lit(2)))
+    decoded, _ = decode_envelopes(sent, "dev", ingested_at=F.lit("2026-01-01T00:00:00Z"))
+    kept = dedup_source(decoded["app_usage"], "app_usage")
+    return kept.select("usage_id", "user", "ts", "app", "action", "session_id", "_pipeline_run_id")
+
+
+def envelope_counts_by_source(spark, sf_dir):
+    """All six sources as envelopes and back: rows and blanks per source, and
+    no rejects."""
+    frames = {s: _as_text(df) for s, df in fixture_sources(spark, sf_dir, links=False).items()}
+    decoded, rejects = decode_envelopes(encode_records(frames, "dev", "all"), "dev")
+
+    def count(df: DataFrame, source: str, blank: Column) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(blank).alias("n_blank")).select(
+            F.lit(source).alias("source"), "n_rows", "n_blank")
+
+    session = F.col("session_id") == ""
+    parts = [count(decoded[s], s, session if s in ("okta", "app_usage") else F.lit(False)) for s in sorted(decoded)]
+    return union_all([*parts, count(rejects, "rejects", F.lit(False))])
+
+
+def inactive_buyers(spark, sf_dir):
+    """Inactivity: users whose latest purchase was followed by no click for more
+    than 3 days before the latest click of anyone."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    bought = ev.filter("event_type = 'purchase'").groupBy("user_id").agg(F.max("ts").alias("bought"))
+    clicks = ev.filter("event_type = 'click'")
+    out = inactivity(bought, clicks, ["user_id"], granted="bought", used="ts", days=3)
+    return out.select("user_id", F.date_format("bought", TS_TEXT).alias("bought"),
+                      F.date_format("last_used_time", TS_TEXT).alias("last_click"), F.col("inactive_days").cast("int").alias("inactive_days"))
+
+
 def aligned_logins(spark, sf_dir):
     """Schema alignment of the login source onto its landed contract: all
     columns as text, contract columns missing from the frame as nulls."""
-    okta = fixture_sources(spark, sf_dir)["okta"].withColumn("ts", F.date_format("ts", TS_TEXT))
+    okta = fixture_sources(spark, sf_dir, links=False)["okta"].withColumn("ts", F.date_format("ts", TS_TEXT))
     return align(okta, SOURCE_SCHEMAS["okta"])
 
 
@@ -192,6 +244,7 @@ OPERATOR_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dedup_latest_lineitem, asof_latest_login, asof_next_use, interval_login_app_pairs,
         unmatched_directory_requests, rolling_daily_events, event_sequences, login_moves,
         order_priority_drift, supplier_line_rates, daily_event_variety, customer_scores,
-        order_finding_ids, page_identifiers, envelope_round_trip, aligned_logins,
+        order_finding_ids, page_identifiers, envelope_round_trip, aligned_logins, landed_latest,
+        envelope_counts_by_source, inactive_buyers,
     ]
 }

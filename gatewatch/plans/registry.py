@@ -51,14 +51,9 @@ class Context:
         return self.findings(table)
 
 
-def _orphans(c: Context) -> DataFrame:
+def _events(c: Context) -> DataFrame:
     return c.shared(
-        "orphans",
-        lambda: R.orphan_events(
-            R.source_events(c.src("okta"), c.src("saviynt"), c.src("ad"), c.src("app_usage")),
-            c.src("hrlifecycle"),
-        ),
-    )
+        "events", lambda: R.source_events(c.src("okta"), c.src("saviynt"), c.src("ad"), c.src("app_usage")))
 
 
 def _risk(c: Context) -> DataFrame:
@@ -124,9 +119,9 @@ SPECS: dict[str, RuleSpec] = {
         _S("ad_group_churn_rate", "ad_group_churn", ("user", "group"), "latest_change_time",
            lambda c: R.ad_group_churn(c.src("ad"), **c.p("ad_group_churn_rate"))),
         _S("orphan_event_detection", "orphan_event", ("source", "source_event_id"), "event_time",
-           _orphans, factor="orphan_event"),
+           lambda c: R.orphan_events(_events(c), c.src("hrlifecycle")), factor="orphan_event"),
         _S("orphan_user_detection", "orphan_user", ("user",), None,
-           lambda c: R.orphan_users(_orphans(c)), factor="orphan_user"),
+           lambda c: R.orphan_users(_events(c), c.src("hrlifecycle")), factor="orphan_user"),
         _S("cleanest_users", "cleanest_users", ("user",), None,
            lambda c: R.cleanest_users(c.finding("risk_scores"))),
         _S("shadow_access_events", "shadow_access", ("event_id",), "grant_time",
@@ -147,18 +142,13 @@ TABLES = tuple(SPECS)
 
 
 def select_tables(requested: str | Iterable[str] | None) -> list[str]:
-    """Comma list or iterable of table names; unknown names raise; sorted;
-    empty means all tables in registry order."""
-    if requested is None:
-        return list(TABLES)
-    items = requested.split(",") if isinstance(requested, str) else list(requested)
-    names = {i.strip() for i in items if i and i.strip()}
-    if not names:
-        return list(TABLES)
-    unknown = names - set(SPECS)
-    if unknown:
-        raise ValueError(f"Unknown output tables: {sorted(unknown)}")
-    return sorted(names)
+    """The tables to build: a comma list or an iterable of names, sorted; all
+    tables, in registry order, where it names none."""
+    given = requested.split(",") if isinstance(requested, str) else requested or ()
+    wanted = sorted({name.strip() for name in given} - {""})
+    if bad := [name for name in wanted if name not in SPECS]:
+        raise ValueError(f"no such table: {', '.join(bad)} (there are {', '.join(TABLES)})")
+    return wanted or list(TABLES)
 
 
 def build_detections(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,18 +18,16 @@ ENGINE_CONF = {
 }
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared checkpoint folder (`spark.checkpoint.dir`). Only when
-    the session names none (local tests) is a scratch folder set."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder, `spark.checkpoint.dir` of the session. All
+    executors must reach it, so none is made up here."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="gatewatch-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def build_session(

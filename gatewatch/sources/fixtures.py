@@ -10,8 +10,6 @@ each user's full history. The derived sources grow with `events`,
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("events", "customer", "labels")
@@ -96,13 +94,14 @@ SELECT concat('D', {_s('event_id')}) AS event_id,
   CASE (user_id + event_id % 4) % 6 WHEN 0 THEN 'DBA' WHEN 1 THEN 'DevOps'
     WHEN 2 THEN 'Security-Admins' WHEN 3 THEN 'HR' WHEN 4 THEN 'Finance' ELSE 'Contractor' END
     AS group_name,
-  CASE k % 3 WHEN 0 THEN 'add_member' WHEN 1 THEN 'remove_member' ELSE 'privilege_escalation' END
+  CASE WHEN k % 3 = 0 THEN 'add_member' WHEN k % 3 = 1 THEN 'remove_member'
+    WHEN extract(day FROM ts) = 15 OR k % 15 = 2 THEN 'privilege_escalation' ELSE 'add_member' END
     AS action,
   'svc' AS initiator,
   CASE WHEN k % 4 = 0 AND nxt IS NOT NULL THEN concat('R', {_s('nxt')})
        WHEN k % 4 < 3 AND prv IS NOT NULL THEN concat('R', {_s('prv')}) END AS request_id
 FROM {{linked}}
-WHERE event_type = 'purchase' AND event_id % 2 = 1 AND (extract(day FROM ts) = 15 OR event_id % 5 = 0)
+WHERE event_type = 'purchase' AND event_id % 2 = 1
 """
 
 HR = f"""
@@ -110,7 +109,7 @@ SELECT concat('user', {_s('c_custkey')}) AS user_name FROM {{customer}} WHERE c_
 """
 
 KNOWN = f"""
-SELECT concat('user', {_s('doc_id % 150')}) AS user_name,
+SELECT concat('user', {_s('doc_id % (SELECT count(*) FROM {customer})')}) AS user_name,
   concat('toxic ', {_s('doc_id')}) AS anomaly_description
 FROM {{labels}} WHERE toxic = 1
 """
@@ -161,29 +160,21 @@ def load_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
 
 
-# Derived source frames per session and directory, like views registered once
-# per session: only the (lazy) plans are kept; every query that uses them still
-# reads and derives the sources from the files when it runs.
-_DEFINED: "weakref.WeakKeyDictionary[SparkSession, dict[str, dict[str, DataFrame]]]" = (
-    weakref.WeakKeyDictionary()
-)
-
-
-def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Canonical source frames (engine column names) derived from `sf_dir`."""
-    per_session = _DEFINED.setdefault(spark, {})
-    key = sf_dir.rstrip("/")
-    if key not in per_session:
-        per_session[key] = _define_sources(spark, key)
-    return dict(per_session[key])
+def fixture_sources(spark: SparkSession, sf_dir: str, *, links: bool = True) -> dict[str, DataFrame]:
+    """Canonical source frames (engine column names) derived from `sf_dir`.
 
+    `links=False` leaves every request id of directory and app rows null and
+    with it the scan over each user's requests, for queries that do not read
+    them."""
+    from pyspark.sql import functions as F
 
-def _define_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     frames: dict[str, DataFrame] = dict(load_base_tables(spark, sf_dir))
     out: dict[str, DataFrame] = {}
     for name, (sql, source) in VIEWS.items():
         if name == "linked":
-            frames[name] = linked_events(frames["events"])
+            none = F.lit(None).cast("long")
+            frames[name] = linked_events(frames["events"]) if links else frames["events"].withColumns(
+                {"k": F.expr(_K), "prv": none, "nxt": none})
             continue
         needed = {k: frames[k] for k in frames if "{" + k + "}" in sql}
         frames[name] = spark.sql(sql, **needed)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,8 @@ from gatewatch.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(master="local[*]", shuffle_partitions=8, app_name="gatewatch-tests")
+    shared = tempfile.mkdtemp(prefix="gatewatch-checkpoints-")
+    session = build_session(master="local[*]", shuffle_partitions=8, app_name="gatewatch-tests",
+                            extra={"spark.checkpoint.dir": shared})
     yield session
     session.stop()

@@ -47,13 +47,13 @@ def landed(spark):
     return root
 
 
-def test_select_tables():
+def test_select_tables(spark):
     assert select_tables(" risk_scores , cleanest_users,") == ["cleanest_users", "risk_scores"]
     assert len(select_tables("")) == 22
     with pytest.raises(ValueError):
         select_tables("nope")
     with pytest.raises(ValueError):
-        validate_identifier("bad id", "run_id")
+        validate_identifier(spark, "bad id", "run_id")
 
 
 def test_run_writes_same_rows_as_queries(spark, landed):

@@ -42,3 +42,38 @@ def test_scans_exact_under_skew(spark, skewed):
     plain = skewed.select("event_id", F.lag("event_type").over(w).alias("prev"),
                           F.lead("event_type").over(w).alias("next"))
     assert nb.select("event_id", "prev", "next").exceptAll(plain).count() == 0
+
+
+def test_hot_orphan_user_is_counted_before_the_join(spark):
+    from pyspark.sql import functions as F
+
+    from gatewatch.plans import rules as R
+
+    events = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 500).cast("string"))).alias("user"),
+        F.col("id").cast("string").alias("source_event_id"), F.lit("ad").alias("source"),
+        F.lit("2024-01-01").cast("timestamp").alias("event_time"))
+    hr = spark.range(0, 500, 2).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = R.orphan_users(events, hr)
+        got = {r["user"]: r["event_count"] for r in out.collect()}
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got["hot"] == 10_000 and len(got) == 251
+    assert plan.index("LeftAnti") < plan.rindex("Aggregate [user")  # an aggregate lies below the join
+
+
+def test_null_keys_are_spread_by_the_salt(spark):
+    from pyspark.sql import functions as F
+
+    from gatewatch.operators.joins import without_evidence
+
+    actions = spark.range(1000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("R"), F.col("id").cast("string"))).alias("request_id"))
+    evidence = spark.range(0, 1000, 20).select(F.concat(F.lit("R"), F.col("id").cast("string")).alias("rid"))
+    plain = without_evidence(actions, evidence, [("request_id", "rid")])
+    salted = without_evidence(actions, evidence, [("request_id", "rid")], salt="event_id")
+    assert sorted(plain.collect(), key=str) == sorted(salted.collect(), key=str) and plain.count() == 950
