@@ -3,6 +3,8 @@ expressions, so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,6 +51,12 @@ def safe_identifier(column: str | Column, fallback: str = IDENTIFIER_FALLBACK) -
     return F.coalesce(F.nullif(cut, F.lit("")), F.lit(fallback))
 
 
+def safe_identifier_text(value: str | None, fallback: str = IDENTIFIER_FALLBACK) -> str:
+    """`safe_identifier` of one value on the driver."""
+    joined = re.sub(r"[^a-zA-Z0-9_-]+", "-", (value or "").strip(" "))
+    return joined.strip("-_")[:IDENTIFIER_MAX_LENGTH] or fallback
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance; the inner term is clamped to 1 so rounding can
     never push asin into NaN."""

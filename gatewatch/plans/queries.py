@@ -20,13 +20,6 @@ from gatewatch.plans.registry import TABLES, build_detections
 from gatewatch.sources.fixtures import fixture_sources
 
 
-# tables that read the request ids of directory or app events
-REQUEST_TABLES = frozenset({
-    "privilege_escalation_without_request", "rejected_but_executed", "shadow_access_events",
-    "suspicious_time_warp", "risk_scores", "cleanest_users",
-})
-
-
 def comparable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -42,10 +35,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def detection(spark: SparkSession, sf_dir: str, table: str, params: dict | None = None) -> DataFrame:
-    frames = fixture_sources(spark, sf_dir, links=table in REQUEST_TABLES)
     out = build_detections(
-        frames, RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
-        params={table: params} if params else None,
+        fixture_sources(spark, sf_dir, links=False), RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
+        params={table: params} if params else None, request_frames=fixture_sources(spark, sf_dir),
     )[table]
     return comparable(out)
 

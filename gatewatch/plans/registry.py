@@ -139,6 +139,10 @@ SPECS: dict[str, RuleSpec] = {
 }
 
 TABLES = tuple(SPECS)
+# rules that read the request ids of directory or app events
+REQUEST_RULES = frozenset({
+    "privilege_escalation_without_request", "rejected_but_executed", "shadow_access_events", "suspicious_time_warp",
+})
 
 
 def select_tables(requested: str | Iterable[str] | None) -> list[str]:
@@ -160,13 +164,16 @@ def build_detections(
     with_detected_at: bool = True,
     params: Mapping[str, Mapping] | None = None,
     resolve: Callable[[str, DataFrame], DataFrame] | None = None,
+    request_frames: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Lazy result frames (rule columns + metadata) for the requested tables.
 
     Rules that feed others (weighted findings into risk_scores, risk_scores
     into cleanest_users) are built once per call. `resolve(table, frame)`
     lets a runner substitute the materialised version of such an input
-    (persisted or written table) so its lineage is not recomputed.
+    (persisted or written table) so its lineage is not recomputed. Where the
+    request ids of events are costly to derive, give `frames` without them and
+    the frames that have them as `request_frames` (for `REQUEST_RULES`).
     """
     built: dict[str, DataFrame] = {}
 
@@ -174,7 +181,7 @@ def build_detections(
         if table not in built:
             spec = SPECS[table]
             df = as_findings(
-                spec.build(ctx), spec.detection_name, spec.identity, spec.event_column, run_id,
+                spec.build(with_requests if table in REQUEST_RULES else ctx), spec.detection_name, spec.identity, spec.event_column, run_id,
                 as_of_date=as_of_date, event_date_is_date=spec.event_is_date,
                 with_detected_at=with_detected_at,
             )
@@ -182,4 +189,5 @@ def build_detections(
         return built[table]
 
     ctx = Context(frames=frames, params=params or {}, findings=finding)
+    with_requests = Context(frames=request_frames or frames, params=params or {}, findings=finding)
     return {t: finding(t) for t in select_tables(tables)}

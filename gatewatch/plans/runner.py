@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.functions.columns import safe_identifier
+from gatewatch.functions.columns import safe_identifier_text
 from gatewatch.plans.registry import SPECS, build_detections, select_tables
 from gatewatch.session import apply_engine_conf, ensure_checkpoint_dir
 from gatewatch.sources.contracts import ACTIVITY_SOURCES, RULE_COLUMNS, SOURCE_SCHEMAS
@@ -28,9 +28,9 @@ from gatewatch.sources.sinks import FILE_FORMATS, write_findings
 LOG = logging.getLogger("gatewatch.runner")
 
 
-def validate_identifier(spark: SparkSession, value: str, label: str) -> str:
+def validate_identifier(value: str, label: str) -> str:
     """`value`, if identifier normalisation leaves it as it is."""
-    safe = spark.range(1).select(safe_identifier(F.lit(value))).first()[0]
+    safe = safe_identifier_text(value)
     if value != safe:
         raise ValueError(f"{label} {value!r} is not an identifier; {safe!r} would be")
     return value
@@ -68,7 +68,7 @@ def run_detections(
     params: Mapping[str, Mapping] | None = None,
 ) -> dict[str, int]:
     """Build, write and count the requested tables; returns {table: rows}."""
-    validate_identifier(spark, run_id, "run_id")
+    validate_identifier(run_id, "run_id")
     if not dry_run and not output_root:
         raise ValueError("output_root is required unless dry_run")
     requested = set(select_tables(tables))

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 # the only nested-loop join allowed: D11's one-row as-of time (a global
 # aggregate), present in D11 and in the scores built on it
-ONE_ROW_CROSS = {"stale_access", "stale_access_15_days", "risk_scores", "cleanest_users"}
+ONE_ROW_CROSS = {"stale_access", "stale_access_15_days", "risk_scores", "cleanest_users", "inactive_buyers"}
 
 
 def _plan(spark, name: str) -> str:
