@@ -265,7 +265,7 @@ def remaining(texts: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, gram: int = 128,
-                   max_segments: int = 4096) -> DataFrame:
+                   max_segments: int = 512) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept, kept_sha256): one row per row.
 
     kept is null where nothing is removed. Null and empty texts, and texts under
