@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Odd multiplier of the rolling hashes and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -30,7 +31,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     temporary folder is taken on a local master only."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if shared is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gatewatch-checkpoint-"))
@@ -47,6 +48,20 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")).alias(name)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, to travel beside a text under one name."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def with_id(df: DataFrame, id_col: str, rest: str) -> StructType:
+    """Result schema: ``id`` of the type of a column, and the columns of a DDL text."""
+    return StructType([StructField("id", df.schema[id_col].dataType), *StructType.fromDDL(rest).fields])
+
+
 def utf8_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the row offsets into them (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, byte_chunks, gram_hashes, spaced, span_hashes, spans, table, text_or_empty, utf8_rows
+from .common import ALNUM, byte_chunks, gram_hashes, spaced, span_hashes, spans, table, text_or_empty, utf8_rows, whole_row, with_id
 
 GRAM = 5
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -122,12 +122,10 @@ def windows_of(items: list[tuple[str | None, str]], window: int) -> list[Windows
     return out
 
 
-def hits(docs: DataFrame, blocks: list[list[tuple[str | None, str]]], window: int) -> DataFrame:
-    """(id, text_print, n_words, spans, items) of every document for one block."""
-    (items,) = blocks
+def hits(docs: DataFrame, items: list[tuple[str | None, str]], window: int) -> DataFrame:
+    """(id, text_print, n_words, spans, items) of every document for one block of items."""
     sent = docs.sparkSession.sparkContext.broadcast(windows_of(items, window))
-    ids = docs.schema["id"].dataType.simpleString()
-    schema = f"id {ids}, text_print long, n_words long, spans {SPANS}, items array<string>"
+    schema = with_id(docs, "id", f"text_print long, n_words long, spans {SPANS}, items array<string>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = sent.value
@@ -178,7 +176,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     parts = []
     for k in range(n):
         block = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()  # at most about block_bytes
-        parts.append(hits(docs, [[(r.item, r.text) for r in block]], window))
+        parts.append(hits(docs, [(r.item, r.text) for r in block], window))
     if n == 1:
         return parts[0].drop("text_print")
     merged = parts[0].select("id", "text_print", "n_words")
@@ -203,8 +201,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs``, all columns, without the documents that hold a window. The
     decision travels beside the row, so rows with a null id are judged too."""
-    keep = [F.col(c) for c in docs.columns]
-    packed = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
+    packed = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
     return contamination(packed, benchmark, id_col="row", text_col="text", **how).where(F.size("spans") == 0).select("id.*")
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import table, text_or_empty, with_id
 
 # Elements and the class or id words of what is not the article.
 RAW = ("script", "style", "title", "noscript", "template", "iframe", "textarea", "svg", "select")
@@ -185,14 +185,13 @@ def main_text(pages: DataFrame, weights: dict[str, float], id_col: str = "page_i
     """(id, text): one row per row of ``pages``. Null, empty and tag-only pages
     have the text ''; repeated rows are kept; a null id keeps its row; other
     columns are not read."""
-    ids = pages.schema[id_col].dataType.simpleString()
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([article_text(v.as_py(), weights) for v in batch.column(1)], pa.string())], names=["id", "text"])
 
-    return pages.select(F.col(id_col).alias("id"), text_or_empty(html_col)).mapInArrow(work, f"id {ids}, text string")
+    return pages.select(F.col(id_col).alias("id"), text_or_empty(html_col)).mapInArrow(
+        work, with_id(pages, id_col, "text string"))
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, table, text_or_empty
+from .common import alnum_words, table, text_or_empty, with_id
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,6 @@ def license_blocks(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOT
                                 "containment": shared / len(ordered), "places": places})
         return out
 
-    ids = docs.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                ("containment", pa.float64()), ("places", pa.list_(pa.int64()))]))
     rare = {w for w, r in code.items() if r in index}
@@ -151,7 +150,7 @@ def license_blocks(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOT
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(matches, kind)], names=["id", "n_words", "matches"])
 
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(
-        work, f"id {ids}, n_words long, matches array<{MATCH}>")
+        work, with_id(docs, id_col, f"n_words long, matches array<{MATCH}>"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table, text_or_empty
+from .common import checkpointed, table, text_or_empty, with_id
 from .tokens import token_ids
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,7 +40,6 @@ def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of every document."""
-    ids_type = docs.schema[id_col].dataType.simpleString()
     extra = ", ids array<int>" if with_ids else ""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +62,7 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(
-        work, f"id {ids_type}, piece int, start long, length long, ids_crc32 long{extra}")
+        work, with_id(docs, id_col, f"piece int, start long, length long, ids_crc32 long{extra}"))
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:

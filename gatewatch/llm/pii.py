@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bilstm_crf import Params, decode, new_params, train
-from .common import table, text_or_empty, utf8_rows
+from .common import quoted, table, text_or_empty, utf8_rows, whole_row, with_id
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # kind number, start, end (code points, end exclusive)
@@ -279,7 +279,6 @@ def private_spans(docs: DataFrame, model: Params, id_col: str = "doc_id", text_c
 
     Null and empty texts have none; repeated rows are kept; a null id keeps its
     row; other columns are not read."""
-    ids = docs.schema[id_col].dataType.simpleString()
     trigger = np.zeros(256, bool)
     trigger[[*range(0x30, 0x3A), 0x40]] = True
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
@@ -316,7 +315,8 @@ def private_spans(docs: DataFrame, model: Params, id_col: str = "doc_id", text_c
             settle()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["id", "spans"])
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(work, f"id {ids}, spans {SPANS}")
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(
+        work, with_id(docs, id_col, f"spans {SPANS}"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -324,7 +324,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     brackets (overlapping spans by that of the first and longest), and the length column, where
     there is one, set anew for changed texts. Null texts stay null."""
     model = fit(docs, id_col, text_col)
-    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    packed = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
     found = private_spans(packed, model, "row", "text")
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     # from the start: (text so far, end of the last span), spans in order of start
@@ -333,21 +333,21 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")),
         lambda a, s: F.struct(
             F.when(s["start"] >= a["at"], F.concat(
-                a["done"], F.substr(F.col(f"id.{text_col}"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
+                a["done"], F.substr(F.col(f"id.{quoted(text_col)}"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
                 F.element_at(marks, s["kind"] + 1))).otherwise(a["done"]).alias("done"),
             F.greatest(a["at"], -s["minus_end"]).alias("at")),
-        lambda a: F.concat(a["done"], F.substr(F.col(f"id.{text_col}"), (a["at"] + 1).cast("int"))))
+        lambda a: F.concat(a["done"], F.substr(F.col(f"id.{quoted(text_col)}"), (a["at"] + 1).cast("int"))))
     out = found.select("id", F.when(F.size("spans") > 0, merged).alias("new"))
-    text = F.coalesce(F.col("new"), F.col(f"id.{text_col}"))
+    text = F.coalesce(F.col("new"), F.col(f"id.{quoted(text_col)}"))
     columns = []
     for c in docs.columns:
         if c == text_col:
             columns.append(text.alias(c))
         elif c == length_col:
             kind = docs.schema[c].dataType
-            columns.append(F.when(F.col("new").isNotNull(), F.length("new").cast(kind)).otherwise(F.col(f"id.{c}")).alias(c))
+            columns.append(F.when(F.col("new").isNotNull(), F.length("new").cast(kind)).otherwise(F.col(f"id.{quoted(c)}")).alias(c))
         else:
-            columns.append(F.col(f"id.{c}").alias(c))
+            columns.append(F.col(f"id.{quoted(c)}").alias(c))
     return out.select(*columns)
 
 

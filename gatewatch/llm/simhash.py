@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, checkpointed, components, forest, table, text_or_empty, utf8_rows
+from .common import byte_chunks, checkpointed, components, forest, table, text_or_empty, utf8_rows, whole_row, with_id
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPLIT_BITS = 6
@@ -75,8 +75,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
-    ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(work, f"id {ids}, fp long")
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(work, with_id(docs, id_col, "fp long"))
 
 
 def rotate(fp: np.ndarray, bits: int) -> np.ndarray:
@@ -250,7 +249,7 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with all its columns, without the documents whose group holds a
     smaller id, and with one of each repeated row. Rows with a null id stay."""
     groups = simhash_groups(docs, id_col, text_col, **how)
-    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+    packed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"),
                          F.xxhash64(text_or_empty(text_col)).alias("print"))
     drop = groups.where("component < id").select(F.col("id").alias("gone")).distinct()
     left = packed.join(drop, packed["id"] == drop["gone"], "left_anti")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table, text_or_empty
+from .common import checkpointed, table, text_or_empty, whole_row, with_id
 
 # Letters that look like a Latin letter, and signs that stand for one.
 HOMOGLYPHS = {
@@ -236,8 +236,6 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """(id, score): one row per row of ``docs``. A null text counts as empty; an
     empty text has the score of a text without matches. Repeated rows are kept;
     other columns are not read; a null id keeps its row."""
-    ids = docs.schema[id_col].dataType.simpleString()
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold, match = folder(), matcher(model)
         for batch in batches:
@@ -247,14 +245,15 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 scores.append(model.score(sum(match(plain).values()), plain.count(" ") - 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(work, f"id {ids}, score double")
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(
+        work, with_id(docs, id_col, "score double"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs``, all columns, without the rows scored 0.5 or more. The decision
     travels beside the row, so rows with a null id are judged too."""
     model = fit(docs, labels, id_col, text_col, **how)
-    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    packed = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
     return toxicity(packed, model, "row", "text").where("score < 0.5").select("id.*")
 
 

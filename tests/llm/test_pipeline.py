@@ -77,6 +77,6 @@ def test_stages_on_odd_tables(spark):
         assert out.schema.simpleString() == docs.schema.simpleString(), name
         assert out.count() == (3 if name == "near_duplicates" else 5), name
         assert stage(spark, docs.limit(0), SF).count() == 0, name
-        wide = docs.withColumn("id", F.lit("i")).withColumn("fp", F.lit(0)).withColumn("row", F.lit(1)).withColumn("_print", F.lit(2))
-        assert stage(spark, wide, SF).columns == wide.columns
+        wide = docs.withColumn("id", F.lit("i")).withColumn("fp", F.lit(0)).withColumn("row", F.lit(1)).withColumn("_print", F.lit(2)).withColumns({"a.b": F.lit(3), "my col": F.lit(4), "score": F.lit(5)})
+        assert stage(spark, wide, SF).columns == wide.columns and stage(spark, wide, SF).count() == out.count()
     assert cp.packing(spark, docs, SF).count() > 5
