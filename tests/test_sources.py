@@ -227,3 +227,32 @@ def test_landed_text_reaches_the_timeline_and_untimed_uses_are_no_findings(spark
     found = {(r["usage_id"], r["anomaly_reason"]) for r in R.impossible_login(src["okta"], src["app_usage"]).collect()}
     # U2 has no time but its session has a login; U3's session has none
     assert found == {("U3", "missing_session_login")}
+
+
+def test_command_line_checks_publishes_and_ingests(spark, tmp_path, capsys):
+    import json
+
+    from gatewatch.__main__ import main
+    from gatewatch.sources.contracts import SOURCE_FILES, SOURCE_REQUIRED_COLUMNS
+    from gatewatch.sources.loader import load_source
+
+    data = tmp_path / "csv"
+    data.mkdir()
+    for source, name in SOURCE_FILES.items():
+        cols = SOURCE_REQUIRED_COLUMNS[source]
+        lines = [",".join(f"{c}{i}" for c in cols) for i in range(60 if source == "okta" else 2)]
+        (data / name).write_text("\n".join([",".join(cols), *lines]) + "\n")
+    said = lambda: [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert main(["check-csv", str(data)]) == 0 and said()[-1]["violations"] == 0
+    assert main(["publish", str(data), str(tmp_path / "env"), "--run-id", "r1"]) == 0
+    assert said()[-1] == {s: 60 if s == "okta" else 2 for s in SOURCE_FILES}
+    # a second run into the same folder counts its own messages only
+    assert main(["publish", str(data), str(tmp_path / "env"), "--run-id", "r2"]) == 0
+    assert said()[-1]["okta"] == 60
+    assert main(["ingest", str(tmp_path / "env"), str(tmp_path / "land"), "--checkpoint", str(tmp_path / "ck")]) == 0
+    assert load_source(spark, str(tmp_path / "land"), "okta").count() == 60
+    with open(data / SOURCE_FILES["okta"], "a") as f:
+        f.write("too,few\n" * 70)
+    assert main(["check-csv", str(data), "--out", str(tmp_path / "bad")]) == 1
+    assert said()[-1] == {"violations": 70, "shown": 50, "written_to": str(tmp_path / "bad")}
+    assert spark.read.json(str(tmp_path / "bad")).count() == 70
