@@ -15,15 +15,15 @@ def area(pairs):
 
 
 def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # 97 toxic rows held out; sf0.01 has six, two of them in languages hardly seen
     got = {r.doc_id: r for r in t.op10_toxicity(spark, sf).collect()}
     assert len(got) == table(spark, sf, "documents").count()
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items())
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
     held = [(got[r.doc_id].score, r.toxic) for r in table(spark, sf, "labels").collect() if got[r.doc_id].held_out]
-    assert area(held) > 0.9
+    assert area(held) > 0.95
     right = sum((s >= 0.5) == (y == 1) for s, y in held) / len(held)
-    assert right > 0.95
+    assert right > 0.98
 
 
 def test_labels_of_held_out_rows_are_not_read(spark):
