@@ -158,13 +158,16 @@ def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, np.arange(size.max())[:, None] < size[None, :]
 
 
-def decode(p: Params, rows: list[np.ndarray], batch: int = 256) -> list[tuple[np.ndarray, np.ndarray]]:
+def decode(p: Params, rows: list[np.ndarray], batch: int = 256, cells: int = 32_768) -> list[tuple[np.ndarray, np.ndarray]]:
     """The best tag path of each row (Viterbi), and the emission lead of its
-    tags over tag 0."""
+    tags over tag 0. A batch has at most ``batch`` rows and, over one row, at
+    most about ``cells`` characters."""
     out: list = [None] * len(rows)
     order = np.argsort([len(r) for r in rows], kind="stable")
-    for lo in range(0, len(order), batch):
-        own = order[lo : lo + batch]
+    hi = len(order)
+    while hi > 0:
+        lo = max(0, hi - max(1, min(batch, cells // max(1, len(rows[order[hi - 1]])))))
+        own, hi = order[lo:hi], lo
         chars, mask = padded([rows[i] for i in own])
         e, _ = emissions(p, chars, mask)
         length, n_rows, n = e.shape

@@ -6,12 +6,14 @@ overlapping per kind. Each scanner is linear in the text.
 The model is a character-level bidirectional LSTM with CRF transitions, trained
 in numpy on labelled spans: base spans of a bounded sample of the documents, the
 same spans rewritten in ways the base patterns miss, and made examples. Every
-kind holds a digit or an ``@``, so a span without either is none by definition;
-windows lie around all such characters of the whole text and overlap where a run
-of them is long. All windows of a text are decoded and their spans reconciled
-together: a span cut by a window's inner edge yields to the neighbour's, the
-same span found twice is one, and of overlapping spans the best scored stay.
-Model spans must pass the kind's own check and give way to base spans.
+span that passes its kind's check holds a digit, an ``@``, ``(at)`` or ``[at]``;
+windows lie around all of these in the whole text and overlap where a run of
+them is long. Around an at-mark that a domain follows, a window reaches over the
+whole name and domain. All windows of a text are decoded and their spans
+reconciled together: a span cut by a window's inner edge yields to the
+neighbour's, the same span found twice is one, and of overlapping spans the best
+scored stay. Model spans must pass the kind's own check and give way to base
+spans.
 """
 
 from __future__ import annotations
@@ -35,10 +37,16 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PLUS = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-TRIGGER = re.compile("[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]")
+MARK_BYTES = re.compile(rb"\(at\)|\[at\]")
+AT = re.compile(r"@|\(at\)|\[at\]")
+SITE = re.compile(r" ?[A-Za-z0-9-]+(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]+)+")
 
 # Windows: characters around a trigger, the longest window, and the overlap.
 AROUND, WINDOW, OVERLAP = 20, 96, 40
+# What an address can have on either side of its at-mark: 64 octets of name, or a
+# domain of 255 octets, 127 labels with " (dot) " between them (RFC 5321).
+REACH = 1024
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 SPECIAL = "@.+-() _%/:=\"',;#\n"
 
@@ -122,9 +130,22 @@ def char_codes(text: str) -> np.ndarray:
 VOCABULARY = 32 + len(SPECIAL)
 
 
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Ranges of the names and domains around at-marks, spaced or not."""
+    out, done = [], 0
+    for m in AT.finditer(text):
+        site = SITE.match(text, m.end(), m.end() + REACH)
+        before = text[max(done, m.start() - REACH) : m.start()]
+        name = re.split(r"[\s@]", before.removesuffix(" "))[-1]
+        if site and name:
+            out.append((m.start() - len(name) - before.endswith(" "), site.end()))
+        done = m.end()
+    return out
+
+
 def windows(text: str) -> list[tuple[int, int]]:
     """Ranges that cover every trigger with its surroundings; longer runs of
-    triggers are cut into overlapping ranges."""
+    triggers are cut into overlapping ranges, addresses are not cut."""
     out: list[tuple[int, int]] = []
     lo = hi = -1
     for m in TRIGGER.finditer(text):
@@ -137,7 +158,16 @@ def windows(text: str) -> list[tuple[int, int]]:
             lo, hi = a, b
     if hi >= 0:
         out.append((lo, hi))
-    return [(a, min(a + WINDOW, hi)) for lo, hi in out for a in range(lo, max(lo + 1, hi - OVERLAP), WINDOW - OVERLAP)]
+    cut = [(a, min(a + WINDOW, hi)) for lo, hi in out for a in range(lo, max(lo + 1, hi - OVERLAP), WINDOW - OVERLAP)]
+    at, grown = 0, []
+    for a, b in addresses(text):
+        while at < len(cut) and cut[at][1] < b:
+            at += 1
+        # a window that holds the address off its inner edges serves it
+        near = cut[max(at - 1, 0) : at + 3]
+        if not any((lo < a or lo == 0) and (b < hi or hi == len(text)) for lo, hi in near):
+            grown.append((max(0, a - AROUND), min(len(text), b + AROUND)))
+    return sorted(cut + grown)
 
 
 def labelled(text: str, spans: list[Span], lo: int, hi: int) -> np.ndarray:
@@ -232,6 +262,37 @@ def made_examples(seed: int = 5, n: int = 700) -> list[tuple[str, list[Span]]]:
     return out
 
 
+def long_examples(seed: int = 6, n: int = 300) -> list[tuple[str, list[Span]]]:
+    """Labelled texts from rules: e-mails with long names and domains, spaced or
+    with the marks written out, and at-marks in prose."""
+    rng = np.random.default_rng(seed)
+
+    def word(least: int = 2, most: int = 14) -> str:
+        return "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(least, most)))
+
+    def prose() -> str:
+        return " ".join(word(2, 9) for _ in range(rng.integers(1, 6)))
+
+    out = []
+    for _ in range(n):
+        if rng.random() < 0.3:
+            odd = str(rng.choice([f"{word()} (at) {word()}", f"{word()} @ {word()}", f"{word()} [at] {word()}, {word()}", f"{word()} @ {rng.integers(1, 99)}",
+                                  f"{word()} (dot) {word()}", f"@{word()}"]))
+            out.append((f"{prose()} {odd} {prose()}", []))
+            continue
+        name = str(rng.choice([".", "_", "-"])).join(word() for _ in range(rng.integers(1, 4)))
+        mark = str(rng.choice([" @ ", " @ ", " @", "@ ", " (at) ", "(at)", " [at] ", "[at]"]))
+        dot = str(rng.choice([" (dot) ", "(dot)", " [dot] ", "[dot]", ".", " . "])) if "at" in mark else "."
+        labels = [word() if rng.random() < 0.7 else f"{word()}-{word()}" for _ in range(rng.integers(1, 4))]
+        datum = name + mark + dot.join([*labels, str(rng.choice(["com", "net", "org", "de"]))])
+        before = prose() + " " if rng.random() < 0.9 else ""
+        text = before + datum + str(rng.choice([" ", ", ", "\n", ""]))
+        if text[-1] in " \n":
+            text += prose()
+        out.append((text, [(0, len(before), len(before) + len(datum))]))
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = 10_000, max_windows: int = 600,
         epochs: int = 10) -> Params:
     """The trained parameters. The sample is bounded: about ``max_docs``
@@ -253,7 +314,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_doc
                     tags.append(labelled(text, spans, lo, hi).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(tags, pa.list_(pa.int32()))], names=["text", "tags"])
 
-    own = sample.where(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(work, "text string, tags array<int>")
+    own = sample.where(F.col("text").rlike(TRIGGER.pattern)).select("text").mapInArrow(work, "text string, tags array<int>")
     rows = own.orderBy(F.xxhash64("text"), "text", "tags").limit(max_windows).collect()
     rng = np.random.default_rng(11)
     texts = [r.text for r in rows]
@@ -265,7 +326,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_doc
                 text = r.text[:a] + new + r.text[b:]
                 texts.append(text)
                 tags.append(labelled(text, [(kind, a, a + len(new))], 0, len(text)))
-    for text, spans in made_examples():
+    for text, spans in made_examples() + long_examples():
         texts.append(text)
         tags.append(labelled(text, spans, 0, len(text)))
     return train(new_params(VOCABULARY, TAGS), [char_codes(t) for t in texts], tags, epochs)
@@ -286,7 +347,9 @@ def private_spans(docs: DataFrame, model: Params, id_col: str = "doc_id", text_c
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = utf8_rows(batch.column(1))
-            held = np.flatnonzero(np.bincount(np.searchsorted(at, np.flatnonzero(trigger[raw]), side="right") - 1, minlength=len(at) - 1))
+            marks = np.fromiter((m.start() for m in MARK_BYTES.finditer(raw)), np.int64)
+            places = np.concatenate((np.flatnonzero(trigger[raw]), marks))
+            held = np.flatnonzero(np.bincount(np.searchsorted(at, places, side="right") - 1, minlength=len(at) - 1))
             spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             rows: list[tuple[int, str, list[Span], list[tuple[int, int]]]] = []
             waiting = 0

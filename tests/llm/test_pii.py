@@ -118,3 +118,40 @@ def test_odd_rows_and_redaction(spark, model):
     assert got[1].text is None and got[2].text == "" and got[3].text == "mail [EMAIL] now" and got[3].n_chars == 16
     assert got[None].text == "[PHONE]" and got[4].text == "é" * 40_000 + " [IP]" and got[7].text == "clean text only"
     assert got[8].text == "[EMAIL]"
+
+
+LONG = ["margaret.hollingsworth.jr @ example.org", "jo @ department.university-hospital.example.org", "jane (at) example (dot) org",
+        "christopher.montgomery-whitfield @ archaeology.northern-university.example.net"]
+
+
+def test_long_and_written_out_emails(spark, model):
+    rows = [(i, f"please write to {mail} for the results") for i, mail in enumerate(LONG)] + [(9, "we meet (at) noon")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.private_spans(docs, model).collect()}
+    assert got == {i: [(0, 16, 16 + len(mail))] for i, mail in enumerate(LONG)} | {9: []}
+
+
+def test_windows_hold_whole_addresses():
+    rng = random.Random(4)
+    for _ in range(500):
+        text, (a, b) = "", (0, 0)
+        for _ in range(rng.randint(1, 4)):
+            name, site = ("".join(rng.choices("ab.-_7", k=rng.randint(1, n))) for n in (64, 200))
+            mail = "n" + name + rng.choice([" @ ", "(at)", " [at] ", "@ "]) + "d" + re.sub("[^ab7]", "-", site) + rng.choice([".", " (dot) "]) + "org"
+            text += "w " * rng.randint(0, 40) + "5" * rng.choice([0, 0, 300]) + " "
+            a, b = len(text), len(text) + len(mail)
+            text += mail + " "
+            ws = pii.windows(text + "w " * 30)
+            assert any((lo < a or lo == 0) and b < hi for lo, hi in ws), text
+    assert max(b - a for a, b in pii.windows("x" * 50_000 + " @ b.c" * 3)) < 2 * pii.REACH + 100
+
+
+def test_held_out_long_examples(model):
+    good = total = found = 0
+    for text, want in pii.long_examples(seed=98, n=300):
+        (path, lead), = net.decode(model, [pii.char_codes(text)])
+        got = {s[:3] for s in pii.spans_of(path, lead)}
+        good += len(got & set(want))
+        total += len(want)
+        found += len(got)
+    assert good / total > 0.85 and good / found > 0.85
