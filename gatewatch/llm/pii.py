@@ -84,7 +84,7 @@ def base_spans(text: str) -> list[Span]:
         for i in range(0, len(parts) - 3, 4):
             own = parts[i : i + 4]
             end = at + sum(map(len, own)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in own):
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in own):
                 out.append((1, at, end))
             at = end + 1
     for m in DIGITS.finditer(text):

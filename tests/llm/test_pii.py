@@ -155,3 +155,10 @@ def test_held_out_long_examples(model):
         total += len(want)
         found += len(got)
     assert good / total > 0.85 and good / found > 0.85
+
+
+def test_dotted_run_with_a_very_long_part(spark, model):
+    text = "0" * 5000 + "1.2.3.4"
+    assert pii.base_spans(text) == [(1, 0, len(text))]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(s.kind, s.start, s.end) for s in pii.private_spans(docs, model).first().spans if s.kind == 1] == [(1, 0, len(text))]
