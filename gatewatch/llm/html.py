@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import table, text_or_empty, with_id
 
 # Elements and the class or id words of what is not the article.
-RAW = ("script", "style", "title", "noscript", "template", "iframe", "textarea", "svg", "select")
+RAW = ("script", "style", "title", "noscript", "template", "iframe", "textarea")
 BOILERPLATE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset", "label"}
 BOILERPLATE_WORDS = {
     "ad", "ads", "adbox", "banner", "promo", "popup", "modal", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert",
@@ -47,10 +47,20 @@ ENDS = {"p": BLOCKS - {"br"}, "li": {"li"}, "td": {"td", "th", "tr"}, "th": {"td
 # Costs of a word that is left out anyway, and of a tag never seen in training.
 DROPPED, UNKNOWN_TAG = 0.1, 0.1
 
+# Raw elements without an end tag reach to the end of the page, as HTML reads them;
+# "/>" does not close them. A select also ends at a control that cannot stand in it.
 TOKEN = re.compile(
-    rf"""<!--(?:.*?-->|.*)|<(?P<raw>{'|'.join(RAW)})\b[^<>]*>(?:.*?</(?P=raw)\s*>|.*)|<[!?][^>]*>|"""
-    r"""<(?P<end>/?)(?P<name>[a-z][a-z0-9]*)(?P<attrs>(?:[^<>"']|"[^"<]*"|'[^'<]*')*+)/?>|</?[a-z][^<>]*>?|(?P<text>[^<]+|<)""",
+    rf"""<!--(?:.*?-->|.*)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^<>]*>(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*)|"""
+    r"""<select(?=[\s/>])[^<>]*>(?:.*?(?:</?select(?=[\s/>])[^>]*>|(?=<(?:input|keygen|textarea)[\s/>]))|.*)|"""
+    r"""<(?P<svg>svg)(?=[\s/>])[^<>]*>|<[!?][^>]*>|"""
+    r"""<(?P<end>/?)(?P<name>[a-z][^\s/<>"']*)(?P<attrs>(?:[^<>"']|"[^"<]*"|'[^'<]*')*+)/?>|</?[a-z][^<>]*>?|(?P<text>[^<]+|<)""",
     re.S | re.I)
+# What ends or holds an svg: elements that HTML moves out of it, and the ones in which they may stand.
+OUT_OF_SVG = ("b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small|span|"
+              "strong|strike|sub|sup|table|tt|u|ul|var")
+IN_SVG = {"foreignobject", "desc", "title"}
+SVG_TOKEN = re.compile(
+    rf"<!--(?:.*?-->|.*)|<!\[CDATA\[(?:.*?\]\]>|.*)|<(?P<end>/?)(?P<name>svg|{'|'.join(IN_SVG)}|{OUT_OF_SVG})(?=[\s/>])[^<>]*>", re.S | re.I)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 CLASS_WORD = re.compile(r"[a-z]+")
 
@@ -73,6 +83,24 @@ def section_of(name: str, attrs: str) -> tuple[str, bool]:
     return ".".join([name, *sorted(set(words))[:4]]), bad
 
 
+def after_svg(page: str, at: int) -> int:
+    """Where an svg whose content starts at ``at`` ends: behind its end tag, or
+    before an element that HTML moves out of it."""
+    depth, held = 1, 0
+    for m in SVG_TOKEN.finditer(page, at):
+        name = (m["name"] or "").lower()
+        step = -1 if m["end"] else 0 if m.group().endswith("/>") else 1
+        if name == "svg":
+            depth += step
+            if depth == 0:
+                return m.end()
+        elif name in IN_SVG:
+            held = max(0, held + step)
+        elif name and not held and (not m["end"] or name in ("p", "br")):
+            return m.start()
+    return len(page)
+
+
 def events(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     """(kind, key, boilerplate, in article, text) of each tag and piece of text.
 
@@ -80,7 +108,13 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     that ends a block). Unclosed elements end with their parent; an article
     starts anew whatever was left open before it."""
     stack: list[tuple[str, str, bool, bool]] = [("", "page", False, False)]
-    for m in TOKEN.finditer(page):
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
+        if m["svg"]:
+            at = at if m.group().endswith("/>") else after_svg(page, at)
+            continue
         text = m["text"]
         if text is not None:
             _, key, bad, inside = stack[-1]
@@ -153,7 +187,7 @@ def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     sample = pages.select(F.col(id_col).alias("id"), text_or_empty(html_col).alias("html"))
     if share < 1:
         sample = sample.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = sample.where(F.col("html").rlike("(?i)<(article|main)\\b"))
+    sample = sample.where(F.col("html").rlike("(?i)<(article|main)[\\s/>]"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[Counter] = [Counter(), Counter()]

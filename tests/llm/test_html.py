@@ -53,3 +53,22 @@ def test_odd_pages(spark):
     assert got[1] == got[2] == got[3] == got[6] == ""
     assert got[None] == "a b" and got[4] == "plain < words" and len(got[5].split()) == 100_000
     assert h.main_text(pages.limit(0), w).count() == 0
+
+
+@pytest.mark.parametrize("mark", [
+    '<svg class="i"/>', "<svg-icon>", "<svg-icon></svg-icon>", "<title-bar></title-bar>", "<select-box>", "<script-x>", "<nav-link>", "<label-x>",
+    "<svg><path d='M0'>", "<svg><svg><path/></svg>", "<svg><title>t</title><path/></svg>", "<svg><title/><text>no</text></svg>",
+    "<svg><foreignObject><p>no</p></foreignObject></svg>", "<svg><![CDATA[<p>no</p>]]></svg>", "<svg><!-- <p> --></svg>", "<SVG>no</SVG >",
+    "<select><option>no</select>", "<select><option>no<input>", "<style>no</style foo>", "<template><p>no</p></template>"])
+def test_rest_of_the_page_is_read(mark):
+    assert h.article_text(f"<p>first words here</p>{mark}<p>rest of the article</p>", {}) == "first words here\nrest of the article"
+
+
+def test_svg_without_end_before_another_svg():
+    page = "<p>one two three</p><svg><path d='M0'><p>four five six</p><svg><path/></svg><p>seven eight</p>"
+    assert h.article_text(page, {}) == "one two three\nfour five six\nseven eight"
+
+
+@pytest.mark.parametrize("mark", ["<script>", "<title/>", "<textarea>", "<iframe>", "<style >", "<select>", "<svg>", "<template/>"])
+def test_what_html_reads_to_the_end_stays_out(mark):
+    assert h.article_text(f"<p>first words here</p>{mark}not <a>text</a> at all", {}) == "first words here"
