@@ -8,7 +8,9 @@ other's cell or among its probes; candidates are verified by their cosine in
 double precision, so no link is false. The scale grows with the eighth root of
 the number of vectors, which keeps the expected cell size; the number of tables
 is taken so that a pair exactly at the threshold is found with the probability
-``recall`` (worked out on random pairs, by the given scale).
+``recall`` (worked out on random pairs, by the given scale). The scale stops
+growing where a table would find fewer than ``LEAST`` of such pairs (beyond some
+1e8 vectors); then cells grow instead, and no link is given up.
 
 Equal vectors are collapsed first. A linked pair counts in the first table, and
 there in one cell, where its two vectors meet; so counts add up and no pairs are
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 from .common import BASE, checkpointed, components, forest, mix, table
 
 
+# The least chance of a table to find a pair at the threshold.
+LEAST = 0.01
+
+
 def shortest_vectors() -> np.ndarray:
     """The 240 neighbours of the origin in E8: two entries of size one, or all
     entries of size one half with an even number of minus signs."""
@@ -90,9 +96,21 @@ def parameters(n: int, threshold: float, probes: int, recall: float, dim: int =
     x /= np.linalg.norm(x, axis=1)[:, None]
     y -= (y * x).sum(1)[:, None] * x
     y = threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * y / np.linalg.norm(y, axis=1)[:, None]
-    plane = projections(dim, 1, seed=29)
-    found = meet(cell_keys(x, plane, scale, probes), cell_keys(y, plane, scale, probes)).mean()
-    return scale, max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(max(float(found), 0.01), 0.99))))
+    planes = projections(dim, 32, seed=29)
+
+    def chance(scale: float) -> float:
+        """Over as many tables as it takes to see some 300 pairs found."""
+        seen = 0.0
+        for k in range(len(planes)):
+            own = planes[k : k + 1]
+            seen += float(meet(cell_keys(x, own, scale, probes), cell_keys(y, own, scale, probes)).mean())
+            if seen * len(x) >= 300:
+                break
+        return seen / (k + 1)
+
+    while (found := chance(scale)) < LEAST:
+        scale *= 0.95
+    return scale, max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(found, 0.99))))
 
 
 def unit_rows(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -90,3 +90,13 @@ def test_query_equals_brute_force(spark, sf_small):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert l8.embedding_groups(df).count() == 0
+
+
+def test_recall_holds_for_any_number_of_vectors():
+    v = planted(4000, 0.9, seed=8).astype(float)
+    x, y = v[:4000], v[4000:]
+    for n in (50_000, 10**9, 10**10):
+        scale, tables = l8.parameters(n, 0.9, 4, 0.99)
+        planes = l8.projections(64, 12, seed=101)
+        found = l8.meet(l8.cell_keys(x, planes, scale, 4), l8.cell_keys(y, planes, scale, 4)).mean()
+        assert tables < 1000 and 1 - (1 - found) ** tables > 0.97, n
