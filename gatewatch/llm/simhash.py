@@ -246,15 +246,16 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with all its columns, without the documents whose group holds a
-    smaller id, and with one of each repeated row. Rows with a null id stay."""
-    groups = simhash_groups(docs, id_col, text_col, **how)
-    packed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"),
-                         F.xxhash64(text_or_empty(text_col)).alias("print"))
-    drop = groups.where("component < id").select(F.col("id").alias("gone")).distinct()
-    left = packed.join(drop, packed["id"] == drop["gone"], "left_anti")
-    kept = left.where("id is null").unionByName(left.where("id is not null").dropDuplicates(["id", "print"]))
-    return kept.select("row.*")
+    """``docs`` with all its columns: of each group the row with the smallest id
+    and, under one id, the smallest text hash. Rows with a null id stay."""
+    id_and_print = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("print"))
+    # a key is one text's, so it is in one group; the smallest key of a group is its component
+    groups = simhash_groups(docs.select(F.when(F.col(id_col).isNotNull(), id_and_print).alias("key"), F.col(text_col).alias("text")),
+                            "key", "text", **how)
+    stays = groups.where("id = component").select("id.id", "id.print").distinct()
+    packed = docs.select(whole_row(docs).alias("row"), id_and_print.alias("key")).select("row", "key.*")
+    kept = packed.where("id is not null").dropDuplicates(["id", "print"]).join(stays, ["id", "print"], "left_semi")
+    return packed.where("id is null").select("row.*").unionByName(kept.select("row.*"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,16 @@ def test_fingerprints_equal_brute_force_on_odd_texts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: r.fp % (1 << 64) for r in simhash.fingerprints(docs).collect()}
     assert got == {i: brute_print(t) for i, t in enumerate(texts)}
+
+
+def test_one_id_on_several_texts_is_judged_row_by_row(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "a"), (2, text, "b"), (2, "a clean text of its own kind", "c"), (3, "x y z one two", "d"), (3, "X y z one two", "e"),
+            (3, "X y z one two", "e"), (None, text, "f"), (None, text, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    prints = {r.id: r.fp for r in simhash.fingerprints(docs.where("doc_id = 3"), "text").collect()}
+    assert len(set(prints.values())) == 1
+    got = simhash.keep_one_per_group(docs)
+    assert got.schema == docs.schema
+    kept = sorted(r.component for r in got.collect())
+    assert kept in (["a", "c", "d", "f", "g"], ["a", "c", "e", "f", "g"])
