@@ -12,7 +12,8 @@ of its words agree with a benchmark window.
 
 The benchmark is the query set. It is sent to the tasks in blocks of at most
 ``block_bytes`` of text each (one item is never cut), so what is broadcast is
-bounded whatever its size; with more than one block the documents are read once
+bounded whatever its size and however often a row is repeated (repeated rows are
+dropped before blocks are dealt); with more than one block the documents are read once
 per block and the hits of a document are merged by key. Within a block equal
 windows are one entry, so a passage that many items share costs as one.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, byte_chunks, gram_hashes, spaced, span_hashes, spans, table, text_or_empty, utf8_rows, whole_row, with_id
+from .common import ALNUM, byte_chunks, checkpointed, gram_hashes, spaced, span_hashes, spans, table, text_or_empty, utf8_rows, whole_row, with_id
 
 GRAM = 5
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -168,7 +169,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     empty texts have no words and no hits; an item with a null id hits but is
     not listed; repeated rows and items change nothing else; an empty benchmark
     hits nothing. Other columns are not read."""
-    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), text_or_empty(item_text_col).alias("text"))
+    bench = checkpointed(benchmark.select(F.col(item_col).cast("string").alias("item"), text_or_empty(item_text_col).alias("text")).distinct())
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     docs = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))

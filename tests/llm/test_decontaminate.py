@@ -62,3 +62,18 @@ def test_drop_keeps_clean_rows_and_columns(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.id) for r in kept.collect() if r.id) == [(1, "k")]
     assert kept.count() == 3
+
+
+def test_repeated_items_do_not_gather_in_one_block(spark, monkeypatch):
+    text, sizes, hits = "one two three four five six seven eight nine ten eleven", [], d.hits
+
+    def seen(docs, items, window):
+        sizes.append(sum(len(t) for _, t in items))
+        return hits(docs, items, window)
+
+    monkeypatch.setattr(d, "hits", seen)
+    bench = spark.createDataFrame([(1, text)] * 60 + [(2, "solo words here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "0 " + text), (2, "clean")], "doc_id long, text string")
+    got = {r.id: (len(r.spans), r.items) for r in d.contamination(docs, bench, block_bytes=4 * len(text)).collect()}
+    assert got == {1: (1, ["1"]), 2: (0, [])}
+    assert max(sizes) <= 4 * len(text)
