@@ -10,6 +10,7 @@ from .lattice import op4_embedding_near_dedup
 from .licenses import op2_license_scan, op2_sql
 from .packing import op1_best_fit_packing
 from .pii import op5_pii
+from .ranking import OP13_SQL, op13_ranked_search
 from .repeats import op6_suffix_array_dedup
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": op2_sql(),
     "op3_benchmark_decontamination": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
