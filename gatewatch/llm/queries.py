@@ -12,6 +12,7 @@ from .packing import op1_best_fit_packing
 from .pii import op5_pii
 from .ranking import OP13_SQL, op13_ranked_search
 from .repeats import op6_suffix_array_dedup
+from .runs import OP11_SQL, op11_periodic_runs
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
 
@@ -33,5 +35,6 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": op2_sql(),
     "op3_benchmark_decontamination": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
+    "op11_periodic_runs": OP11_SQL,
     "op13_ranked_search": OP13_SQL,
 }
