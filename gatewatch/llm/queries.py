@@ -13,6 +13,7 @@ from .pii import op5_pii
 from .ranking import OP13_SQL, op13_ranked_search
 from .repeats import op6_suffix_array_dedup
 from .runs import OP11_SQL, op11_periodic_runs
+from .secret_scan import op12_secret_scan
 from .simhash import op8_simhash_near_dedup
 from .toxicity import op10_toxicity
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_secret_scan": op12_secret_scan,
     "op13_ranked_search": op13_ranked_search,
 }
 
