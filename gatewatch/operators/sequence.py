@@ -97,3 +97,10 @@ def geo_velocity(
         F.try_divide(F.col("distance_km"), F.col("seconds_between") / F.lit(3600.0)),
     )
     return out.drop("_p", "_lat", "_lon")
+
+
+def place_distance_km(a: str, b: str, centroids: Mapping[str, tuple[float, float]]) -> Column:
+    """Great-circle distance between the centroids of two places; null where one
+    is unknown."""
+    at = [F.create_map(*[x for k, v in centroids.items() for x in (F.lit(k), F.lit(v[i]))]) for i in (0, 1)]
+    return haversine_km(*(F.try_element_at(m, F.col(place)) for place in (a, b) for m in at))

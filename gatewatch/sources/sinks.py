@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "delta", "iceberg"})
 
 # What an indirect warehouse write sets on top of the given options.
-INDIRECT_OPTIONS = {"truncate": "true", "partitionField": "event_date", "partitionType": "DAY"}
+REPLACE = {"writeDisposition": "WRITE_TRUNCATE"}
+BY_DAY = {"partitionField": "event_date", "partitionType": "DAY"}
 
 
-def connector_options(options: Mapping[str, str]) -> dict[str, str]:
-    """Options of a warehouse write. `writeMethod` is `indirect` (the default:
-    staged files, so a `temporaryGcsBucket` is required; the table is truncated
-    and partitioned by day) or `direct` (none of these)."""
+def connector_options(options: Mapping[str, str], columns: Collection[str]) -> dict[str, str]:
+    """Options of a warehouse write of a table with these columns. `writeMethod`
+    is `indirect` (the default: staged files, so a `temporaryGcsBucket` is
+    required; the table is replaced, and partitioned by day if it has an
+    `event_date`) or `direct` (none of these)."""
     out = {"writeMethod": "indirect", **options}
     method = out["writeMethod"]
     if method == "direct":
@@ -24,7 +26,7 @@ def connector_options(options: Mapping[str, str]) -> dict[str, str]:
         raise ValueError(f"writeMethod must be direct or indirect, not {method!r}")
     if not out.get("temporaryGcsBucket"):
         raise ValueError("an indirect write stages files: set temporaryGcsBucket")
-    return {**INDIRECT_OPTIONS, **out}
+    return {**REPLACE, **(BY_DAY if "event_date" in columns else {}), **out}
 
 
 def write_findings(
@@ -45,7 +47,7 @@ def write_findings(
     """
     files = format in FILE_FORMATS
     writer = df.write.format(format).mode("overwrite")
-    for k, v in (dict(options or {}) if files else connector_options(options or {})).items():
+    for k, v in (dict(options or {}) if files else connector_options(options or {}, df.columns)).items():
         writer = writer.option(k, v)
     if files:
         writer = writer.option("partitionOverwriteMode", "static")

@@ -5,34 +5,46 @@
 | D2 mfa bypass | stream-stream inner join, watermarks on both sides, time range |
 | D16 orphan events | stream-static left anti join against the workforce table |
 | D12 multi-app session | event-time session window per (user, session) |
-| D1 path B | `foreachBatch` as-of look-up in the landed logins (both reasons), |
-|           | or a stream-stream left outer join over the 30-minute look-back |
-| D4 travel, D8 sequence | per-key state that holds rows back to the watermark |
-|                        | and handles them in time order; idle keys expire |
+| D1 path B | logins and uses of a user in time order, the last login held |
+| D4 travel, D8 sequence | rows in time order per key and time bucket (`ordered`) |
 | D5, D19 evidence | `foreachBatch` anti join against the requests table |
-| D6, D9 baselines | daily sums of each micro-batch, kept by batch; affected |
-|                  | days re-scored from all of them by `foreachBatch` |
+| D6, D9 baselines | a store of daily totals (`daily_store`); days whose result can |
+|                  | have changed re-scored by `foreachBatch` |
 
-Timestamps must be TIMESTAMP (not NTZ) for watermarks. D2, D12, D1's join form,
-D4 and D8 leave out rows that come later than their delay;
+Every rule takes an event once, however often it is delivered. D6 and D9 tell
+events apart by their identity within the day, at any age. The other rules take
+the first delivery (`first_deliveries`): identities are held for `delay` behind the
+latest event, and what comes later than that is late.
+
+Timestamps must be TIMESTAMP (not NTZ) for watermarks. Late rows are left out;
 `dropped_by_watermark` counts them, and the batch rules over the landed tables
-(`plans.runner`) correct for them. D5, D6, D9, D16 and D19 drop nothing.
+(`plans.runner`) correct for them. D6 and D9 drop nothing. D1, D4 and D8 need the
+RocksDB state store (`session.ENGINE_CONF`).
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from gatewatch import constants as K
 from gatewatch.functions.columns import blank, epoch_seconds, nonblank, normalized_status, session_key
+from gatewatch.operators.aggregates import rolling_baseline
+from gatewatch.operators.sequence import place_distance_km
 from gatewatch.plans import rules as R
+from gatewatch.sources.contracts import SOURCE_ID_COLUMNS
+from gatewatch.streaming.daily_store import DAY, DailyStore
+from gatewatch.streaming.ordered import OrderedRows, ordered_columns, scan_in_order, split_by_time
+
+
+def first_deliveries(events: DataFrame, source: str, delay: str = "2 hours") -> DataFrame:
+    """The events of a source stream, each once: deliveries of an identity after
+    the first are left out. State holds the identities of the last `delay`; a
+    redelivery from before that is late, so it does not come through either."""
+    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(SOURCE_ID_COLUMNS[source]))
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
@@ -55,15 +67,15 @@ def mfa_bypass_stream(
     """Failed login x later app use of the same user within the window; Spark
     keeps each side's rows in state only until the other side's watermark
     passes their window, so state is bounded by the delay and the window."""
-    failed = okta.filter(normalized_status("status").contains(K.FAILURE_MARKER)).select(
+    failed = first_deliveries(okta.filter(normalized_status("status").contains(K.FAILURE_MARKER)), "okta", delay).select(
         F.col("req_id").alias("failed_request_id"), F.col("user").alias("failed_user"),
         F.col("session_id").alias("failed_session_id"), F.col("status").alias("failure_status"),
         F.col("ts").alias("failure_ts"),
-    ).withWatermark("failure_ts", delay)
-    used = app.select(
+    )
+    used = first_deliveries(app, "app_usage", delay).select(
         "user", "usage_id", F.col("session_id").alias("app_session_id"), "app",
         F.col("ts").alias("app_ts"),
-    ).withWatermark("app_ts", delay)
+    )
     cond = (
         (F.col("user") == F.col("failed_user"))
         & (F.col("app_ts") > F.col("failure_ts"))
@@ -89,8 +101,10 @@ def orphan_events_stream(events: DataFrame, hr: DataFrame) -> DataFrame:
     return R.orphan_events(events, hr)
 
 
-def source_events_stream(okta: DataFrame, saviynt: DataFrame, ad: DataFrame, app: DataFrame) -> DataFrame:
-    return R.source_events(okta, saviynt, ad, app)
+def source_events_stream(okta: DataFrame, saviynt: DataFrame, ad: DataFrame, app: DataFrame, *, delay: str = "2 hours") -> DataFrame:
+    """Events of the four source streams, each once."""
+    return R.source_events(*(first_deliveries(df, source, delay) for df, source in (
+        (okta, "okta"), (saviynt, "saviynt"), (ad, "ad"), (app, "app_usage"))))
 
 
 # ---------------------------------------------------------------- D12
@@ -104,8 +118,7 @@ def multi_app_session_stream(
     while they are at most `gap` apart, whatever day boundary lies between
     (append mode emits a session once the watermark is `gap` past its end)."""
     return (
-        app.filter(nonblank("session_id"))
-        .withWatermark("ts", delay)
+        first_deliveries(app.filter(nonblank("session_id")), "app_usage", delay)
         .groupBy("user", "session_id", F.session_window("ts", gap).alias("w"))
         .agg(
             F.sort_array(F.collect_set("app")).alias("applications"),
@@ -123,27 +136,38 @@ def multi_app_session_stream(
 
 def no_recent_login_stream(
     okta: DataFrame, app: DataFrame, *, delay: str = "1 hour",
-    max_seconds: int = K.LOGIN_TO_APP_MAX_SECONDS,
+    max_seconds: int = K.LOGIN_TO_APP_MAX_SECONDS, tick_seconds: int = 300,
 ) -> DataFrame:
-    """App use without a session and without a successful login of the user
-    in the `max_seconds` before it. The left outer join emits the unmatched
-    row once the login side's watermark passes its look-back, so this form
-    reports the union of the batch rule's two reasons as one."""
-    logins = okta.filter(normalized_status("status") == K.SUCCESS_STATUS).select(
-        F.col("user").alias("login_user"), F.col("ts").alias("login_ts")
-    ).withWatermark("login_ts", delay)
-    uses = app.filter(blank("session_id")).select(
-        "user", "usage_id", "session_id", "app", F.col("ts").alias("app_ts")
-    ).withWatermark("app_ts", delay)
-    cond = (
-        (F.col("user") == F.col("login_user"))
-        & (F.col("login_ts") <= F.col("app_ts"))
-        & (F.col("login_ts") >= F.col("app_ts") - F.expr(f"INTERVAL {max_seconds + 1} SECONDS"))
-        & (epoch_seconds("app_ts") - epoch_seconds("login_ts") <= max_seconds)
-    )
-    return uses.join(logins, cond, "leftOuter").filter(F.col("login_ts").isNull()).select(
-        "user", "usage_id", "session_id", "app", F.col("app_ts").alias("app_access_time")
-    )
+    """App use without a session whose user has no successful login at or before
+    it, or whose last one is over `max_seconds` before: the batch rule's two
+    reasons with the login time. Logins and uses are one stream in time order per
+    user; a user's state is the rows newer than the watermark and the last login,
+    which is held for good (one row per user)."""
+    timed = F.col("user").isNotNull() & F.col("ts").isNotNull()
+    logins = first_deliveries(okta.filter((normalized_status("status") == K.SUCCESS_STATUS) & timed), "okta", delay).select(
+        "user", *ordered_columns("ts", "req_id", F.lit(0)), F.lit("login").alias("kind"),
+        F.lit(None).cast("string").alias("session_id"), F.lit(None).cast("string").alias("app"), "ts")
+    uses = first_deliveries(app.filter(blank("session_id") & F.col("ts").isNotNull()), "app_usage", delay).select(
+        "user", *ordered_columns("ts", "usage_id", F.lit(1)), F.lit("use").alias("kind"), "session_id", "app", "ts")
+
+    def step(key: tuple, before: list[tuple], row: tuple) -> tuple | None:
+        at, _, usage_id, kind, session_id, app_ = row
+        last = before[-1][0] if before else None
+        if kind != "use" or (last is not None and at // 1_000_000 - last // 1_000_000 <= max_seconds):
+            return None
+        return (key[0], usage_id, session_id, app_, last, at)
+
+    found = scan_in_order(
+        logins.unionByName(uses), ["user"],
+        OrderedRows(("kind", "session_id", "app"), step, ("user", "usage_id", "session_id", "app", "login_at", "use_at"),
+                    keeps=lambda row: row[3] == "login", tick_seconds=tick_seconds),
+        "user string, usage_id string, session_id string, app string, login_at long, use_at long")
+    found = found.withColumns({"login_time": F.timestamp_micros("login_at"), "app_access_time": F.timestamp_micros("use_at")})
+    return found.select(
+        "user", "usage_id", "session_id", "app", "login_time", "app_access_time",
+        (epoch_seconds("app_access_time") - epoch_seconds("login_time")).alias("seconds_from_login"),
+        F.when(F.col("login_time").isNull(), F.lit("no_preceding_login"))
+        .otherwise(F.lit("application_too_long_after_login")).alias("anomaly_reason"))
 
 
 def no_recent_login_batch_writer(okta_loader, sink):
@@ -157,146 +181,67 @@ def no_recent_login_batch_writer(okta_loader, sink):
     return run
 
 
-# ---------------------------------------------------------------- D4, D8 with state
-
-# rows held back and what is carried on, both as JSON
-_ORDERED_STATE = "held string, carried string"
-
-
-def _micros(ts: pd.Timestamp) -> int:
-    return pd.Timestamp(ts).value // 1000
-
-
-def _in_order(
-    pdfs: Iterable[pd.DataFrame],
-    state: GroupState,
-    columns: list[str],
-    step: Callable[[list | None, list], tuple[list, tuple | None]],
-    expire_seconds: int,
-) -> list[tuple]:
-    """New rows join the held ones; those before the watermark are final and
-    go through `step(carried, row) -> (carried, output or None)` in (time, id)
-    order, the others wait. `columns` begin with the time and the id. A key
-    with nothing held is forgotten `expire_seconds` after its last row."""
-    held, carried = [], None
-    if state.exists:
-        held_json, carried_json = state.get
-        held, carried = json.loads(held_json), json.loads(carried_json)
-    for pdf in pdfs:
-        for row in pdf[columns].itertuples(index=False, name=None):
-            held.append([_micros(row[0]), *[None if pd.isna(v) else v for v in row[1:]]])
-    watermark = state.getCurrentWatermarkMs()
-    held.sort(key=lambda r: (r[0], "" if r[1] is None else r[1]))
-    ready = [r for r in held if r[0] < watermark * 1000]
-    held = held[len(ready):]
-    out = []
-    for row in ready:
-        carried, found = step(carried, row)
-        if found is not None:
-            out.append(found)
-    if held:
-        wake = held[0][0] // 1000 + 1
-    elif carried is not None and carried[0] // 1000 + expire_seconds * 1000 > watermark:
-        wake = carried[0] // 1000 + expire_seconds * 1000
-    else:
-        if state.exists:
-            state.remove()
-        return out
-    state.update((json.dumps(held), json.dumps(carried)))
-    state.setTimeoutTimestamp(max(wake, watermark + 1))
-    return out
-
-
-TRAVEL_SCHEMA = (
-    "user string, req_id string, previous_country string, current_country string, "
-    "previous_login_ts timestamp, current_login_ts timestamp, seconds_between long, "
-    "distance_km double, required_speed_kmh double"
-)
-
-
-def _haversine(lat1, lon1, lat2, lon2):
-    import math
-
-    dlat, dlon = math.radians(lat2 - lat1), math.radians(lon2 - lon1)
-    h = math.sin(dlat / 2) ** 2 + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.sin(dlon / 2) ** 2
-    return 2 * K.EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, h)))
-
-
-def _round1(x: float) -> float:
-    """Half-up rounding on the decimal form, as Spark's `round(col, 1)`."""
-    from decimal import ROUND_HALF_UP, Decimal
+# ---------------------------------------------------------------- D4, D8
 
-    return float(Decimal(repr(x)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
 
-
-def _travel_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per user: each successful login against the one before it in time."""
-
-    def step(last: list | None, row: list) -> tuple[list, tuple | None]:
-        at, req_id, country = row
-        if last is None or last[2] is None or country is None or country == last[2]:
-            return row, None
-        seconds = at // 1_000_000 - last[0] // 1_000_000
-        here, there = K.COUNTRY_CENTROIDS.get(country), K.COUNTRY_CENTROIDS.get(last[2])
-        if not (here and there and 0 < seconds <= K.TRAVEL_MAX_SECONDS):
-            return row, None
-        km = _haversine(*there, *here)
-        speed = km / (seconds / 3600.0)
-        if speed <= K.TRAVEL_MAX_SPEED_KMH:
-            return row, None
-        return row, (key[0], req_id, last[2], country, pd.Timestamp(last[0], unit="us"), pd.Timestamp(at, unit="us"),
-                     seconds, _round1(km), _round1(speed))
-
-    out = _in_order(pdfs, state, ["ts", "req_id", "country"], step, K.TRAVEL_MAX_SECONDS)
-    yield pd.DataFrame(out, columns=[f.split()[0] for f in TRAVEL_SCHEMA.split(", ")])
-
-
-def impossible_travel_stream(okta: DataFrame, *, delay: str = "2 hours") -> DataFrame:
-    """Stateful D4: per user the logins newer than the watermark and the last
-    one before it, for as long as it can still begin a finding."""
+def impossible_travel_stream(
+    okta: DataFrame, *, delay: str = "2 hours", max_seconds: int = K.TRAVEL_MAX_SECONDS,
+    max_speed_kmh: float = K.TRAVEL_MAX_SPEED_KMH, tick_seconds: int = 300,
+) -> DataFrame:
+    """D4 per user and time bucket of `max_seconds`: logins further apart are no
+    finding, so a bucket needs the last login before it and no more."""
+    logins = first_deliveries(
+        okta.filter(normalized_status("status") == K.SUCCESS_STATUS).filter(F.col("ts").isNotNull()), "okta", delay,
+    ).select("user", *ordered_columns("ts", "req_id"), "country", "ts")
+
+    def step(key: tuple, before: list[tuple], row: tuple) -> tuple | None:
+        if not before or before[-1][3] is None or row[3] is None or row[3] == before[-1][3]:
+            return None
+        if not 0 < row[0] // 1_000_000 - before[-1][0] // 1_000_000 <= max_seconds:
+            return None
+        return (key[0], row[2], before[-1][3], row[3], before[-1][0], row[0])
+
+    moves = scan_in_order(
+        split_by_time(logins, max_seconds + 1, 1), ["user", "bucket"],
+        OrderedRows(("country",), step, ("user", "req_id", "previous_country", "current_country", "previous_at", "current_at"),
+                    tick_seconds=tick_seconds, bucket_seconds=max_seconds + 1),
+        "user string, req_id string, previous_country string, current_country string, previous_at long, current_at long")
+    seconds = F.floor(F.col("current_at") / 1_000_000) - F.floor(F.col("previous_at") / 1_000_000)
+    km = place_distance_km("previous_country", "current_country", K.COUNTRY_CENTROIDS)
     return (
-        okta.filter(normalized_status("status") == K.SUCCESS_STATUS)
-        .filter(F.col("ts").isNotNull())
-        .select("user", "req_id", "country", "ts")
-        .withWatermark("ts", delay)
-        .groupBy("user")
-        .applyInPandasWithState(_travel_step, TRAVEL_SCHEMA, _ORDERED_STATE, "append",
-                                GroupStateTimeout.EventTimeTimeout)
+        moves.withColumns({"seconds_between": seconds.cast("long"), "_km": km})
+        .withColumn("_speed", F.col("_km") / (F.col("seconds_between") / F.lit(3600.0)))
+        .filter(F.col("_speed") > max_speed_kmh)
+        .select("user", "req_id", "previous_country", "current_country",
+                F.timestamp_micros("previous_at").alias("previous_login_ts"), F.timestamp_micros("current_at").alias("current_login_ts"),
+                "seconds_between", F.round("_km", 1).alias("distance_km"), F.round("_speed", 1).alias("required_speed_kmh"))
     )
 
 
-SEQUENCE_SCHEMA = (
-    "user string, usage_id string, session_id string, previous_app string, current_app string, "
-    "next_app string, sequence_time timestamp"
-)
-
-
-def high_risk_sequence_stream(app: DataFrame, *, delay: str = "2 hours", idle_seconds: int = 30 * 86400) -> DataFrame:
-    """Stateful D8: per session the uses newer than the watermark and the two
-    before it; when three in a row match the pattern, the middle one is emitted.
-    A session without a use for `idle_seconds` is over."""
+def high_risk_sequence_stream(
+    app: DataFrame, *, delay: str = "2 hours", idle_seconds: int = 30 * 86400, tick_seconds: int = 300,
+) -> DataFrame:
+    """D8 per session and time bucket of `idle_seconds`: after a pause as long as
+    that a session begins anew, so a bucket needs the last two uses before it. A
+    shorter pause splits a hot session (the stand-in of a user without sessions)
+    further."""
     first, middle, last = K.HIGH_RISK_SEQUENCE
+    uses = first_deliveries(app.filter(F.col("ts").isNotNull()), "app_usage", delay).withColumn(
+        "session_key", session_key()).select("user", "session_key", *ordered_columns("ts", "usage_id"), "app", "session_id", "ts")
 
-    def sequence_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def step(before: list | None, row: list) -> tuple[list, tuple | None]:
-            # carried: the last use (time, id, app, session) and the app before it
-            found = None
-            if before and before[4] == first and before[2] == middle and row[2] == last:
-                found = (key[0], before[1], before[3], first, middle, last, pd.Timestamp(before[0], unit="us"))
-            return [*row, before[2] if before else None], found
-
-        out = _in_order(pdfs, state, ["ts", "usage_id", "app", "session_id"], step, idle_seconds)
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in SEQUENCE_SCHEMA.split(", ")])
+    def step(key: tuple, before: list[tuple], row: tuple) -> tuple | None:
+        if len(before) < 2 or (before[0][3], before[1][3], row[3]) != (first, middle, last):
+            return None
+        if max(before[1][0] - before[0][0], row[0] - before[1][0]) > idle_seconds * 1_000_000:
+            return None
+        return (key[0], before[1][2], before[1][4], first, middle, last, before[1][0])
 
-    return (
-        app.filter(F.col("ts").isNotNull())
-        .withColumn("session_key", session_key())
-        .select("user", "session_key", "usage_id", "session_id", "app", "ts")
-        .withWatermark("ts", delay)
-        .groupBy("user", "session_key")
-        .applyInPandasWithState(sequence_step, SEQUENCE_SCHEMA, _ORDERED_STATE, "append",
-                                GroupStateTimeout.EventTimeTimeout)
-    )
+    found = scan_in_order(
+        split_by_time(uses, idle_seconds, 2), ["user", "session_key", "bucket"],
+        OrderedRows(("app", "session_id"), step, ("user", "usage_id", "session_id", "previous_app", "current_app", "next_app", "at"),
+                    carry=2, tick_seconds=tick_seconds, bucket_seconds=idle_seconds),
+        "user string, usage_id string, session_id string, previous_app string, current_app string, next_app string, at long")
+    return found.withColumn("sequence_time", F.timestamp_micros("at")).drop("at")
 
 
 # ---------------------------------------------------------------- D5, D19
@@ -318,58 +263,54 @@ def evidence_batch_writer(saviynt_loader, sink):
     return run
 
 
-# ---------------------------------------------------------------- D6, D9 over stored daily history
+def evidence_stream(ad: DataFrame, saviynt_loader: Callable[[], DataFrame], sink, *, delay: str = "2 hours") -> DataStreamWriter:
+    """`evidence_batch_writer` over the directory events of a stream, each once."""
+    return first_deliveries(ad, "ad", delay).writeStream.foreachBatch(evidence_batch_writer(saviynt_loader, sink))
+
+
+# ---------------------------------------------------------------- D6, D9 over stored daily totals
 
 
 def baseline_batch_writer(history_path: str, scored_path: str, kind: str, *,
-                          days: int = K.BASELINE_DAYS):
+                          days: int = K.BASELINE_DAYS, max_parts: int = 24):
     """`foreachBatch` function over app uses (kind="data", D9) or directory
     changes (kind="volume", D6).
 
-    Each micro-batch (a) is reduced to its sums per key and day and written as
-    its own partition of the history (`batch_id`, overwritten if the batch is
-    replayed), so no batch touches what others have written and rows may come
-    as late as they like, then (b) every day whose result can have changed, the
-    touched days and the `days` after them, is re-scored from the sums of all
-    batches, and (c) replaces those days in the scored table. Every scored
-    (key, day) row is kept with an `is_finding` flag, so a day that stops being
-    a finding is overwritten too. Only the touched-day range reaches the driver.
+    Each micro-batch goes into a `DailyStore`, which keeps every event once and
+    replaces the totals of the days it touched. Days whose result can have changed,
+    the touched days and the `days` after each, are re-scored from the totals and
+    replaced in the scored table. Every scored (key, day) row is kept with an
+    `is_finding` flag, so a day that stops being a finding is overwritten too. Only
+    dates reach the driver.
     """
     import datetime as dt
 
-    from gatewatch.operators.aggregates import rolling_baseline
-
     if kind == "data":
-        value, key, average = "total_data_mb", "user", "rolling_average_mb"
-        amount = F.sum(F.col("data_mb").try_cast("double"))
+        value, key, average, source = "total_data_mb", "user", "rolling_average_mb", "app_usage"
+        amount = F.col("data_mb").try_cast("double")
     elif kind == "volume":
-        value, key, average = "event_count", "action", "rolling_average"
-        amount = F.count(F.lit(1))
+        value, key, average, source = "event_count", "action", "rolling_average", "ad"
+        amount = F.lit(1).cast("long")
     else:
         raise ValueError("kind must be 'data' or 'volume'")
+    store = DailyStore(history_path, SOURCE_ID_COLUMNS[source], key, amount, value, max_parts)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        part = f"{history_path.rstrip('/')}/batch_id={batch_id}"
-        daily = batch.groupBy(key, F.to_date("ts").alias("activity_date")).agg(amount.alias(value))
-        daily.write.mode("overwrite").parquet(part)
-        written = spark.read.schema(daily.schema).parquet(part)
-        span = written.agg(F.min("activity_date").alias("lo"), F.max("activity_date").alias("hi")).first()
-        if span["lo"] is None:
+        touched = store.add(batch, batch_id)
+        if not touched:
             return
-        lo, hi = span["lo"], span["hi"] + dt.timedelta(days=days)
-        history = spark.read.schema(daily.schema).parquet(history_path).filter(
-            F.col("activity_date").between(lo - dt.timedelta(days=days), hi))
-        totals = history.groupBy(key, "activity_date").agg(F.sum(value).alias(value))
-        scored = rolling_baseline(totals, [key], "activity_date", value, days=days, average=average)
+        after = {d + dt.timedelta(days=k) for d in touched for k in range(days + 1)}
+        before = {d - dt.timedelta(days=k) for d in after for k in range(days + 1)}
+        scored = rolling_baseline(store.totals(spark, sorted(before)), [key], DAY, value, days=days, average=average)
         if kind == "data":
             hit = F.col(value) > F.greatest(F.col(average) * K.SPIKE_FACTOR, F.lit(K.DATA_FLOOR_MB))
         else:
             hit = F.col(value) > F.col(average) * K.SPIKE_FACTOR
         flag = F.coalesce((F.col("history_days") >= K.BASELINE_MIN_HISTORY) & hit, F.lit(False))
-        (scored.filter(F.col("activity_date").between(lo, hi))
+        (scored.filter(F.col(DAY).isin(sorted(after)))
          .withColumn("is_finding", flag)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("activity_date").parquet(scored_path))
+         .partitionBy(DAY).parquet(scored_path))
 
     return run

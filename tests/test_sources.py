@@ -192,13 +192,67 @@ def test_connector_write_rules():
 
     from gatewatch.sources.sinks import connector_options
 
-    full = connector_options({"temporaryGcsBucket": "b", "x": "1"})
-    assert full == {"writeMethod": "indirect", "truncate": "true", "partitionField": "event_date", "partitionType": "DAY",
+    full = connector_options({"temporaryGcsBucket": "b", "x": "1"}, ["user", "event_date"])
+    assert full == {"writeMethod": "indirect", "writeDisposition": "WRITE_TRUNCATE", "partitionField": "event_date", "partitionType": "DAY",
                     "temporaryGcsBucket": "b", "x": "1"}
-    assert connector_options({"writeMethod": "direct"}) == {"writeMethod": "direct"}
+    undated = connector_options({"temporaryGcsBucket": "b"}, ["user"])
+    assert undated == {"writeMethod": "indirect", "writeDisposition": "WRITE_TRUNCATE", "temporaryGcsBucket": "b"}
+    assert connector_options({"writeMethod": "direct"}, ["event_date"]) == {"writeMethod": "direct"}
     for bad in ({}, {"writeMethod": "indirect"}, {"writeMethod": "other", "temporaryGcsBucket": "b"}):
         with pytest.raises(ValueError):
-            connector_options(bad)
+            connector_options(bad, ["event_date"])
+
+
+def test_connector_writes_reach_a_sink_and_commit(spark, tmp_path):
+    """Both write rules through a real sink of the data source API, which keeps
+    the options it was given and what was committed."""
+    import datetime as dt
+    import json
+
+    from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+    from gatewatch.sources.sinks import write_findings
+
+    log = str(tmp_path / "log.json")
+
+    class Rows(WriterCommitMessage):
+        def __init__(self, n):
+            self.n = n
+
+    class Recorder(DataSourceWriter):
+        def __init__(self, options, overwrite):
+            self.options, self.overwrite = dict(options), overwrite
+
+        def write(self, iterator):
+            return Rows(sum(1 for _ in iterator))
+
+        def commit(self, messages):
+            with open(log, "w") as f:
+                json.dump({"rows": sum(m.n for m in messages), "overwrite": self.overwrite, "options": self.options}, f)
+
+    class Warehouse(DataSource):
+        @classmethod
+        def name(cls):
+            return "recording_warehouse"
+
+        def writer(self, schema, overwrite):
+            return Recorder(self.options, overwrite)
+
+    spark.dataSource.register(Warehouse)
+    dated = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", None), ("c", dt.date(2024, 1, 2))], "user string, event_date date")
+
+    def written(df, **options):
+        write_findings(df, "p.d.risk_scores", format="recording_warehouse", options=options)
+        got = json.loads(Path(log).read_text())
+        assert got["rows"] == df.count() and got["overwrite"] is True
+        given = {k.lower(): v for k, v in got["options"].items() if k.lower() != "path"}
+        assert given.pop("table") == "p.d.risk_scores"
+        return given
+
+    indirect = {"writemethod": "indirect", "writedisposition": "WRITE_TRUNCATE", "temporarygcsbucket": "bucket"}
+    assert written(dated, temporaryGcsBucket="bucket") == {**indirect, "partitionfield": "event_date", "partitiontype": "DAY"}
+    assert written(dated.drop("event_date"), temporaryGcsBucket="bucket") == indirect
+    assert written(dated, writeMethod="direct") == {"writemethod": "direct"}
 
 
 def test_landed_text_reaches_the_timeline_and_untimed_uses_are_no_findings(spark, tmp_path):

@@ -68,15 +68,17 @@ def _closing(df, ts, **values):
     return df.unionByName(row)
 
 
-def _in_files(df, root, name, parts, jitter_seconds):
-    """Files in time order, each row up to `jitter_seconds` out of place."""
+def _in_files(df, root, name, parts, jitter_seconds, times=1):
+    """Files in time order, each row up to `jitter_seconds` out of place; every
+    file is delivered `times` times."""
     path = f"{root}/{name}"
     rows = df.withColumn("_at", F.unix_timestamp("ts") + F.pmod(F.xxhash64(*df.columns), F.lit(jitter_seconds)))
     rows = sorted(rows.collect(), key=lambda r: r["_at"])
     size = -(-len(rows) // parts)
     for k in range(parts):
         chunk = [tuple(r)[:-1] for r in rows[k * size:(k + 1) * size]]
-        df.sparkSession.createDataFrame(chunk, df.schema).coalesce(1).write.parquet(f"{path}/{k:03d}")
+        for t in range(times):
+            df.sparkSession.createDataFrame(chunk, df.schema).coalesce(1).write.parquet(f"{path}/{k:03d}{t}")
     return path
 
 
@@ -84,30 +86,110 @@ def _stream_files(spark, path, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
 
 
-def test_stateful_travel_and_sequence_equal_batch_over_disordered_batches(spark, staged):
+CLOSE = "2035-01-01 00:00:00"
+
+
+def _closed(b, source):
+    if source == "okta":
+        return _closing(b["okta"], CLOSE, user="closing", req_id="closing", status="success")
+    return _closing(b["app_usage"], CLOSE, user="closing", usage_id="closing", session_id=" ")
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_travel_and_sequence_equal_batch_over_disordered_and_redelivered_files(spark, staged, times):
     root, b = staged
-    okta = _closing(b["okta"], "2035-01-01 00:00:00", user="closing", req_id="closing", status="success")
-    path = _in_files(okta, root, "okta_files", 7, 5400)
+    okta = _closed(b, "okta")
+    path = _in_files(okta, root, f"okta_files{times}", 7, 5400, times)
     q = live.impossible_travel_stream(_stream_files(spark, path, okta.schema)).writeStream.format("memory").queryName(
-        "s_travel").outputMode("append").trigger(availableNow=True).start()
+        f"s_travel{times}").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert live.dropped_by_watermark(q) == 0
+    if times == 1:
+        assert live.dropped_by_watermark(q) == 0
     exp = R.impossible_travel(b["okta"])
-    cols = ["req_id", "previous_country", "current_country", "seconds_between", "distance_km",
-            "required_speed_kmh"]
-    assert sorted(spark.table("s_travel").select(*cols).collect()) == sorted(exp.select(*cols).collect())
+    assert sorted(spark.table(f"s_travel{times}").collect()) == sorted(exp.collect())
     assert exp.count() > 5
-    # only the closing user's row is left in the state
-    assert [op["numRowsTotal"] for op in dict(q.recentProgress[-1])["stateOperators"]] == [1]
 
-    app = _closing(b["app_usage"], "2035-01-01 00:00:00", user="closing", usage_id="closing")
-    path = _in_files(app, root, "app_files", 5, 5400)
-    got = _drain(live.high_risk_sequence_stream(_stream_files(spark, path, app.schema)), "s_seq")
+    app = _closed(b, "app_usage")
+    path = _in_files(app, root, f"app_files{times}", 5, 5400, times)
+    got = _drain(live.high_risk_sequence_stream(_stream_files(spark, path, app.schema)), f"s_seq{times}")
     exp = R.high_risk_sequence(b["app_usage"])
     assert sorted(got.collect()) == sorted(exp.collect())
     assert exp.count() > 0
 
 
+@pytest.mark.parametrize("times", [1, 2])
+def test_no_recent_login_stream_equals_batch(spark, staged, times):
+    """Both reasons and the login time, over disordered and redelivered files."""
+    root, b = staged
+    # the closing use has a login one second before it, so it is no finding
+    okta, app = _closing(b["okta"], CLOSE, user="closing", req_id="closing", status="success"), _closed(b, "app_usage")
+    o, a = (_stream_files(spark, _in_files(df, root, f"{n}_nl{times}", 4, 1800, times), df.schema) for df, n in ((okta, "o"), (app, "a")))
+    got = _drain(live.no_recent_login_stream(o, a, delay="2 hours"), f"s_nologin{times}")
+    exp = R.impossible_login(b["okta"], b["app_usage"].filter(F.col("session_id").isNull() | (F.trim("session_id") == "")))
+    assert sorted(got.select(*exp.columns).collect(), key=str) == sorted(exp.collect(), key=str)
+    assert {r["anomaly_reason"] for r in got.collect()} == {"no_preceding_login", "application_too_long_after_login"}
+
+
+def test_redelivered_files_change_no_joined_or_windowed_result(spark, staged):
+    """D2, D16, D12 and the evidence rules over files that all come twice."""
+    root, b = staged
+    files = {s: _in_files(b[s], root, f"{s}_twice", 3, 600, 2) for s in ("okta", "saviynt", "ad", "app_usage")}
+    streams = lambda: {s: _stream_files(spark, p, b[s].schema) for s, p in files.items()}
+    x = streams()
+    got = _drain(live.mfa_bypass_stream(x["okta"], x["app_usage"], delay="30 days"), "s_mfa_twice")
+    assert sorted(got.collect()) == sorted(R.mfa_bypass(b["okta"], b["app_usage"]).collect())
+    x = streams()
+    events = live.source_events_stream(x["okta"], x["saviynt"], x["ad"], x["app_usage"], delay="30 days")
+    got = _drain(live.orphan_events_stream(events, b["hrlifecycle"]), "s_orphans_twice")
+    exp = R.orphan_events(R.source_events(b["okta"], b["saviynt"], b["ad"], b["app_usage"]), b["hrlifecycle"])
+    assert sorted(got.collect()) == sorted(exp.collect())
+    app = _closing(b["app_usage"], CLOSE, user="closing", usage_id="closing")
+    path = _in_files(app, root, "multi_twice", 3, 600, 2)
+    got = _drain(live.multi_app_session_stream(_stream_files(spark, path, app.schema), gap="40 days", delay="30 days"), "s_multi_twice")
+    assert sorted(got.collect()) == sorted(R.multi_app_session(b["app_usage"]).collect())
+    out: dict[str, list] = {}
+    q = live.evidence_stream(streams()["ad"], lambda: b["saviynt"], lambda name, df, i: out.setdefault(name, []).extend(df.collect()),
+                             delay="30 days").option("checkpointLocation", tempfile.mkdtemp(prefix="gw-ev-")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(out["shadow_access_events"], key=str) == sorted(R.shadow_access(b["ad"], b["saviynt"]).collect(), key=str)
+    assert sorted(out["privilege_escalation_without_request"], key=str) == sorted(
+        R.privilege_escalation_without_request(b["ad"], b["saviynt"]).collect(), key=str)
+
+
+def test_a_late_redelivery_is_counted_and_changes_nothing(spark, staged):
+    root, b = staged
+    okta = b["okta"].orderBy("ts")
+    rows = okta.collect()
+    half = len(rows) // 2
+    for k, part in enumerate((rows[:half], rows[half:], rows[:half])):
+        spark.createDataFrame([tuple(r) for r in part], okta.schema).coalesce(1).write.parquet(f"{root}/late/{k}")
+    once = live.first_deliveries(_stream_files(spark, f"{root}/late", okta.schema), "okta", "1 hour")
+    q = once.writeStream.format("memory").queryName("s_late").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("s_late").count() == len(rows)
+    assert live.dropped_by_watermark(q) > 0
+
+
+def test_a_hot_user_is_split_by_time(spark):
+    """One user with all events: logins of many buckets in one file are many keys,
+    and findings over a bucket's border are kept."""
+    import datetime as dt
+
+    start = dt.datetime(2024, 3, 1)
+    places = ["USA", "Japan", "USA", "UK"]
+    rows = [("hot", f"L{i:05d}", "success", places[i % 4], start + dt.timedelta(minutes=97 * i)) for i in range(400)]
+    rows.append(("closing", "Z", "success", "USA", dt.datetime(2035, 1, 1)))
+    schema = "user string, req_id string, status string, country string, ts timestamp"
+    root = tempfile.mkdtemp(prefix="gw-hot-")
+    spark.createDataFrame(rows[:-1], schema).coalesce(1).write.parquet(f"{root}/a/0")
+    spark.createDataFrame(rows[-1:], schema).coalesce(1).write.parquet(f"{root}/a/1")
+    exp = R.impossible_travel(spark.createDataFrame(rows, schema))
+    q = live.impossible_travel_stream(_stream_files(spark, f"{root}/a", schema)).writeStream.format("memory").queryName("s_hot").outputMode(
+        "append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(spark.table("s_hot").collect()) == sorted(exp.collect()) and exp.count() > 300
+
+
 def test_ingest_stream_lands_once(spark):
     if not Path(SF).exists():
         pytest.skip("test data not present")
@@ -163,8 +245,9 @@ def test_streaming_baselines_equal_batch_over_many_batches(spark, staged):
     root, b = staged
     for name, source, kind, rule in (("d", "app_usage", "data", R.excessive_data_transferred), ("v", "ad", "volume", R.ad_volume_spikes)):
         hist, scored = tempfile.mkdtemp(prefix="gw-hist-"), tempfile.mkdtemp(prefix="gw-scored-")
-        path = _in_files(b[source], root, f"{source}_days", 6, 10 * 86400)
-        write = live.baseline_batch_writer(f"{hist}/h", f"{scored}/s", kind)
+        # every file comes twice, so each batch but the first meets events it has
+        path = _in_files(b[source], root, f"{source}_days", 6, 10 * 86400, 2)
+        write = live.baseline_batch_writer(f"{hist}/h", f"{scored}/s", kind, max_parts=5)
         kept = []
 
         def run(batch, batch_id, write=write, kept=kept):
@@ -203,22 +286,41 @@ def test_evidence_batch_writer(spark, staged):
         b["ad"], b["saviynt"]).count()
 
 
-def test_no_recent_login_stream_equals_batch_path_b(spark, staged):
-    root, b = staged
-    okta = _stream(spark, root, "okta", b["okta"].schema)
-    app = _stream(spark, root, "app_usage", b["app_usage"].schema)
-    got = _drain(live.no_recent_login_stream(okta, app, delay="0 seconds"), "s_nologin")
-    exp = R.impossible_login(b["okta"], b["app_usage"]).filter(
-        F.col("anomaly_reason").isin("no_preceding_login", "application_too_long_after_login")
-        & (F.col("session_id").isNull() | (F.trim("session_id") == "")))
-    # an unmatched use is final (and emitted) once the global watermark -- the
-    # smaller of the latest times of the two watermarked inputs (successful
-    # logins, session-less uses) -- is strictly past it
-    logins = b["okta"].filter(F.upper(F.trim("status")) == "SUCCESS")
-    uses = b["app_usage"].filter(F.col("session_id").isNull() | (F.trim("session_id") == ""))
-    closed = min(logins.agg(F.max("ts")).first()[0], uses.agg(F.max("ts")).first()[0])
-    got_ids = sorted(r["usage_id"] for r in got.collect())
-    assert got_ids == sorted(r["usage_id"] for r in exp.filter(F.col("app_access_time") < closed).collect())
+def test_daily_store_reads_touched_days_only_and_survives_replays(spark):
+    import datetime as dt
+
+    from gatewatch.streaming.daily_store import DailyStore
+
+    path = tempfile.mkdtemp(prefix="gw-store-")
+    store = DailyStore(path, ("id",), "user", F.col("mb").try_cast("double"), "total", max_parts=3)
+    schema = "id string, user string, mb string, ts timestamp"
+    day = lambda d: dt.datetime(2024, 1, d, 12)
+    batch = lambda *rows: spark.createDataFrame(list(rows), schema)
+    total = lambda d: sorted((r["user"], r["total"]) for r in store.totals(spark, [day(d).date()]).collect())
+    first = batch(("a", "u", "1", day(1)), ("b", "u", "2", day(1)), ("c", "v", "bad", day(2)), ("x", "u", "9", None))
+    assert store.add(first, 0) == [day(1).date(), day(2).date()]
+    assert total(1) == [("u", 3.0)] and total(2) == [("v", None)]
+    # redelivered under a new batch id, with a correction of one event
+    assert store.add(batch(("a", "u", "1", day(1)), ("b", "u", "5", day(1))), 1) == [day(1).date()]
+    assert total(1) == [("u", 6.0)]
+    # other days' files are not read: a day that cannot be read does no harm
+    broken = Path(f"{path}/rows/activity_date=2024-01-02/part=b000000000")
+    for f in broken.glob("*.parquet"):
+        f.write_bytes(b"broken")
+    for f in broken.glob(".*.crc"):
+        f.unlink()
+    for k in (2, 3, 4, 4, 5, 5):  # some are replayed; parts are compacted on the way
+        assert store.add(batch((f"n{k}", "u", "10", day(1)), ("b", "u", "5", day(1))), k) == [day(1).date()]
+    assert total(1) == [("u", 46.0)]
+    assert len(list(Path(f"{path}/rows/activity_date=2024-01-01").glob("part=*"))) <= 3
+    # a crash between a compaction and the deletion of its parts leaves rows twice
+    store.compact(spark, [day(1).date()])
+    (one,) = Path(f"{path}/rows/activity_date=2024-01-01").glob("part=*")
+    import shutil
+    shutil.copytree(one, one.with_name("part=b000000001"))
+    assert store.add(batch(("late", "v", "4", day(1))), 9) == [day(1).date()]
+    assert total(1) == [("u", 46.0), ("v", 4.0)]
+    assert store.add(batch().limit(0), 10) == []
 
 
 def test_no_recent_login_batches_give_both_reasons(spark, staged):
