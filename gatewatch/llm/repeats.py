@@ -16,10 +16,14 @@ windows are equal if their ends and beginnings are (by 64-bit hashes) and the
 runs are as long and common prefixes along the suffix array do not fall below
 that length between them. Windows of one class with two or more places repeat.
 
-A key with over ``max_segments`` segments is dealt to several tasks by a hash.
-Each finds its classes by its own suffix array; classes of such keys are then
-added up over the tasks by a 128-bit hash of the window, one row per class and
-task for those that repeat in the task, one per window for the others.
+A key with over ``max_segments`` segments is dealt by content. Equal segments of
+it become one, with the number of its places; if more than ``max_segments``
+different ones are left, the windows get a longer key: the string of the key grows
+inside the window by half of what is missing to the whole window, on the side where
+more is missing. Equal windows grow alike, so they still meet; windows that differ
+near the string part. Keys that are still too large grow again, after
+about log2(span - gram) times to the whole window, where all windows of a key are
+equal and nothing is left to compare. Only texts with such keys are read again.
 """
 
 from __future__ import annotations
@@ -186,50 +190,128 @@ def covered(first: np.ndarray, span: int) -> list[tuple[int, int]]:
     return list(zip(first[np.append(0, cut + 1)].tolist(), (first[np.append(cut, len(first) - 1)] + span).tolist(), strict=True))
 
 
+def levels(span: int, gram: int) -> int:
+    """How often a key of ``gram`` bytes grows until it is the whole window."""
+    n, missing = 0, span - gram
+    while missing:
+        n, missing = n + 1, missing // 2
+    return n
+
+
+def grown(data: np.ndarray, count: int, key: int, level: int, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(first, end, key, twice) of the runs of windows with one key of ``level``
+    among the ``count`` windows of a segment of ``key``; window numbers count from
+    the start of the segment."""
+    roll = Rolling(data)
+    w = np.arange(count)
+    stands = np.flatnonzero(roll.all(gram) == np.uint64(key))
+    lo = stands[np.searchsorted(stands, w)]  # the key's first string in each window
+    hi = lo + gram
+    for _ in range(level):
+        right = w + span - hi
+        more = (lo - w + right + 1) // 2
+        to_right = right >= more
+        hi, lo = hi + np.where(to_right, more, 0), lo - np.where(to_right, 0, more)
+    new_key = mix(roll(lo, hi) + np.uint64((key * 31 + level) % (1 << 64)))
+    edge = np.flatnonzero(np.append(True, new_key[1:] != new_key[:-1]))
+    end = np.append(edge[1:], count)
+    twice = np.minimum.reduceat(lo, edge) != np.maximum.reduceat(lo, edge)
+    return edge, end, new_key[edge], twice
+
+
+def members(rows: DataFrame, level: int, span: int, gram: int) -> DataFrame:
+    """(cid, lo, hi, key, first_key, twice, piece): the segments of (cid, text,
+    segs) cut at keys of ``level``; piece tells segments with other bytes or another
+    key apart."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {f.name: [] for f in kind}
+            for cid, text, segs in zip(batch.column("cid").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
+                                       batch.column("segs").to_pylist(), strict=True):
+                for s in segs:
+                    lo, first_key = s["lo"], s["first_key"]
+                    runs = [(0, s["hi"] - lo, first_key, s["twice"])]
+                    if level:
+                        data = np.frombuffer(text, np.uint8)[lo : s["hi"] - 1 + span]
+                        runs = zip(*(x.tolist() for x in grown(data, s["hi"] - lo, first_key % (1 << 64), level, span, gram)), strict=True)
+                    for a, b, key, twice in runs:
+                        key = key - (1 << 64) if key >= 1 << 63 else key
+                        piece = hashlib.blake2b(text[lo + a : lo + b - 1 + span], digest_size=16, key=key.to_bytes(8, "little", signed=True))
+                        for c, v in zip(out.values(), (cid, lo + a, lo + b, key, first_key, twice, piece.digest()), strict=True):
+                            c.append(v)
+                    if len(out["cid"]) >= 4000:
+                        yield pa.RecordBatch.from_pydict(out, schema=kind)
+                        out = {k: [] for k in out}
+            yield pa.RecordBatch.from_pydict(out, schema=kind)
+
+    kind = pa.schema([("cid", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("key", pa.int64()), ("first_key", pa.int64()),
+                      ("twice", pa.bool_()), ("piece", pa.binary())])
+    return rows.mapInArrow(work, "cid binary, lo int, hi int, key long, first_key long, twice boolean, piece binary")
+
+
+def dealt_by_content(joined: DataFrame, hot: DataFrame, span: int, gram: int, max_segments: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+    """The large keys' segments, level by level.
+
+    Returns parts of three tables: (cid, lo, hi, key, times, piece), one segment of
+    every kind with its number of places, for keys that are small enough now; (piece,
+    cid, lo), all places of these; and (cid, start, end), ranges that repeat for
+    sure, of keys that have become whole windows."""
+    kinds, places, sure = [], [], []
+    for level in range(levels(span, gram) + 1):
+        each = checkpointed(members(hot, level, span, gram))
+        alike = each.groupBy("key", "piece").agg(
+            F.count("*").alias("times"), F.min(F.struct("cid", "lo", "hi")).alias("one"), F.max("twice").alias("twice"))
+        keys = alike.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("times").alias("n"), F.max("twice").alias("twice"))
+        keys = checkpointed(keys.where("n > 1 or twice"))
+        if level == levels(span, gram):
+            sure.append(each.join(keys.select("key"), "key", "left_semi").select(
+                "cid", F.col("lo").cast("long").alias("start"), (F.col("hi") - 1 + span).cast("long").alias("end")))
+            break
+        small = keys.where(F.col("kinds") <= max_segments).select("key")
+        kinds.append(alike.join(small, "key", "left_semi").select("one.cid", "one.lo", "one.hi", "key", "times", "piece"))
+        places.append(each.join(small, "key", "left_semi").select("piece", "cid", "lo"))
+        large = keys.where(F.col("kinds") > max_segments).select("key")
+        left = each.join(large, "key", "left_semi")
+        if left.isEmpty():
+            break
+        lists = left.groupBy("cid").agg(F.collect_set(F.struct("lo", "hi", "first_key", "twice")).alias("segs"))
+        hot = joined.select("cid", "text").join(lists, "cid")
+    return kinds, places, sure
+
+
 def found_ranges(pieces: DataFrame, span: int) -> DataFrame:
-    """(cid, start, end, mark, n): ranges of repeated bytes (mark null); for
-    keys dealt to several tasks also marks of windows with their number."""
+    """(cid, piece, start, end): ranges of repeated bytes, from the segment's
+    start on where the segment stands for a piece."""
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
-        alike: dict[tuple[bytes, int, bool], list[dict]] = {}
+        alike: dict[tuple[bytes, int], list[dict]] = {}
         for r in rows:
-            alike.setdefault((r["bytes"], r["count"], r["dealt"]), []).append(r)
+            alike.setdefault((r["bytes"], r["count"]), []).append(r)
         distinct = list(alike)
-        begin = np.concatenate(([0], np.cumsum([len(b) for b, _, _ in distinct])))
-        data = np.frombuffer(b"".join(b for b, _, _ in distinct), np.uint8)
-        times = np.array([len(alike[d]) for d in distinct])
-        p, seg, total = repeated_windows(data, begin, np.zeros(len(distinct), np.int64), np.array([c for _, c, _ in distinct]), times, span)
-        cid, start, end, mark, n = [], [], [], [], []
+        begin = np.concatenate(([0], np.cumsum([len(b) for b, _ in distinct])))
+        data = np.frombuffer(b"".join(b for b, _ in distinct), np.uint8)
+        times = np.array([sum(r["times"] for r in alike[d]) for d in distinct])
+        p, seg, total = repeated_windows(data, begin, np.zeros(len(distinct), np.int64), np.array([c for _, c in distinct]), times, span)
+        out: tuple[list, ...] = ([], [], [], [])
         bounds = np.searchsorted(seg, np.arange(len(distinct) + 1))
         for k, d in enumerate(distinct):
             own = slice(bounds[k], bounds[k + 1])
             twice = p[own][total[own] > 1] - begin[k]
             for lo, hi in covered(twice, span):
                 for r in alike[d]:
-                    cid.append(r["cid"]), start.append(r["lo"] + lo), end.append(r["lo"] + hi), mark.append(None), n.append(None)
-        dealt = np.array([d[2] for d in distinct])
-        if dealt.any():
-            some = np.flatnonzero(dealt[seg])
-            one, two = Rolling(data), Rolling(data, SECOND)
-            h = np.stack([one(p[some], p[some] + span), two(p[some], p[some] + span)], 1)
-            _, at = np.unique(h, axis=0, return_index=True)  # of a class that repeats here one row is enough
-            for i in at.tolist():
-                w = some[i]
-                alone = total[w] == 1
-                r = alike[distinct[seg[w]]][0]
-                first = r["lo"] + int(p[w] - begin[seg[w]])
-                cid.append(r["cid"] if alone else None), start.append(first if alone else None), end.append(first + span if alone else None)
-                mark.append(h[i].tobytes()), n.append(min(int(total[w]), 2))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cid, pa.binary()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(mark, pa.binary()),
-             pa.array(n, pa.int64())], names=["cid", "start", "end", "mark", "n"])
+                    at = 0 if r["piece"] is not None else r["lo"]
+                    for c, v in zip(out, (r["cid"], r["piece"], at + lo, at + hi), strict=True):
+                        c.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()),
+                                           pa.array(out[3], pa.int64())], names=["cid", "piece", "start", "end"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         size = 0
         for batch in batches:
             for r in batch.to_pylist():
-                if held and size > 2_000_000 and r["unit"] != held[-1]["unit"]:
+                if held and size > 2_000_000 and r["key"] != held[-1]["key"]:
                     yield solve(held)
                     held, size = [], 0
                 held.append(r)
@@ -237,8 +319,7 @@ def found_ranges(pieces: DataFrame, span: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    return pieces.repartition("unit").sortWithinPartitions("unit").mapInArrow(
-        work, "cid binary, start long, end long, mark binary, n long")
+    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(work, "cid binary, piece binary, start long, end long")
 
 
 def remaining(texts: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -281,36 +362,46 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.xxhash64("cid", "lo")
     segs = keyed_segments(texts, span, gram)
     keys = segs.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("twice").alias("twice"), F.count("*").alias("n")).where("a <> b or twice")
-    shared = segs.join(keys.select("key", F.ceil(F.col("n") / max_segments).cast("int").alias("cut")), "key")
-    lists = shared.groupBy("cid").agg(F.collect_set(F.struct("lo", "hi", "key", "cut")).alias("segs"))
+    shared = segs.join(keys.select("key", (F.col("n") > max_segments).alias("hot")), "key")
+    lists = shared.groupBy("cid").agg(F.collect_set(F.struct("lo", "hi", F.col("key").alias("first_key"), "twice", "hot")).alias("segs"))
     # of several tasks' copies one text stays
     joined = once_per_task(texts).join(lists, "cid").dropDuplicates(["cid"])
     joined = checkpointed(joined)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("unit", "dealt", "cid", "lo", "count", "bytes")}
+            out: dict[str, list] = {k: [] for k in kind.names}
             for c, text_, segs_ in zip(batch.column("cid").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
                                        batch.column("segs").to_pylist(), strict=True):
                 for s in segs_:
                     piece = text_[s["lo"] : s["hi"] - 1 + span]
-                    part = int.from_bytes(hashlib.blake2b(c + s["lo"].to_bytes(4, "little"), digest_size=4).digest(), "little") % s["cut"]
-                    for k, v in zip(out, (f"{s['key']}:{part}", s["cut"] > 1, c, s["lo"], s["hi"] - s["lo"], piece), strict=True):
+                    for k, v in zip(out, (s["key"], s["piece"], s["times"], c, s["lo"], s["hi"] - s["lo"], piece), strict=True):
                         out[k].append(v)
                     if len(out["cid"]) >= 2000:
                         yield pa.RecordBatch.from_pydict(out, schema=kind)
                         out = {k: [] for k in out}
             yield pa.RecordBatch.from_pydict(out, schema=kind)
 
-    kind = pa.schema([("unit", pa.string()), ("dealt", pa.bool_()), ("cid", pa.binary()), ("lo", pa.int32()), ("count", pa.int32()),
-                      ("bytes", pa.binary())])
-    pieces = joined.mapInArrow(cut, "unit string, dealt boolean, cid binary, lo int, count int, bytes binary")
+    kind = pa.schema([("key", pa.int64()), ("piece", pa.binary()), ("times", pa.int64()), ("cid", pa.binary()), ("lo", pa.int32()),
+                      ("count", pa.int32()), ("bytes", pa.binary())])
+    cuts = "key long, piece binary, times long, cid binary, lo int, count int, bytes binary"
+    plain = F.transform(F.filter("segs", lambda s: ~s.hot), lambda s: F.struct(
+        s.lo.alias("lo"), s.hi.alias("hi"), s.first_key.alias("key"), F.lit(1).cast("long").alias("times"),
+        F.lit(None).cast("binary").alias("piece")))
+    pieces = joined.select("cid", "text", plain.alias("segs")).mapInArrow(cut, cuts)
+    large = joined.select("cid", "text", F.filter("segs", lambda s: s.hot).alias("segs")).where(F.size("segs") > 0)
+    kinds, places, sure = ([], [], []) if large.isEmpty() else dealt_by_content(joined, large, span, gram, max_segments)
+    for k in kinds:
+        stand_ins = k.groupBy("cid").agg(F.collect_list(F.struct("lo", "hi", "key", "times", "piece")).alias("segs"))
+        pieces = pieces.unionByName(joined.select("cid", "text").join(stand_ins, "cid").mapInArrow(cut, cuts))
     found = checkpointed(found_ranges(pieces, span))
-    whole = found.where("mark is null").select("cid", "start", "end")
-    # a mark has at most one row of each task that its key was dealt to
-    over = found.where("mark is not null").groupBy("mark").agg(
-        F.sum("n").alias("n"), F.collect_list(F.when(F.col("cid").isNotNull(), F.struct("cid", "start", "end"))).alias("at")).where("n > 1")
-    ranges = whole.unionByName(over.select(F.explode("at").alias("r")).select("r.*"))
+    ranges = found.where("piece is null").select("cid", "start", "end")
+    for p in places:
+        of_piece = found.where("piece is not null").select("piece", "start", "end")
+        ranges = ranges.unionByName(p.join(of_piece, "piece").select(
+            "cid", (F.col("lo") + F.col("start")).alias("start"), (F.col("lo") + F.col("end")).alias("end")))
+    for r in sure:
+        ranges = ranges.unionByName(r)
     solved = remaining(joined.select("cid", "text"), ranges)
     copies = rows.where(F.col("n_bytes") >= span).groupBy("sha").agg(F.count("*").alias("copies")).where("copies > 1")
     marked = rows.join(copies, "sha", "left").withColumn("cid", F.unhex(F.substring("sha", 1, 32)))

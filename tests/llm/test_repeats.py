@@ -50,7 +50,7 @@ def rows(df):
     return sorted((r.id if r.id is not None else -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize("span,gram,max_segments", [(12, 4, 4096), (12, 12, 3), (40, 16, 2), (40, 13, 4096)])
+@pytest.mark.parametrize("span,gram,max_segments", [(12, 4, 4096), (12, 12, 3), (40, 16, 2), (40, 16, 8), (40, 13, 4096)])
 def test_equals_brute_force_on_small_texts(spark, span, gram, max_segments):
     rng = random.Random(span + gram)
     word = lambda: "".join(rng.choices("abé", k=rng.randint(1, 6)))
@@ -71,7 +71,7 @@ def test_equals_brute_force_on_small_texts(spark, span, gram, max_segments):
     assert got == sorted((i if i < len(texts) else -1, *w) for i, w in enumerate(want))
 
 
-@pytest.mark.parametrize("max_segments", [2, 4096])
+@pytest.mark.parametrize("max_segments", [2, 512, 4096])
 def test_equals_hashing_on_documents(spark, sf_small, max_segments):
     docs = table(spark, sf_small, "documents")
     data = docs.collect()
