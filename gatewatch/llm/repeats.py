@@ -219,64 +219,90 @@ def grown(data: np.ndarray, count: int, key: int, level: int, span: int, gram: i
     return edge, end, new_key[edge], twice
 
 
-def members(rows: DataFrame, level: int, span: int, gram: int) -> DataFrame:
-    """(cid, lo, hi, key, first_key, twice, piece): the segments of (cid, text,
-    segs) cut at keys of ``level``; piece tells segments with other bytes or another
-    key apart."""
+PIECES = pa.schema([("cid", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("key", pa.int64()), ("first_key", pa.int64()),
+                    ("twice", pa.bool_()), ("piece", pa.binary()), ("bytes", pa.binary())])
+PIECES_DDL = "cid binary, lo int, hi int, key long, first_key long, twice boolean, piece binary, bytes binary"
+
+
+def piece_of(key: int, data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16, key=key.to_bytes(8, "little", signed=True)).digest()
+
+
+def whole_pieces(rows: DataFrame, span: int) -> DataFrame:
+    """The segments of (cid, text, segs) as pieces: piece tells those with other
+    bytes or another key apart."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {k: [] for k in PIECES.names}
         for batch in batches:
-            out: dict[str, list] = {f.name: [] for f in kind}
             for cid, text, segs in zip(batch.column("cid").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
                                        batch.column("segs").to_pylist(), strict=True):
                 for s in segs:
-                    lo, first_key = s["lo"], s["first_key"]
-                    runs = [(0, s["hi"] - lo, first_key, s["twice"])]
-                    if level:
-                        data = np.frombuffer(text, np.uint8)[lo : s["hi"] - 1 + span]
-                        runs = zip(*(x.tolist() for x in grown(data, s["hi"] - lo, first_key % (1 << 64), level, span, gram)), strict=True)
-                    for a, b, key, twice in runs:
-                        key = key - (1 << 64) if key >= 1 << 63 else key
-                        piece = hashlib.blake2b(text[lo + a : lo + b - 1 + span], digest_size=16, key=key.to_bytes(8, "little", signed=True))
-                        for c, v in zip(out.values(), (cid, lo + a, lo + b, key, first_key, twice, piece.digest()), strict=True):
-                            c.append(v)
+                    data = text[s["lo"] : s["hi"] - 1 + span]
+                    key = s["first_key"]
+                    for c, v in zip(out.values(), (cid, s["lo"], s["hi"], key, key, s["twice"], piece_of(key, data), data), strict=True):
+                        c.append(v)
                     if len(out["cid"]) >= 4000:
-                        yield pa.RecordBatch.from_pydict(out, schema=kind)
+                        yield pa.RecordBatch.from_pydict(out, schema=PIECES)
                         out = {k: [] for k in out}
-            yield pa.RecordBatch.from_pydict(out, schema=kind)
+        yield pa.RecordBatch.from_pydict(out, schema=PIECES)
+
+    return rows.mapInArrow(work, PIECES_DDL)
 
-    kind = pa.schema([("cid", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("key", pa.int64()), ("first_key", pa.int64()),
-                      ("twice", pa.bool_()), ("piece", pa.binary())])
-    return rows.mapInArrow(work, "cid binary, lo int, hi int, key long, first_key long, twice boolean, piece binary")
 
+def cut_pieces(pieces: DataFrame, level: int, span: int, gram: int) -> DataFrame:
+    """Pieces cut at keys of ``level``."""
 
-def dealt_by_content(joined: DataFrame, hot: DataFrame, span: int, gram: int, max_segments: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {k: [] for k in PIECES.names}
+        for batch in batches:
+            for cid, lo, hi, first_key, data in zip(*(batch.column(c).to_pylist() for c in ("cid", "lo", "hi", "first_key", "bytes")), strict=True):
+                found = grown(np.frombuffer(data, np.uint8), hi - lo, first_key % (1 << 64), level, span, gram)
+                for a, b, key, twice in zip(*(x.tolist() for x in found), strict=True):
+                    key = key - (1 << 64) if key >= 1 << 63 else key
+                    part = data[a : b - 1 + span]
+                    for c, v in zip(out.values(), (cid, lo + a, lo + b, key, first_key, twice, piece_of(key, part), part), strict=True):
+                        c.append(v)
+                if len(out["cid"]) >= 4000:
+                    yield pa.RecordBatch.from_pydict(out, schema=PIECES)
+                    out = {k: [] for k in out}
+        yield pa.RecordBatch.from_pydict(out, schema=PIECES)
+
+    return pieces.mapInArrow(work, PIECES_DDL)
+
+
+def dealt_by_content(hot: DataFrame, span: int, gram: int, max_segments: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
     """The large keys' segments, level by level.
 
-    Returns parts of three tables: (cid, lo, hi, key, times, piece), one segment of
-    every kind with its number of places, for keys that are small enough now; (piece,
-    cid, lo), all places of these; and (cid, start, end), ranges that repeat for
-    sure, of keys that have become whole windows."""
+    Returns parts of three tables: (key, piece, times, cid, lo, count, bytes), one
+    segment of every kind with its number of places, for keys that are small enough
+    now; (piece, cid, lo), all places of these; and (cid, start, end), ranges that
+    repeat for sure, of keys that have become whole windows. Texts do not move:
+    from the first cut on the pieces of keys that are still too large carry their
+    bytes."""
     kinds, places, sure = [], [], []
+    each = whole_pieces(hot, span)
     for level in range(levels(span, gram) + 1):
-        each = checkpointed(members(hot, level, span, gram))
+        if level:
+            each = checkpointed(cut_pieces(left, level, span, gram))
+        last = level == levels(span, gram)
         alike = each.groupBy("key", "piece").agg(
-            F.count("*").alias("times"), F.min(F.struct("cid", "lo", "hi")).alias("one"), F.max("twice").alias("twice"))
+            F.count("*").alias("times"), F.min(F.struct("cid", "lo", "hi")).alias("one"), F.max("twice").alias("twice"),
+            F.first("bytes").alias("bytes"))
         keys = alike.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("times").alias("n"), F.max("twice").alias("twice"))
         keys = checkpointed(keys.where("n > 1 or twice"))
-        if level == levels(span, gram):
+        if last:
             sure.append(each.join(keys.select("key"), "key", "left_semi").select(
                 "cid", F.col("lo").cast("long").alias("start"), (F.col("hi") - 1 + span).cast("long").alias("end")))
             break
         small = keys.where(F.col("kinds") <= max_segments).select("key")
-        kinds.append(alike.join(small, "key", "left_semi").select("one.cid", "one.lo", "one.hi", "key", "times", "piece"))
+        kinds.append(alike.join(small, "key", "left_semi").select(
+            "key", "piece", "times", "one.cid", "one.lo", (F.col("one.hi") - F.col("one.lo")).alias("count"), "bytes"))
         places.append(each.join(small, "key", "left_semi").select("piece", "cid", "lo"))
         large = keys.where(F.col("kinds") > max_segments).select("key")
-        left = each.join(large, "key", "left_semi")
-        if left.isEmpty():
+        if large.isEmpty():
             break
-        lists = left.groupBy("cid").agg(F.collect_set(F.struct("lo", "hi", "first_key", "twice")).alias("segs"))
-        hot = joined.select("cid", "text").join(lists, "cid")
+        left = each.join(large, "key", "left_semi")
     return kinds, places, sure
 
 
@@ -346,7 +372,7 @@ def remaining(texts: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, gram: int = 128,
-                   max_segments: int = 4096) -> DataFrame:
+                   max_segments: int = 512) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept, kept_sha256): one row per row.
 
     kept is null where nothing is removed. Null and empty texts, and texts under
@@ -390,10 +416,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.lit(None).cast("binary").alias("piece")))
     pieces = joined.select("cid", "text", plain.alias("segs")).mapInArrow(cut, cuts)
     large = joined.select("cid", "text", F.filter("segs", lambda s: s.hot).alias("segs")).where(F.size("segs") > 0)
-    kinds, places, sure = ([], [], []) if large.isEmpty() else dealt_by_content(joined, large, span, gram, max_segments)
+    kinds, places, sure = ([], [], []) if large.isEmpty() else dealt_by_content(large, span, gram, max_segments)
     for k in kinds:
-        stand_ins = k.groupBy("cid").agg(F.collect_list(F.struct("lo", "hi", "key", "times", "piece")).alias("segs"))
-        pieces = pieces.unionByName(joined.select("cid", "text").join(stand_ins, "cid").mapInArrow(cut, cuts))
+        pieces = pieces.unionByName(k)
     found = checkpointed(found_ranges(pieces, span))
     ranges = found.where("piece is null").select("cid", "start", "end")
     for p in places:
