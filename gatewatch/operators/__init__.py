@@ -9,7 +9,7 @@ from gatewatch.operators.aggregates import (
 )
 from gatewatch.operators.dedup import latest_by_key
 from gatewatch.operators.joins import interval_join, with_evidence, without_evidence
-from gatewatch.operators.scan import asof_join, neighbors, running_extremes, time_bucket
+from gatewatch.operators.scan import asof_join, neighbors, offsets, running_extremes, time_bucket
 from gatewatch.operators.scoring import timeline, top_k, union_all, weighted_score
 from gatewatch.operators.sequence import geo_velocity, match_sequence
 
@@ -24,6 +24,7 @@ __all__ = [
     "match_sequence",
     "neighbors",
     "rolling_baseline",
+    "offsets",
     "running_extremes",
     "session_diversity",
     "time_bucket",

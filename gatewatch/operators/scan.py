@@ -9,12 +9,15 @@ one task. The scans here work in two levels instead:
    answers everything that does not cross a chunk border; chunks hash to
    different tasks, so a hot key is spread over as many tasks as it has
    active buckets;
-2. a per-chunk partial aggregate (one row per chunk, computed map-side
-   before the shuffle) is scanned per key to give each chunk the value
-   carried in from its neighbours, and joined back on `(key, bucket)`.
-
-Both levels are ordinary DataFrame operations; the second level touches one
-row per non-empty chunk only.
+2. what crosses a border is carried by a few rows per chunk, which are scanned
+   per key: its outermost rows (`offsets`), or its one-row summary, joined back
+   on `(key, bucket)` (`asof_join`, `running_extremes`).
+
+Both levels are ordinary DataFrame operations that start from one exchange of
+the input by `(key, bucket)`. Spark reuses an exchange only where both levels ask
+it for the same columns; the levels are written so that they do (`_summary`).
+Select the columns you need before a scan and not after it: a column dropped
+later may be pruned from one level only, which costs a second exchange.
 """
 
 from __future__ import annotations
@@ -91,38 +94,38 @@ def asof_join(
     both = l.unionByName(r, allowMissingColumns=True).withColumn(
         "_b", F.coalesce(bucket_of(F.col("_k")), F.lit(_NO_BUCKET)))
 
+    # a struct is never null, even of nulls: the join below adds no null filter to
+    # one of the levels, which would set their exchanges apart
+    both = both.withColumn("_by", F.struct(*by)).repartition("_by", "_b")
+
     # level 1: running extreme inside each (key, bucket) chunk; at equal keys
     # right rows come first when inclusive, after the left row when strict
     key_order = F.col("_k").asc_nulls_first() if backward else F.col("_k").desc_nulls_last()
     side_order = F.col("_side").asc() if inclusive else F.col("_side").desc()
     local_w = (
-        Window.partitionBy(*by, "_b")
+        Window.partitionBy("_by", "_b")
         .orderBy(key_order, side_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = both.withColumn("_local", extreme("_v").over(local_w))
 
     # level 2: one row per chunk (left-only chunks included, so they receive a
-    # carry). The aggregate runs on the raw rows with a map-side partial step:
-    # each task ships at most one row per chunk it saw, and a hot key's rows
-    # never travel twice. The per-key scan then runs over chunk rows only.
+    # carry), scanned per key
     chunk_order = F.col("_b").asc_nulls_first() if backward else F.col("_b").desc_nulls_last()
-    chunks = both.groupBy(*by, "_b").agg(
-        extreme("_v").alias("_cv"), F.sum(F.lit(1) - F.col("_side")).alias("_cn")
-    )
+    chunks = _summary(both, ["_by", "_b"], {"_cv": extreme("_v"), "_cn": F.sum(F.lit(1) - F.col("_side"))})
     carried = chunks.select(
-        *by,
+        "_by",
         "_b",
         extreme("_cv")
         .over(
-            Window.partitionBy(*by)
+            Window.partitionBy("_by")
             .orderBy(chunk_order)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         .alias("_carry"),
-        F.sum("_cn").over(Window.partitionBy(*by)).alias("_gcount"),
+        F.sum("_cn").over(Window.partitionBy("_by")).alias("_gcount"),
     )
-    joined = local.filter(F.col("_side") == 1).join(carried, on=[*by, "_b"], how="left")
+    joined = local.filter(F.col("_side") == 1).join(carried, on=["_by", "_b"], how="left")
     result = F.when(F.col("_k").isNotNull(), pick(F.col("_local"), F.col("_carry")))
     outs = {out: result}
     if group_count:
@@ -130,62 +133,65 @@ def asof_join(
     return joined.withColumns(outs).select(*left.columns, *outs.keys())
 
 
-def neighbors(
+def _summary(chunked: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
+    """One row per chunk of rows that are partitioned by `keys`, without another
+    exchange. `_all` makes the summary ask for every column, like the level that
+    returns the rows, so that both read the same exchange; it is never null and
+    changes no value."""
+    found = chunked.groupBy(*keys).agg(*[e.alias(n) for n, e in aggregates.items()], F.max(F.hash(*chunked.columns)).alias("_all"))
+    return found.select(*keys, *[F.when(F.col("_all").isNotNull(), F.col(n)).alias(n) for n in aggregates])
+
+
+def offsets(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     value: Column,
     *,
     bucket: Column,
-    prev: str | None = "prev",
-    next: str | None = "next",
+    before: Sequence[str] = (),
+    after: Sequence[str] = (),
 ) -> DataFrame:
-    """Skew-safe `lag(value, 1)` / `lead(value, 1)` over `keys` ordered by
-    `order` (a total order; add an id as the last column).
+    """Skew-safe `lag(value, 1), lag(value, 2), ...` (named by `before`) and
+    `lead(value, 1), ...` (`after`) over `keys` ordered by `order` (a total order;
+    add an id as the last column).
 
     `bucket` must be a monotone function of the first order column (e.g.
-    `time_bucket(ts)`). Adds struct-or-scalar columns `prev` and `next`
-    equal to what the plain window would give. Offsets above one are
-    obtained by applying the operator again to a value that already holds
-    the previous result (see `match_sequence`).
-    """
+    `time_bucket(ts)`). Most rows have all their neighbours in their chunk. Those
+    among the first or last rows of a chunk, as many as the largest offset, go on
+    to a window per key over such rows only, where rows next to a border are next
+    to each other."""
+    most = max(len(before), len(after))
     ord_cols = [o.alias(f"_o{i}") for i, o in enumerate(order)]
     base = df.withColumns({"_b": bucket, "_val": value}).withColumn("_ord", F.struct(*ord_cols))
-    w = Window.partitionBy(*keys, "_b").orderBy("_ord")
+    chunk = Window.partitionBy(*keys, "_b")
+    w = chunk.orderBy("_ord")
     local = base.withColumns(
-        {
-            "_is_first": F.lag(F.lit(1)).over(w).isNull(),
-            "_is_last": F.lead(F.lit(1)).over(w).isNull(),
-            "_lag": F.lag("_val").over(w),
-            "_lead": F.lead("_val").over(w),
-        }
-    )
-    # first and last row of every chunk: a partial aggregate on the map side,
-    # so only one or two rows per chunk and task are shuffled
-    edge = F.struct("_ord", "_val")
-    chunks = base.groupBy(*keys, "_b").agg(F.min(edge).alias("_head"), F.max(edge).alias("_tail"))
-    cw = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
-    chunk_ctx = chunks.select(
-        *keys,
-        "_b",
-        F.lag("_tail").over(cw).getField("_val").alias("_prev_tail"),
-        F.lead("_head").over(cw).getField("_val").alias("_next_head"),
-    )
-    # null-keyed rows form their own chunks, as in the plain window: null-safe join
-    ctx = chunk_ctx.select(
-        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_b"]], "_prev_tail", "_next_head"
+        {"_left": F.row_number().over(w) - 1, "_size": F.count(F.lit(1)).over(chunk)}
+        | {n: F.lag("_val", k).over(w) for k, n in enumerate(before, 1)}
+        | {n: F.lead("_val", k).over(w) for k, n in enumerate(after, 1)}
+    ).withColumn("_right", F.col("_size") - 1 - F.col("_left"))
+    outer = (F.col("_left") < most) | (F.col("_right") < most)
+    cw = Window.partitionBy(*keys).orderBy("_ord")
+    border = local.filter(outer).withColumns(
+        {n: F.when(F.col("_left") >= k, F.col(n)).otherwise(F.lag("_val", k).over(cw)) for k, n in enumerate(before, 1)}
+        | {n: F.when(F.col("_right") >= k, F.col(n)).otherwise(F.lead("_val", k).over(cw)) for k, n in enumerate(after, 1)}
     )
-    on = None
-    for c in [*keys, "_b"]:
-        term = F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-        on = term if on is None else on & term
-    joined = local.join(ctx, on=on, how="left")
-    cols = {}
-    if prev:
-        cols[prev] = F.when(F.col("_is_first"), F.col("_prev_tail")).otherwise(F.col("_lag"))
-    if next:
-        cols[next] = F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_lead"))
-    return joined.withColumns(cols).select(*df.columns, *cols.keys())
+    return local.filter(~outer).unionByName(border).select(*df.columns, *before, *after)
+
+
+def neighbors(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    value: Column,
+    *,
+    bucket: Column,
+    prev: str | None = "prev",
+    next: str | None = "next",
+) -> DataFrame:
+    """`offsets` by one row: columns `prev` and `next`."""
+    return offsets(df, keys, order, value, bucket=bucket, before=[prev] if prev else [], after=[next] if next else [])
 
 
 def running_extremes(
@@ -206,25 +212,23 @@ def running_extremes(
     order column."""
     ord_cols = [o.alias(f"_o{i}") for i, o in enumerate(order)]
     base = df.withColumns({"_b": bucket, "_v": value}).withColumn("_ord", F.struct(*ord_cols))
-    w = Window.partitionBy(*keys, "_b").orderBy("_ord")
+    # see asof_join; rows of null keys or times are one group or chunk
+    base = base.withColumns({"_by": F.struct(*keys), "_b": F.coalesce("_b", F.lit(_NO_BUCKET))}).repartition("_by", "_b")
+    w = Window.partitionBy("_by", "_b").orderBy("_ord")
     cols = {}
     if before:
         cols["_lb"] = F.max("_v").over(w.rowsBetween(Window.unboundedPreceding, -1))
     if after:
         cols["_la"] = F.min("_v").over(w.rowsBetween(1, Window.unboundedFollowing))
     local = base.withColumns(cols)
-    chunks = base.groupBy(*keys, "_b").agg(F.max("_v").alias("_cmax"), F.min("_v").alias("_cmin"))
-    cw = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first())
-    ctx = chunks.select(
-        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_b"]],
+    chunks = _summary(base, ["_by", "_b"], {"_cmax": F.max("_v"), "_cmin": F.min("_v")})
+    cw = Window.partitionBy("_by").orderBy("_b")
+    carried = chunks.select(
+        "_by", "_b",
         F.max("_cmax").over(cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_cb"),
         F.min("_cmin").over(cw.rowsBetween(1, Window.unboundedFollowing)).alias("_ca"),
     )
-    on = None
-    for c in [*keys, "_b"]:
-        term = F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-        on = term if on is None else on & term
-    joined = local.join(ctx, on=on, how="left")
+    joined = local.join(carried, on=["_by", "_b"], how="left")
     outs = {}
     if before:
         outs[before] = F.greatest("_lb", "_cb")

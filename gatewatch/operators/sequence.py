@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import epoch_seconds, haversine_km
-from gatewatch.operators.scan import DEFAULT_BUCKET_SECONDS, neighbors, time_bucket
+from gatewatch.operators.scan import DEFAULT_BUCKET_SECONDS, neighbors, offsets, time_bucket
 
 
 def match_sequence(
@@ -27,31 +27,16 @@ def match_sequence(
     values equal to `pattern`, per `keys` ordered by (`ts`, `tiebreak`).
 
     Adds `{prefix}_{i}` for every pattern position (`{prefix}_{anchor}` is the
-    row's own value). Works for any pattern length: offset k is obtained by
-    k passes of the one-step neighbour scan.
+    row's own value). Works for any pattern length, in one scan.
     """
     n = len(pattern)
     a = n // 2 if anchor is None else anchor
     if not 0 <= a < n:
         raise ValueError("anchor outside the pattern")
-    order = [F.col(ts), F.col(tiebreak)]
-    bucket = time_bucket(F.col(ts), bucket_seconds)
-    back, ahead = a, n - 1 - a
-    out = df.withColumn(f"{prefix}_{a}", F.col(value))
-    p_prev, p_next = f"{prefix}_{a}", f"{prefix}_{a}"
-    for step in range(1, max(back, ahead) + 1):
-        val = F.struct(F.col(p_prev).alias("p"), F.col(p_next).alias("n"))
-        nb = neighbors(out, keys, order, val, bucket=bucket, prev="_pv", next="_nx")
-        cols = {}
-        if step <= back:
-            cols[f"{prefix}_{a - step}"] = F.col("_pv").getField("p")
-        if step <= ahead:
-            cols[f"{prefix}_{a + step}"] = F.col("_nx").getField("n")
-        out = nb.withColumns(cols).drop("_pv", "_nx")
-        if step <= back:
-            p_prev = f"{prefix}_{a - step}"
-        if step <= ahead:
-            p_next = f"{prefix}_{a + step}"
+    out = offsets(
+        df.withColumn(f"{prefix}_{a}", F.col(value)), keys, [F.col(ts), F.col(tiebreak)], F.col(value),
+        bucket=time_bucket(F.col(ts), bucket_seconds),
+        before=[f"{prefix}_{i}" for i in range(a - 1, -1, -1)], after=[f"{prefix}_{i}" for i in range(a + 1, n)])
     cond = F.lit(True)
     for i, expected in enumerate(pattern):
         cond = cond & F.coalesce(F.col(f"{prefix}_{i}") == F.lit(expected), F.lit(False))

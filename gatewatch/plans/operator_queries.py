@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewatch.constants import COUNTRY_CENTROIDS, RISK_LEVEL_DEFAULT, RISK_LEVELS
@@ -25,11 +25,11 @@ from gatewatch.operators.aggregates import (
 from gatewatch.operators.dedup import latest_by_key
 from gatewatch.operators.joins import interval_join, without_evidence
 from gatewatch.operators.scan import asof_join, time_bucket
-from gatewatch.operators.scoring import union_all, weighted_score
+from gatewatch.operators.scoring import weighted_score
 from gatewatch.operators.sequence import geo_velocity, match_sequence
 from gatewatch.plans.queries import comparable
 from gatewatch.sources.contracts import SOURCE_REQUIRED_COLUMNS, SOURCE_SCHEMAS
-from gatewatch.sources.envelope import decode_envelopes, encode_records
+from gatewatch.sources.envelope import body_text, decode_envelopes, encode_records, parse_envelopes
 from gatewatch.sources.fixtures import fixture_sources
 from gatewatch.sources.loader import align, dedup_source
 
@@ -209,15 +209,14 @@ def envelope_counts_by_source(spark, sf_dir):
     """All six sources as envelopes and back: rows and blanks per source, and
     no rejects."""
     frames = {s: _as_text(df) for s, df in fixture_sources(spark, sf_dir, links=False).items()}
-    decoded, rejects = decode_envelopes(encode_records(frames, "dev", "all"), "dev")
-
-    def count(df: DataFrame, source: str, blank: Column) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(blank).alias("n_blank")).select(
-            F.lit(source).alias("source"), "n_rows", "n_blank")
-
-    session = F.col("session_id") == ""
-    parts = [count(decoded[s], s, session if s in ("okta", "app_usage") else F.lit(False)) for s in sorted(decoded)]
-    return union_all([*parts, count(rejects, "rejects", F.lit(False))])
+    parsed = parse_envelopes(encode_records(frames, "dev", "all"), "dev")
+    label = F.when(F.col("_reason").isNotNull(), F.lit("rejects")).otherwise(F.col("source"))
+    blank = label.isin("okta", "app_usage") & (body_text("session_id") == "")
+    counts = parsed.groupBy(label.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(blank).alias("n_blank"))
+    every = spark.createDataFrame([(s,) for s in (*sorted(frames), "rejects")], "source string")
+    none = F.lit(0).cast("long")
+    return every.join(counts, "source", "left").select(
+        "source", F.coalesce("n_rows", none).alias("n_rows"), F.coalesce("n_blank", none).alias("n_blank"))
 
 
 def inactive_buyers(spark, sf_dir):

@@ -35,9 +35,10 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def detection(spark: SparkSession, sf_dir: str, table: str, params: dict | None = None) -> DataFrame:
+    linked = fixture_sources(spark, sf_dir)
     out = build_detections(
-        fixture_sources(spark, sf_dir, links=False), RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
-        params={table: params} if params else None, request_frames=fixture_sources(spark, sf_dir),
+        linked.without_links(), RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
+        params={table: params} if params else None, request_frames=linked,
     )[table]
     return comparable(out)
 

@@ -12,7 +12,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from gatewatch.functions.columns import safe_identifier
 from gatewatch.operators.scoring import union_all
@@ -20,7 +19,6 @@ from gatewatch.sources.contracts import KNOWN_SOURCES, SOURCE_REQUIRED_COLUMNS
 
 ENVELOPE_COLUMNS = ("message_id", "value", "source", "pipeline_env", "run_id")
 UNLABELLED_RUN = "unlabelled"
-_CORRUPT = "_corrupt_record"
 
 
 def encode_records(
@@ -58,11 +56,6 @@ def observed_counts() -> list[Column]:
     return [F.count_if(F.col("source") == s).alias(s) for s in sorted(KNOWN_SOURCES)]
 
 
-def _payload_schema(source: str) -> StructType:
-    cols = SOURCE_REQUIRED_COLUMNS[source]
-    return StructType([StructField(c, StringType()) for c in cols] + [StructField(_CORRUPT, StringType())])
-
-
 def rejection_reason(message_env: Column, expected_env: str) -> Column:
     """Why an envelope cannot be landed (null when it can)."""
     return F.when(~F.col("source").isin(*sorted(KNOWN_SOURCES)) | F.col("source").isNull(),
@@ -71,60 +64,66 @@ def rejection_reason(message_env: Column, expected_env: str) -> Column:
     )
 
 
-def decode_envelopes(
-    envelopes: DataFrame,
-    expected_env: str,
-    *,
-    ingested_at: Column | None = None,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Validate and decode envelopes.
-
-    Returns `(by_source, rejects)`. A missing environment counts as the
-    expected one; a missing run id becomes `unlabelled`; both are normalised
-    like identifiers. Unknown sources, environment mismatches and bodies that
-    are not a JSON object go to `rejects` with a `reason` instead of failing
-    the job (`require_clean` gives the fail-all behaviour). Decoded rows get
-    the lineage columns `_pipeline_run_id`, `_pubsub_message_id`,
-    `_ingested_at` (ISO-8601 UTC text), and `_delivery` where the envelopes
-    have it.
-    """
+def parse_envelopes(envelopes: DataFrame, expected_env: str) -> DataFrame:
+    """Envelopes with `_run` (normalised run id), `_body` (the message body, parsed
+    once, as a variant) and `_reason`, why the envelope cannot be landed (null when
+    it can): unknown source, environment mismatch, or a body that is not a JSON
+    object. A missing environment counts as the expected one; a missing run id
+    becomes `unlabelled`; both are normalised like identifiers."""
     env = safe_identifier(F.coalesce(F.col("pipeline_env"), F.lit(expected_env)))
     run = safe_identifier(F.coalesce(F.col("run_id"), F.lit(UNLABELLED_RUN)))
+    routed = envelopes.withColumns({"_env": env, "_run": run, "_route": rejection_reason(env, expected_env)})
+    # a filter on a generator's output is not pushed below it, so that no reader of
+    # these columns parses a second time
+    parsed = routed.withColumn("_body", F.explode(F.array(F.when(F.col("_route").isNull(), F.try_parse_json("value")))))
+    is_object = F.coalesce(F.schema_of_variant("_body").startswith("OBJECT"), F.lit(False))
+    reason = F.coalesce("_route", F.when(~is_object, F.lit("bad_json")))
+    return parsed.withColumn("_reason", F.explode(F.array(reason))).drop("_env", "_route")
+
+
+def body_text(column: str) -> Column:
+    """A field of the parsed body as text: strings as they are, other values as
+    JSON writes them, null where it is missing."""
+    return F.try_variant_get("_body", f"$.{column}", "string")
+
+
+def source_rows(parsed: DataFrame, source: str, *, ingested_at: Column | None = None) -> DataFrame:
+    """The landable rows of one source from `parse_envelopes`, with the lineage
+    columns `_pipeline_run_id`, `_pubsub_message_id`, `_ingested_at` (ISO-8601 UTC
+    text), and `_delivery` where the envelopes have it."""
     ingested = ingested_at if ingested_at is not None else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     )
-    base = envelopes.withColumns({"_env": env, "_run": run, "_reason": rejection_reason(env, expected_env)})
-    good = base.filter(F.col("_reason").isNull())
-
     # the order of delivery travels along where the envelopes carry it
-    delivery = [F.col("_delivery")] if "_delivery" in envelopes.columns else []
-    by_source: dict[str, DataFrame] = {}
-    bad_json: list[DataFrame] = []
-    for source in sorted(KNOWN_SOURCES):
-        schema = _payload_schema(source)
-        # parse once per row: a filter on a generator's output is not pushed
-        # below it, so the validity filters below cannot re-run from_json
-        parsed = good.filter(F.col("source") == source).withColumn(
-            "_p", F.explode(F.array(F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})))
-        )
-        ok = parsed.filter(F.col("_p").isNotNull() & F.col(f"_p.{_CORRUPT}").isNull())
-        by_source[source] = ok.select(
-            *[F.col(f"_p.{c}").alias(c) for c in SOURCE_REQUIRED_COLUMNS[source]],
-            F.col("_run").alias("_pipeline_run_id"),
-            F.col("message_id").alias("_pubsub_message_id"),
-            ingested.alias("_ingested_at"),
-            *delivery,
-        )
-        bad_json.append(
-            parsed.filter(F.col("_p").isNull() | F.col(f"_p.{_CORRUPT}").isNotNull()).select(
-                *ENVELOPE_COLUMNS, F.lit("bad_json").alias("reason")
-            )
-        )
-    rejects = union_all(
-        [base.filter(F.col("_reason").isNotNull()).select(*ENVELOPE_COLUMNS, F.col("_reason").alias("reason")),
-         *bad_json]
+    delivery = [F.col("_delivery")] if "_delivery" in parsed.columns else []
+    return parsed.filter((F.col("source") == source) & F.col("_reason").isNull()).select(
+        *[body_text(c).alias(c) for c in SOURCE_REQUIRED_COLUMNS[source]],
+        F.col("_run").alias("_pipeline_run_id"),
+        F.col("message_id").alias("_pubsub_message_id"),
+        ingested.alias("_ingested_at"),
+        *delivery,
     )
-    return by_source, rejects
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """The envelopes that cannot be landed, with their `reason`."""
+    return parsed.filter(F.col("_reason").isNotNull()).select(*ENVELOPE_COLUMNS, F.col("_reason").alias("reason"))
+
+
+def decode_envelopes(
+    envelopes: DataFrame,
+    expected_env: str,
+    *,
+    ingested_at: Column | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Validate and decode envelopes: `(by_source, rejects)`.
+
+    Rejects have a `reason` instead of failing the job (`require_clean` gives the
+    fail-all behaviour). Every frame comes from one parsed frame; to read several
+    of them, parse with `parse_envelopes`, persist that and take `source_rows` and
+    `rejected` from it."""
+    parsed = parse_envelopes(envelopes, expected_env)
+    return {s: source_rows(parsed, s, ingested_at=ingested_at) for s in sorted(KNOWN_SOURCES)}, rejected(parsed)
 
 
 def require_clean(rejects: DataFrame) -> None:

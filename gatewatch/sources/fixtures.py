@@ -10,6 +10,8 @@ each user's full history. The derived sources grow with `events`,
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("events", "customer", "labels")
@@ -156,28 +158,51 @@ def _rename(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
 
 
-def load_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
+class FixtureFrames(Mapping):
+    """Canonical source frames by name, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *, links: bool = True, base: dict[str, DataFrame] | None = None) -> None:
+        self.spark, self.links = spark, links
+        self.root = sf_dir.rstrip("/")
+        self.base: dict[str, DataFrame] = {} if base is None else base
+        self.views: dict[str, DataFrame] = {}
+        self.names = {source: view for view, (_, source) in VIEWS.items() if source is not None}
+
+    def _view(self, name: str) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        if name in BASE_TABLES:
+            if name not in self.base:
+                self.base[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            return self.base[name]
+        if name not in self.views:
+            sql, _ = VIEWS[name]
+            if name != "linked":
+                self.views[name] = self.spark.sql(sql, **{k: self._view(k) for k in (*BASE_TABLES, *VIEWS) if "{" + k + "}" in sql})
+            elif self.links:
+                self.views[name] = linked_events(self._view("events"))
+            else:
+                none = F.lit(None).cast("long")
+                self.views[name] = self._view("events").withColumns({"k": F.expr(_K), "prv": none, "nxt": none})
+        return self.views[name]
+
+    def without_links(self) -> FixtureFrames:
+        return FixtureFrames(self.spark, self.root, links=False, base=self.base)
 
+    def __getitem__(self, source: str) -> DataFrame:
+        return _rename(self._view(self.names[source]))
 
-def fixture_sources(spark: SparkSession, sf_dir: str, *, links: bool = True) -> dict[str, DataFrame]:
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str, *, links: bool = True) -> FixtureFrames:
     """Canonical source frames (engine column names) derived from `sf_dir`.
 
     `links=False` leaves every request id of directory and app rows null and
     with it the scan over each user's requests, for queries that do not read
     them."""
-    from pyspark.sql import functions as F
-
-    frames: dict[str, DataFrame] = dict(load_base_tables(spark, sf_dir))
-    out: dict[str, DataFrame] = {}
-    for name, (sql, source) in VIEWS.items():
-        if name == "linked":
-            none = F.lit(None).cast("long")
-            frames[name] = linked_events(frames["events"]) if links else frames["events"].withColumns(
-                {"k": F.expr(_K), "prv": none, "nxt": none})
-            continue
-        needed = {k: frames[k] for k in frames if "{" + k + "}" in sql}
-        frames[name] = spark.sql(sql, **needed)
-        if source is not None:
-            out[source] = _rename(frames[name])
-    return out
+    return FixtureFrames(spark, sf_dir, links=links)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gatewatch.operators.dedup import latest_by_key
+from gatewatch.sources.csv_records import csv_records
 from gatewatch.sources.contracts import (
     SOURCE_FILES,
     SOURCE_ID_COLUMNS,
@@ -24,7 +25,7 @@ CORRUPT = "_corrupt_record"
 
 
 # RFC 4180: a doubled quote is a quote, and a quoted field may hold line breaks
-CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
 def csv_path(data_dir: str, source: str) -> str:
@@ -33,7 +34,16 @@ def csv_path(data_dir: str, source: str) -> str:
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
+    # the first record only: Spark reads no further for the column names
+    return spark.read.options(**CSV_OPTIONS, header="true", multiLine="true", inferSchema="false").csv(path).columns
+
+
+def _parsed(spark: SparkSession, path: str, columns: list[str], **options: str) -> DataFrame:
+    """The records of a CSV file without the header, parsed; a large file is many
+    tasks."""
+    ddl = ", ".join("`" + c.replace("`", "``") + "` string" for c in columns)
+    rows = csv_records(spark, path).filter(~F.col("first"))
+    return rows.select(F.from_csv("record", ddl, {**CSV_OPTIONS, **options}).alias("r")).select("r.*")
 
 
 def read_csv_source(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -42,9 +52,7 @@ def read_csv_source(spark: SparkSession, path: str, source: str) -> DataFrame:
     Columns may come in any order, extra ones (lineage columns too) are left
     out, contract columns without a header are null, and a blank value is ''."""
     header = _header(spark, path)
-    found = spark.read.options(**CSV_OPTIONS).schema(
-        StructType([StructField(c, StringType()) for c in header])
-    ).csv(path)
+    found = _parsed(spark, path, header)
     return found.select(*[
         (F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in header else F.lit(None).cast("string")).alias(c)
         for c in SOURCE_REQUIRED_COLUMNS[source]
@@ -60,8 +68,8 @@ def check_source_files(spark: SparkSession, data_dir: str) -> DataFrame:
     * `invalid_utf8`: a line that is not valid UTF-8.
 
     Files are found and read by Spark, so any file system it reads will do. Row
-    checks are one Spark job per file (PERMISSIVE parse with a corrupt-record
-    column). An empty result means the files may be published.
+    checks parse the records of a file (`csv_records`) in PERMISSIVE mode with a
+    corrupt-record column. An empty result means the files may be published.
     """
     schema = StructType([StructField(n, StringType()) for n in ("source", "kind", "detail", "row")])
     parts: list[DataFrame] = []
@@ -79,30 +87,13 @@ def check_source_files(spark: SparkSession, data_dir: str) -> DataFrame:
         if missing:
             problems.append((source, "missing_columns", ", ".join(missing), None))
             continue
-        file_schema = StructType(
-            [StructField(c, StringType()) for c in header] + [StructField(CORRUPT, StringType())]
-        )
-        rows = (
-            spark.read.options(**CSV_OPTIONS)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("enforceSchema", False)
-            .schema(file_schema)
-            .csv(path)
-        )
+        rows = _parsed(spark, path, [*header, CORRUPT], mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
 
         def violation(df: DataFrame, kind: str, row: Column, source: str = source, path: str = path) -> DataFrame:
             return df.select(F.lit(source).alias("source"), F.lit(kind).alias("kind"), F.lit(path).alias("detail"),
                              row.alias("row"))
 
-        # Spark refuses scans that read only the corrupt-record column (which
-        # is what column pruning leaves for a count), so the predicate also
-        # reads the parsed fields; the second term is always true.
-        parsed_fields = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in header])) >= 0
-        parts.append(violation(
-            rows.filter(F.col(CORRUPT).isNotNull() & parsed_fields), "malformed_row",
-            # also reading a data column keeps the parse on the full schema
-            F.coalesce(F.col(CORRUPT), F.col(f"`{header[0]}`"))))
+        parts.append(violation(rows.filter(F.col(CORRUPT).isNotNull()), "malformed_row", F.col(CORRUPT)))
         lines = spark.read.text(path)
         parts.append(violation(lines.filter(~F.is_valid_utf8("value")), "invalid_utf8", F.make_valid_utf8("value")))
     out = spark.createDataFrame(problems, schema)

@@ -2,15 +2,16 @@
 
 Envelope files (JSON lines with `message_id, value, source, pipeline_env,
 run_id`) are read as a stream; each micro-batch is decoded, validated and
-landed (`sources.landing`), rejects go to `<landing>/_rejects`. No message is
-dropped on its age: a file counts as delivered when the stream reads it,
-whatever its modification time, and a redelivered message is the same row
-again. The source offsets are committed to the checkpoint only after the
-batch's writes succeed, so a crash replays the batch; landing and loading both
-dedup by identity and keep the last delivery, which makes replays and
-redeliveries harmless (at-least-once delivery, exactly-once effect).
-`trigger(availableNow=True)` drains what is there and stops, like a bounded
-pull.
+landed (`sources.landing`), rejects go to `<landing>/_rejects`. A run pulls at
+most `max_messages` messages (50,000) and stops, by the queue source of
+`message_source`; with `max_messages=None` it drains what is there, file by file.
+
+No message is dropped on its age: a file counts as delivered when the stream
+reads it, whatever its modification time, and a redelivered message is the same
+row again. The offsets are committed to the checkpoint only after the batch's
+writes succeed, so a crash replays the batch; landing and loading both dedup by
+identity and keep the last delivery, which makes replays and redeliveries
+harmless (at-least-once delivery, exactly-once effect).
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gatewatch.sources.envelope import ENVELOPE_COLUMNS, decode_envelopes
+from gatewatch.sources.contracts import KNOWN_SOURCES
+from gatewatch.sources.envelope import ENVELOPE_COLUMNS, parse_envelopes, rejected, source_rows
 from gatewatch.sources.landing import land
+from gatewatch.streaming.message_source import EnvelopeQueue
 
 ENVELOPE_SCHEMA = StructType([StructField(c, StringType()) for c in ENVELOPE_COLUMNS])
 
@@ -39,6 +42,16 @@ def read_envelopes(spark: SparkSession, path: str, *, max_files_per_trigger: int
     )
 
 
+def pull_envelopes(spark: SparkSession, path: str, log: str, max_messages: int = 50_000) -> DataFrame:
+    """The envelopes of a queue folder, at most `max_messages` a trigger, with
+    `_delivery`, their order of delivery: pull, file, place in the file. A line
+    that is no JSON object is an envelope of nulls."""
+    spark.dataSource.register(EnvelopeQueue)
+    lines = spark.readStream.format("envelope_queue").options(path=path, log=log, max_messages=max_messages).load()
+    return lines.select(F.from_json("line", ENVELOPE_SCHEMA).alias("e"), F.struct("pull", "file", "at").alias("_delivery")).select(
+        *[F.col(f"e.{c}").alias(c) for c in ENVELOPE_COLUMNS], "_delivery")
+
+
 def with_delivery(batch: DataFrame) -> DataFrame:
     """Envelopes of one micro-batch with `_delivery`, their order of delivery:
     file time, file, place in the file."""
@@ -57,22 +70,27 @@ def ingest_stream(
     *,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    max_messages: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingest query (call `.awaitTermination()` for a bounded run)."""
+    """Start the ingest query (call `.awaitTermination()` for a bounded run). With
+    `max_messages` a trigger, and with `available_now` the run, pulls at most so
+    many; the log of pulls is kept beside the checkpoint."""
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
-        # read once: six sources and the rejects are written from the same rows
-        delivered = with_delivery(batch).persist()
+        # read and parsed once: six sources and the rejects are written from the same rows
+        parsed = parse_envelopes(batch if max_messages else with_delivery(batch), expected_env).persist()
         try:
-            by_source, rejects = decode_envelopes(delivered, expected_env)
-            land(by_source, landing_root)
-            rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
+            land({s: source_rows(parsed, s) for s in sorted(KNOWN_SOURCES)}, landing_root)
+            rejected(parsed).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
                 f"{landing_root.rstrip('/')}/_rejects"
             )
         finally:
-            delivered.unpersist()
+            parsed.unpersist()
 
-    stream = read_envelopes(spark, envelope_path, max_files_per_trigger=max_files_per_trigger)
+    if max_messages:
+        stream = pull_envelopes(spark, envelope_path, f"{checkpoint.rstrip('/')}-pulls", max_messages)
+    else:
+        stream = read_envelopes(spark, envelope_path, max_files_per_trigger=max_files_per_trigger)
     writer = stream.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -46,3 +46,30 @@ def test_interval_join_is_bucketed(spark):
 def test_filters_reach_the_scan(spark):
     plan = _plan(spark, "mfa_drift")
     assert "DataFilters: [event_type" in plan or "PushedFilters: [In(event_type" in plan
+
+
+def _static_plan(spark, name: str) -> str:
+    """The plan without adaptive execution, where reused exchanges show."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name,scans", [
+    ("event_sequences", 1), ("login_moves", 1), ("impossible_travel_events", 1), ("high_risk_sequence", 1),
+    ("asof_latest_login", 2), ("asof_next_use", 2), ("impossible_login_anomalies", 5)])
+def test_ordered_scans_read_their_input_once(spark, name, scans):
+    """One exchange of the input by (key, bucket): the second level reuses it."""
+    plan = _static_plan(spark, name)
+    assert plan.count("FileScan") == scans
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_envelopes_are_parsed_once(spark):
+    plan = _static_plan(spark, "envelope_counts_by_source")
+    assert plan.count("parse_json") + plan.count("parseJson") <= 2  # the generator shows its input once more at most
+    assert plan.count("FileScan") <= 7  # six sources, one of which also counts the customers

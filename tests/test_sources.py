@@ -7,6 +7,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import safe_identifier
@@ -160,6 +161,59 @@ def test_csv_binds_by_header_name_and_follows_rfc_4180(spark, tmp_path):
     assert "_pubsub_message_id" not in r.asDict()
 
 
+def _as_multiline(spark, path):
+    """Spark's own reading of the file, by one task."""
+    return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8")
+
+
+def test_csv_records_equal_a_multiline_read_however_the_file_is_split(spark, tmp_path):
+    import random
+
+    from gatewatch.sources.loader import _parsed
+
+    rng = random.Random(8)
+    field = lambda: rng.choice([
+        "", "plain", "5\" pipe", "a b", "é", '"quoted"', '"say ""yes"", ok"', '"two\nlines"', '"\n\n"', '"crlf\r\nhere"', '""', '"a,b"',
+        '"' + "long line, " * 30 + '\n""end"""', '"' + "many\n" * 40 + '"'])
+    for k, end in enumerate(("\n", "\r\n")):
+        path = str(tmp_path / f"f{k}.csv")
+        rows = [",".join([str(i), field(), field(), field()]) for i in range(400)]
+        Path(path).write_bytes((end.join(["id,a,b,c", *rows]) + (end if k else "")).encode())
+        want = sorted(_as_multiline(spark, path).collect(), key=str)
+        assert len(want) == 400
+        # splits of 300 bytes: records reach over several of them
+        for size in ("134217728", "5000", "300"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            try:
+                got = _parsed(spark, path, ["id", "a", "b", "c"])
+                if size == "300":
+                    assert spark.read.text(path).rdd.getNumPartitions() > 50
+                rows_ = [r if end == "\n" else Row(**{c: v and v.replace("\r\n", "\n") for c, v in r.asDict().items()}) for r in got.collect()]
+                assert sorted(rows_, key=str) == want, (end, size)
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_records_of_odd_files(spark, tmp_path):
+    from gatewatch.sources.csv_records import csv_records, quoted_after
+
+    read = lambda text: sorted((r.first, r.record) for r in csv_records(spark, _put(tmp_path, text)).collect())
+
+    def _put(folder, text):
+        import uuid
+        path = folder / f"{uuid.uuid4().hex}.csv"
+        path.write_bytes(text.encode())
+        return str(path)
+
+    assert read("") == [] and read("a,b") == [(True, "a,b")]
+    assert read("a,b\n\n1,2\n") == [(False, "1,2"), (True, "a,b")]
+    assert read('a\n"never closed\nmore') == [(False, '"never closed\nmore'), (True, "a")]
+    assert read('"two\nline header",b\n1,2') == [(False, "1,2"), (True, '"two\nline header",b')]
+    assert not quoted_after(b'a,"b"', False) and quoted_after(b'a,"b""', False) and quoted_after(b'x"",y', True) and not quoted_after(b'x",y', True)
+
+
 def test_blank_csv_values_survive_publish_and_decode(spark, tmp_path):
     from gatewatch.sources.envelope import decode_envelopes, encode_records
     from gatewatch.sources.loader import csv_path, read_csv_source
@@ -310,3 +364,17 @@ def test_command_line_checks_publishes_and_ingests(spark, tmp_path, capsys):
     assert main(["check-csv", str(data), "--out", str(tmp_path / "bad")]) == 1
     assert said()[-1] == {"violations": 70, "shown": 50, "written_to": str(tmp_path / "bad")}
     assert spark.read.json(str(tmp_path / "bad")).count() == 70
+
+
+def test_bodies_of_all_json_kinds(spark):
+    """Only objects land; values that are not text come as JSON writes them."""
+    body = ['{"user": "a", "join_date": 5, "location": null, "department": {"x": [1]}, "job_role": true, "other": 1}', "[1]", "null", "3", '"s"',
+            "{", "", None, '{"user": "b"}']
+    env = spark.createDataFrame([(str(i), b, "hrlifecycle", "dev", "r") for i, b in enumerate(body)], "message_id string, value string, "
+                                "source string, pipeline_env string, run_id string")
+    by_source, rejects = decode_envelopes(env, "dev")
+    got = {r["user"]: r for r in by_source["hrlifecycle"].collect()}
+    assert set(got) == {"a", "b"} and got["b"]["location"] is None
+    a = got["a"]
+    assert (a["join_date"], a["location"], a["department"], a["job_role"]) == ("5", None, '{"x":[1]}', "true")
+    assert {(r["message_id"], r["reason"]) for r in rejects.collect()} == {(str(i), "bad_json") for i in range(1, 8)}

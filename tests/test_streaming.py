@@ -240,6 +240,77 @@ def test_ingest_keeps_files_with_old_times_and_the_last_delivery(spark):
     assert got == {"a": "second", "b": "late file", "c": "z"}
 
 
+def _queue(spark, rows, run):
+    """Files of a queue: messages with and without a final line break, blank lines."""
+    root = tempfile.mkdtemp(prefix="gw-queue-")
+    frame = spark.createDataFrame(rows, "user string, join_date string, location string").coalesce(1)
+    lines = encode_records({"hrlifecycle": frame}, "dev", run).toJSON().collect()
+    return root, lines
+
+
+def test_a_run_stops_at_the_message_bound_and_a_crash_replays(spark, monkeypatch):
+    from gatewatch.streaming import ingest
+
+    root, lines = _queue(spark, [(f"u{i}", "1", f"Zürich {i}") for i in range(120)], "r1")
+    Path(f"{root}/in").mkdir()
+    Path(f"{root}/in/b.json").write_text("\n".join(lines[:45]))
+    Path(f"{root}/in/c.json").write_text("\n" + "\n\n".join(lines[45:90]) + "\n")
+    landing = f"{root}/land"
+
+    def run():
+        q = ingest_stream(spark, f"{root}/in", landing, f"{root}/ckpt", "dev", max_messages=50)
+        q.awaitTermination()
+        return spark.read.option("recursiveFileLookup", True).parquet(f"{landing}/hrlifecycle")
+
+    assert run().count() == 50
+    Path(f"{root}/in/a.json").write_text("\n".join([*lines[90:], "no json"]) + "\n")  # an older name is not missed
+    real = ingest.land
+
+    def land_and_fail(by_source, to):
+        real(by_source, to)
+        raise RuntimeError("lost after landing")
+
+    monkeypatch.setattr(ingest, "land", land_and_fail)
+    with pytest.raises(Exception, match="lost after landing"):
+        run()
+    monkeypatch.setattr(ingest, "land", real)
+    # the crashed pull comes again as it was and is all that the next run takes
+    assert load_source(spark, landing, "hrlifecycle").count() == 99  # one of its 50 messages is no JSON
+    assert run().count() == 50 + 49 + 49
+    landed = run()
+    assert load_source(spark, landing, "hrlifecycle").count() == 120
+    for _ in range(2):
+        assert run().count() == landed.count()  # nothing is left
+    got = load_source(spark, landing, "hrlifecycle").collect()
+    assert {r["location"] for r in got} == {f"Zürich {i}" for i in range(120)}
+    assert spark.read.parquet(f"{landing}/_rejects").count() >= 1
+
+
+def test_queue_source_plans_and_acknowledges(tmp_path):
+    from gatewatch.streaming.message_source import QueueReader
+
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "1.json").write_bytes(b"".join(b'{"n": %d}\n' % i for i in range(7)))
+    (tmp_path / "q" / "2.json").write_bytes("é\r\n\n  \nlast".encode())
+    reader = lambda **o: QueueReader({"path": str(tmp_path / "q"), "log": str(tmp_path / "log"), "max_messages": "4", "split_messages": "3", **o})
+    assert reader().initialOffset() == {"pull": 0}
+    first = reader()
+    assert first.latestOffset() == {"pull": 1} and first.latestOffset() == {"pull": 2} and first.latestOffset() == {"pull": 3}
+    assert first.latestOffset() == {"pull": 3}
+    lines = lambda a, b: [[r[0] for r in reader().read(p)] for p in reader().partitions({"pull": a}, {"pull": b})]
+    assert lines(0, 1) == [['{"n": 0}', '{"n": 1}', '{"n": 2}'], ['{"n": 3}']]
+    assert lines(1, 2) == [['{"n": 4}', '{"n": 5}', '{"n": 6}'], ["é"]] and lines(2, 3) == [["last"]]
+    places = [r[2:] for p in reader().partitions({"pull": 0}, {"pull": 3}) for r in reader().read(p)]
+    assert places == sorted(places) and len(set(places)) == 9
+    reader(acknowledge="delete").commit({"pull": 2})
+    assert sorted(f.name for f in (tmp_path / "q").iterdir()) == ["2.json"]
+    assert lines(2, 3) == [["last"]]
+    reader(acknowledge="delete").commit({"pull": 3})
+    assert not list((tmp_path / "q").iterdir()) and reader().latestOffset() == {"pull": 3}
+    with pytest.raises(ValueError):
+        reader(max_messages="0")
+
+
 def test_streaming_baselines_equal_batch_over_many_batches(spark, staged):
     """Micro-batches share days, come out of order by days, and one is replayed."""
     root, b = staged
