@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType
 
 from gatewatch.oracle import AS_OF_DATE, RUN_ID, VARIANTS
-from gatewatch.plans.registry import TABLES, build_detections
+from gatewatch.plans.registry import SCORED, TABLES, StoredFrames, build_detections
 from gatewatch.sources.fixtures import fixture_sources
 
 
@@ -36,8 +36,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def detection(spark: SparkSession, sf_dir: str, table: str, params: dict | None = None) -> DataFrame:
     linked = fixture_sources(spark, sf_dir)
+    frames = linked.without_links()
+    if table in SCORED:  # these read the linked sources too
+        frames = linked = StoredFrames(linked)
     out = build_detections(
-        linked.without_links(), RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
+        frames, RUN_ID, tables=[table], as_of_date=AS_OF_DATE, with_detected_at=False,
         params={table: params} if params else None, request_frames=linked,
     )[table]
     return comparable(out)

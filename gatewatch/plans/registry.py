@@ -7,7 +7,7 @@ acts on one, and only the requested tables' lineage is ever planned.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from gatewatch import constants as K
 from gatewatch.functions.findings import as_findings
 from gatewatch.plans import rules as R
+from gatewatch.session import shared_folder
+from gatewatch.sources.contracts import RULE_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -139,12 +141,40 @@ SPECS: dict[str, RuleSpec] = {
 }
 
 TABLES = tuple(SPECS)
+# tables that read most rules' findings, and so every source many times
+SCORED = frozenset({"risk_scores", "cleanest_users"})
 # rules that read the request ids of directory or app events
 REQUEST_RULES = frozenset({
     "privilege_escalation_without_request", "rejected_but_executed", "shadow_access_events", "suspicious_time_warp",
 })
 
 
+class StoredFrames(Mapping):
+    """Source frames that are written when first asked for, narrowed to the columns
+    that rules read, and then read from there: a source that is costly to derive is
+    derived once, however many rules read it."""
+
+    def __init__(self, frames: Mapping[str, DataFrame]) -> None:
+        self.frames = frames
+        self.stored: dict[str, DataFrame] = {}
+        self.root: str | None = None
+
+    def __getitem__(self, source: str) -> DataFrame:
+        if source not in self.stored:
+            df = self.frames[source]
+            df = df.select(*[c for c in RULE_COLUMNS[source] if c in df.columns])
+            self.root = self.root or shared_folder(df.sparkSession)
+            df.write.parquet(f"{self.root}/{source}")
+            self.stored[source] = df.sparkSession.read.schema(df.schema).parquet(f"{self.root}/{source}")
+        return self.stored[source]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.frames)
+
+    def __len__(self) -> int:
+        return len(self.frames)
+
+
 def select_tables(requested: str | Iterable[str] | None) -> list[str]:
     """The tables to build: a comma list or an iterable of names, sorted; all
     tables, in registry order, where it names none."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder, for tables that a job writes once
+    and reads several times. On a local master without one, a temporary folder."""
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None) and (
+            spark.sparkContext.master.startswith("local")):
+        return tempfile.mkdtemp(prefix="gatewatch-shared-")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex}"
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
