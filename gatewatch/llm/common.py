@@ -32,7 +32,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local["):
+        if shared is None and context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gatewatch-checkpoint-"))
     return df.checkpoint()

@@ -113,10 +113,18 @@ def matcher(model: Model):
                 spared.append((start, end))
             elif weight > found.get(start, 0.0):
                 found[start] = weight
-        for lo, hi in spared:
-            for at in [s for s in found if lo <= s < hi]:
-                del found[at]
-        return found
+        if not spared or not found:
+            return found
+        # both in order of the text: one pass over the starts and the phrases' union
+        spared.sort()
+        kept, at, reach = {}, 0, -1
+        for start in sorted(found):
+            while at < len(spared) and spared[at][0] <= start:
+                reach = max(reach, spared[at][1])
+                at += 1
+            if start >= reach:
+                kept[start] = found[start]
+        return kept
 
     return match
 
@@ -258,9 +266,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score of every row of ``documents``, learnt from ``labels``."""
+    """Score of every row of ``documents``, learnt from ``labels``. A row with a
+    null id is neither learnt from nor held out."""
     docs = table(spark, sf_dir, "documents")
     scored = toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select(
-        F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score",
+        F.col("id").alias("doc_id"), F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -67,3 +67,39 @@ def test_drop_keeps_clean_rows(spark):
     kept = t.drop_toxic(docs, labels)
     assert kept.columns == docs.columns
     assert sorted(r.text for r in kept.collect()) == ["calm"] + ["calm words here"] * 100
+
+
+def test_matches_equal_brute_force():
+    """The automaton against a search for every entry at every place."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(300):
+        words = ["".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(12)]
+        entries = {e: rng.choice([1.0, 2.0, 3.0]) for w in rng.sample(words, 5) for e in rng.sample([f" {w} ", f" {w}"], 1)}
+        phrases = tuple({" ".join(rng.choices(words, k=rng.randint(1, 3))) for _ in range(rng.randint(0, 3))})
+        text = t.folder()(" ".join(rng.choices(words, k=rng.randint(0, 25))))
+        want = {}
+        for i in range(len(text)):
+            held = [w for e, w in entries.items() if text.startswith(e, i)]
+            spared = any(text.startswith(f" {p} ", j) and j <= i < j + len(p) + 1 for p in phrases for j in range(i + 1))
+            if held and not spared:
+                want[i] = max(held)
+        assert t.matcher(t.Model(entries, phrases))(text) == want
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    match = t.matcher(t.Model({" trash ": 2.0}, ("trash can",)))
+    text = t.folder()("trash can trash bag " * 50_000)  # 1 MB
+    t0 = time.time()
+    assert len(match(text)) == 50_000 and time.time() - t0 < 10
+
+
+def test_a_null_id_is_not_held_out(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "x"), (5, "y")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(5, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.doc_id: r.held_out for r in t.op10_toxicity(spark, str(tmp_path)).collect()}
+    assert got == {None: False, 5: zlib.crc32(b"5") % 5 == 0}
