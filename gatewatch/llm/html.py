@@ -4,10 +4,13 @@ A page is a sequence of words and tags. A word scores by the section it stands
 in (the nearest enclosing structural element with its classes), a tag by its
 name, both as log-odds learnt from labelled pages: pages that mark their article
 (``article`` or ``main``) label their own words. Words of sections never seen
-score +1, tags always score below zero. One linear scan finds the contiguous
-region with the largest sum. Inside it, sections that are boilerplate by element
-or class (menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments) or by a negative learnt score are left out.
+score +1, tags always score below zero, those between two words not below a bound
+in all. One linear scan finds the contiguous region with the largest sum. Inside it,
+sections that are boilerplate by element or class (menus, headers, footers,
+sidebars, notices, adverts, reader comments) or by a negative learnt score are left
+out. A form is boilerplate by what it holds, few words to a control; the header of
+an article is kept if it holds a heading and is not made of links; and a paragraph
+goes by its class only where the class can mean nothing else.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from .common import table, text_or_empty, with_id
 
 # Elements and the class or id words of what is not the article.
 RAW = ("script", "style", "title", "noscript", "template", "iframe", "textarea")
-BOILERPLATE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset", "label"}
+BOILERPLATE_TAGS = {"nav", "header", "footer", "aside", "menu", "dialog", "button", "head", "fieldset", "label"}
 BOILERPLATE_WORDS = {
     "ad", "ads", "adbox", "banner", "promo", "popup", "modal", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert",
     "menu", "nav", "navbar", "navigation", "topbar", "toolbar", "sidebar", "aside", "widget", "widgets", "related", "share", "sharing",
@@ -34,6 +37,8 @@ BOILERPLATE_WORDS = {
     "feedback", "copyright", "legal", "disclaimer", "skip", "tags", "paywall",
 }
 BOILERPLATE_STARTS = ("advert", "comment", "sponsor", "breadcrumb", "newsletter", "subscri", "sidebar", "cookie", "promo")
+# of these, what a class of a paragraph or of another small element says for sure
+SURE_WORDS = {"ad", "ads", "adbox", "banner", "promo", "popup", "modal", "cookie", "cookies", "consent", "gdpr", "sharing", "paywall", "pagination"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"}
 ARTICLE = {"article", "main"}
 # Elements that end a block of text, and of these the ones that hold sections.
@@ -44,8 +49,11 @@ BLOCKS = SECTIONS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd",
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 ENDS = {"p": BLOCKS - {"br"}, "li": {"li"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
-# Costs of a word that is left out anyway, and of a tag never seen in training.
-DROPPED, UNKNOWN_TAG = 0.1, 0.1
+# Costs of a word that is left out anyway, of a tag never seen in training, and what
+# all tags between two words cost at most.
+DROPPED, UNKNOWN_TAG, GAP = 0.1, 0.1, 5.0
+# Words that a form must hold for each of its controls not to be boilerplate.
+FORM_WORDS = 30
 
 # Raw elements without an end tag reach to the end of the page, as HTML reads them;
 # "/>" does not close them. A select also ends at a control that cannot stand in it.
@@ -77,7 +85,8 @@ def section_of(name: str, attrs: str) -> tuple[str, bool]:
             words += CLASS_WORD.findall(value)
     if name in ("html", "body"):
         return name, False
-    bad = role or name in BOILERPLATE_TAGS or any(w in BOILERPLATE_WORDS or w.startswith(BOILERPLATE_STARTS) for w in words)
+    listed = BOILERPLATE_WORDS if name in SECTIONS else SURE_WORDS
+    bad = role or name in BOILERPLATE_TAGS or (name != "form" and any(w in listed or w.startswith(BOILERPLATE_STARTS) for w in words))
     if name in ARTICLE:
         bad = any(w.startswith("comment") for w in words)
     return ".".join([name, *sorted(set(words))[:4]]), bad
@@ -101,14 +110,16 @@ def after_svg(page: str, at: int) -> int:
     return len(page)
 
 
-def events(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
-    """(kind, key, boilerplate, in article, text) of each tag and piece of text.
+def raw_events(page: str) -> Iterator[tuple[str, str, bool, bool, str, int]]:
+    """(kind, key, boilerplate, in article, text, holder) of each tag and piece of text.
 
-    Kinds: "text" (key: its section), "tag" (key: the name) and "block" (a tag
-    that ends a block). Unclosed elements end with their parent; an article
-    starts anew whatever was left open before it."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "page", False, False)]
-    at = 0
+    Kinds: "text" (key: its section), "link" (the same, inside a link), "tag" (key:
+    the name), "block" (a tag that ends a block), "control" and "open" (a form or an
+    article's header begins; holder: its number, key: the number around it). holder
+    is the innermost of these, 0 outside. Unclosed elements end with their parent;
+    an article starts anew whatever was left open before it."""
+    stack: list[tuple[str, str, bool, bool, int]] = [("", "page", False, False, 0)]
+    at, number, linked = 0, 0, False
     while at < len(page):
         m = TOKEN.match(page, at)
         at = m.end()
@@ -117,13 +128,17 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             continue
         text = m["text"]
         if text is not None:
-            _, key, bad, inside = stack[-1]
-            yield "text", key, bad, inside, text
+            _, key, bad, inside, holder = stack[-1]
+            yield "link" if linked else "text", key, bad, inside, text, holder
             continue
         name = m["name"]
         if name is None:
+            if (m["raw"] or "").lower() == "textarea":
+                yield "control", "", False, False, "", stack[-1][4]
             continue
         name = name.lower()
+        if name == "a":
+            linked = not m["end"]
         if m["end"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
@@ -131,44 +146,103 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                     break
                 if stack[i][0] in SECTIONS and name not in SECTIONS:
                     break
-        elif name not in VOID:
+        elif name in VOID:
+            if name == "input" and not HIDDEN.search(m["attrs"] or ""):
+                yield "control", "", False, False, "", stack[-1][4]
+        else:
             while len(stack) > 1 and name in ENDS.get(stack[-1][0], ()):
                 stack.pop()
             key, bad = section_of(name, m["attrs"] or "")
             if name in SECTIONS or bad:
-                _, _, was_bad, inside = stack[-1]
-                if name in ARTICLE:
-                    comments = any(b and k.partition(".")[2].find("comment") >= 0 for _, k, b, _ in stack)
-                    stack.append((name, key, bad or comments, not (bad or comments)))
+                _, _, was_bad, inside, holder = stack[-1]
+                if name == "form" or (name == "header" and inside and not was_bad):
+                    number += 1
+                    yield "open", str(holder), False, inside, name, number
+                    stack.append((name, key if not was_bad else stack[-1][1], was_bad, inside, number))
+                elif name in ARTICLE:
+                    comments = any(b and k.partition(".")[2].find("comment") >= 0 for _, k, b, _, _ in stack)
+                    stack.append((name, key, bad or comments, not (bad or comments), holder))
                 else:
-                    stack.append((name, key if not was_bad else stack[-1][1], bad or was_bad, inside))
-        yield "block" if name in BLOCKS else "tag", name, False, stack[-1][3], ""
+                    stack.append((name, key if not was_bad else stack[-1][1], bad or was_bad, inside, holder))
+        yield "block" if name in BLOCKS else "tag", name, False, stack[-1][3], "", stack[-1][4]
 
 
-def article_text(page: str, weights: dict[str, float]) -> str:
-    """The blocks of the best region, joined by a newline."""
+HIDDEN = re.compile(r"""\btype\s*=\s*["']?hidden""", re.I)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+
+def events(page: str) -> list[tuple[str, str, bool, bool, str]]:
+    """(kind, key, boilerplate, in article, text) of the texts and tags of a page,
+    after forms and articles' headers have been judged by what they hold."""
+    found = list(raw_events(page))
+    around: dict[int, int] = {}
+    name: dict[int, str] = {}
+    words, links, controls, headings = Counter(), Counter(), Counter(), Counter()
+    for kind, key, bad, _, text, holder in found:
+        if kind == "open":
+            around[holder], name[holder] = int(key), text
+        elif holder:
+            n = len(text.split()) if not bad else 0
+            while holder:
+                if kind in ("text", "link"):
+                    words[holder] += n
+                    links[holder] += n if kind == "link" else 0
+                elif kind == "control":
+                    controls[holder] += 1
+                elif key in HEADINGS:
+                    headings[holder] += 1
+                holder = around[holder]
+    spoilt = {0: False}
+    for k in sorted(name):  # the ones around come first
+        own = words[k] < FORM_WORDS * controls[k] if name[k] == "form" else not headings[k] or 2 * links[k] > words[k]
+        spoilt[k] = own or spoilt[around[k]]
+    return [("text" if kind == "link" else kind, key, bad or (kind in ("text", "link") and spoilt[holder]), inside and not spoilt[holder], text)
+            for kind, key, bad, inside, text, holder in found if kind not in ("open", "control")]
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """The contiguous range with the largest sum, of several the first to reach it
+    and the longest to the left; empty if no sum is above zero."""
     best = total = 0.0
     start = 0
     region = (0, 0)
-    pieces: list[tuple[str, str]] = []  # (section or tag, text); None: a block ends
+    for i, s in enumerate(scores):
+        total += s
+        if total > best:
+            best, region = total, (start, i + 1)
+        elif total < 0:
+            total, start = 0.0, i + 1
+    return region
+
+
+def scored(page: str, weights: dict[str, float]) -> tuple[list[tuple[str, str]], list[float]]:
+    """(kind, text) of the texts and tags of a page, and their scores."""
+    pieces: list[tuple[str, str]] = []
+    scores: list[float] = []
+    gap = 0.0  # what the tags since the last word have cost
     for kind, key, bad, _, text in events(page):
         if kind == "text":
             words = len(text.split())
             score = weights.get("w:" + key, 1.0)
             bad = bad or score < 0
             pieces.append(("bad" if bad else "text", text))
-            if words:
-                total += words * (-DROPPED if bad else score)
+            scores.append(words * (-DROPPED if bad else score))
+            gap = 0.0 if words else gap
         else:
+            cost = min(-weights.get("t:" + key, -UNKNOWN_TAG), GAP - gap)
+            gap += cost
             pieces.append((kind, ""))
-            total += weights.get("t:" + key, -UNKNOWN_TAG)
-        if total > best:
-            best, region = total, (start, len(pieces))
-        elif total < 0:
-            total, start = 0.0, len(pieces)
+            scores.append(-cost)
+    return pieces, scores
+
+
+def article_text(page: str, weights: dict[str, float]) -> str:
+    """The blocks of the best region, joined by a newline."""
+    pieces, scores = scored(page, weights)
+    lo, hi = best_region(scores)
     blocks: list[str] = []
     held: list[str] = []
-    for kind, text in [*pieces[region[0] : region[1]], ("block", "")]:
+    for kind, text in [*pieces[lo:hi], ("block", "")]:
         if kind == "text":
             held.append(text)
         elif kind == "block" and held:

@@ -72,3 +72,48 @@ def test_svg_without_end_before_another_svg():
 @pytest.mark.parametrize("mark", ["<script>", "<title/>", "<textarea>", "<iframe>", "<style >", "<select>", "<svg>", "<template/>"])
 def test_what_html_reads_to_the_end_stays_out(mark):
     assert h.article_text(f"<p>first words here</p>{mark}not <a>text</a> at all", {}) == "first words here"
+
+
+PARAGRAPHS = [f"paragraph {i} of the story goes on with some more words so that it counts as text" for i in range(6)]
+
+
+def test_a_form_around_the_page_is_not_boilerplate():
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f"""<body><form id="aspnetForm" method=post><input type="hidden" name="__VIEWSTATE" value="x"><div id="menu"><a href=/>Home</a></div>
+<div id="main-text">{body}</div><div class="search-box"><input name=q><button>Go</button></div></form></body>"""
+    assert h.article_text(page, {}) == "\n".join(PARAGRAPHS)
+    contact = f"<div><p>{PARAGRAPHS[0]}</p><form><p>Your name and address please</p><input name=a><textarea>x</textarea></form><p>{PARAGRAPHS[1]}</p></div>"
+    assert h.article_text(contact, {}) == "\n".join(PARAGRAPHS[:2])
+
+
+def test_the_header_of_an_article():
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f"<header><h1>Site name</h1></header><article><header><h1>The title</h1></header>{body}</article>"
+    assert h.article_text(page, {}) == "\n".join(["The title", *PARAGRAPHS])
+    linked = f"<article><header><h2><a href=/>Home</a> <a href=/n>News</a></h2></header>{body}</article>"
+    assert h.article_text(linked, {}) == "\n".join(PARAGRAPHS)
+
+
+def test_class_words_of_paragraphs():
+    page = f"""<article><p>{PARAGRAPHS[0]}</p><p class="legal">{PARAGRAPHS[1]}</p><p class="ad">Buy this now</p><p class="tags">{PARAGRAPHS[2]}</p>
+<div class="share">Share this</div></article>"""
+    assert h.article_text(page, {}) == "\n".join(PARAGRAPHS[:3])
+
+
+def test_an_empty_table_between_paragraphs():
+    table_ = "<table>" + "<tr><td></td><td></td></tr>" * 60 + "</table>"
+    assert h.article_text(f"<div><p>{PARAGRAPHS[0]}</p>{table_}<p>{PARAGRAPHS[1]}</p></div>", {}) == "\n".join(PARAGRAPHS[:2])
+    assert h.article_text(f"<div><p>{PARAGRAPHS[0]}</p>{table_}<p>{PARAGRAPHS[1]}</p></div>", {"t:td": -3.0, "t:tr": -3.0}) == "\n".join(PARAGRAPHS[:2])
+
+
+def test_the_region_has_the_largest_sum():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(500):
+        scores = [rng.choice([-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 4.0]) for _ in range(rng.randint(0, 25))]
+        lo, hi = h.best_region(scores)
+        sums = [sum(scores[a:b]) for a in range(len(scores) + 1) for b in range(a, len(scores) + 1)]
+        assert sum(scores[lo:hi]) == max(sums) and (max(sums) > 0 or lo == hi)
+    pieces, scores = h.scored("<p>a b c</p>" + "<hr>" * 100 + "<p>d</p><div class=ad>e f</div>", {})
+    assert len(pieces) == len(scores) and sum(scores) == pytest.approx(3 + 1 - 0.1 - h.GAP - 0.2 - 0.2 - 0.1)
