@@ -30,8 +30,8 @@ def test_equals_sql(spark, sf_small):
     assert same_rows(d.op3_benchmark_decontamination(spark, sf_small), d.OP3_SQL, sf_small) == 200
 
 
-@pytest.mark.parametrize("block_bytes", [64, 32 << 20])
-def test_small_cases_equal_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [64, 32 << 20])
+def test_small_cases_equal_brute_force(spark, broadcast_bytes):
     import random
     rng = random.Random(4)
     vocab = ["a", "b", "Cé", "d1"]
@@ -43,7 +43,7 @@ def test_small_cases_equal_brute_force(spark, block_bytes):
                                  "doc_id long, text string, spans string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {r.id: (r.n_words, sum(s.end - s.start for s in r.spans), sorted(r.items))
-           for r in d.contamination(docs, bench, block_bytes=block_bytes).collect()}
+           for r in d.contamination(docs, bench, broadcast_bytes=broadcast_bytes).collect()}
     assert got == {i: brute(t, items) for i, t in enumerate(texts)} | {None: brute("solo", items)}
 
 
@@ -64,16 +64,32 @@ def test_drop_keeps_clean_rows_and_columns(spark):
     assert kept.count() == 3
 
 
-def test_repeated_items_do_not_gather_in_one_block(spark, monkeypatch):
-    text, sizes, hits = "one two three four five six seven eight nine ten eleven", [], d.hits
-
-    def seen(docs, items, window):
-        sizes.append(sum(len(t) for _, t in items))
-        return hits(docs, items, window)
-
-    monkeypatch.setattr(d, "hits", seen)
+def test_repeated_items_count_once(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    once = spark.createDataFrame([(1, text), (2, "solo words here")], "item_id long, text string")
     bench = spark.createDataFrame([(1, text)] * 60 + [(2, "solo words here")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "0 " + text), (2, "clean")], "doc_id long, text string")
-    got = {r.id: (len(r.spans), r.items) for r in d.contamination(docs, bench, block_bytes=4 * len(text)).collect()}
-    assert got == {1: (1, ["1"]), 2: (0, [])}
-    assert max(sizes) <= 4 * len(text)
+    for n in (0, 32 << 20):
+        got = {r.id: (len(r.spans), r.items) for r in d.contamination(docs, bench, broadcast_bytes=n).collect()}
+        assert got == {1: (1, ["1"]), 2: (0, [])}
+    size = lambda b: d.benchmark_tables(b, 10, "item_id", "text")[3]
+    assert size(bench) == size(once) > 0
+
+
+def test_joins_equal_the_broadcast_form(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, bench = d.table(spark, sf, "documents"), d.table(spark, sf, "benchmark")
+    rows = lambda n: sorted(d.contamination(docs, bench, broadcast_bytes=n).collect(), key=lambda r: r.id)
+    assert rows(0) == rows(32 << 20)
+    kept = lambda n: sorted(d.drop_contaminated(docs, bench, broadcast_bytes=n).collect(), key=lambda r: r.doc_id)
+    assert kept(0) == kept(32 << 20) and 0 < len(kept(0)) < docs.count()
+
+
+def test_a_passage_that_all_items_and_documents_share(spark):
+    """Set sizes multiply only in the result."""
+    shared = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"intro {i} {shared} end {i}") for i in range(300)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"{shared} item {i}") for i in range(50)], "item_id long, text string")
+    for n in (0, 32 << 20):
+        got = d.contamination(docs, bench, broadcast_bytes=n).collect()
+        assert len(got) == 300 and all([(s.start, s.end) for s in r.spans] == [(2, 42)] and len(r.items) == 50 for r in got)
