@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, checkpointed, components, forest, mix, table
+from .common import BASE, checkpointed, components, forest, mix, table, worker_cache
 
 
 # The least chance of a table to find a pair at the threshold.
@@ -61,7 +61,15 @@ def decode_e8(x: np.ndarray) -> np.ndarray:
 
 
 def projections(dim: int, tables: int, seed: int = 17) -> np.ndarray:
-    """(tables, dim, 8) with orthonormal columns (padded where dim is under 8)."""
+    """(tables, dim, 8) with orthonormal columns (padded where dim is under 8);
+    made once in a worker."""
+    made = worker_cache().setdefault("projections", {})
+    if (dim, tables, seed) not in made:
+        made[dim, tables, seed] = _projections(dim, tables, seed)
+    return made[dim, tables, seed]
+
+
+def _projections(dim: int, tables: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed + dim)
     return np.stack([np.linalg.qr(rng.standard_normal((max(dim, 8), 8)))[0][:dim] for _ in range(tables)])
 

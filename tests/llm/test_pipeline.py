@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline as cp
 import numpy as np
 from pyspark.sql import functions as F
@@ -64,6 +66,7 @@ def test_stages_equal_brute_force(spark):
     whole = cp.run(spark, SF)
     assert whole.select("doc_id", "piece", "ids_crc32").exceptAll(packed.select("doc_id", "piece", "ids_crc32")).count() == 0
     assert whole.count() == packed.count()
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in whole.collect())
     lengths = np.array([r.length for r in packed.collect()])
     assert n <= packing.lower_bound(lengths, 2048) + 1
 
