@@ -40,8 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents, packed into sequences of 2048 ids."""
-    return pack_documents(docs).withColumnRenamed("id", "doc_id")
+    """Token pieces of the documents with their ids, packed into sequences of 2048 ids."""
+    return pack_documents(docs, with_ids=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
