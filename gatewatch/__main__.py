@@ -3,8 +3,9 @@
   check-csv  DATA_DIR [--out PATH]            contract check of the source CSV files;
                                               all violations as JSON lines below PATH
   publish    DATA_DIR OUT --env E --run-id R  CSV rows -> JSON-lines envelopes
-  ingest     IN LANDING --checkpoint C --env E
-                                              envelopes -> landed Parquet (bounded stream)
+  ingest     IN LANDING --checkpoint C --env E [--max-messages N]
+                                              envelopes -> landed Parquet; a run pulls at most
+                                              N messages (50,000; 0: all that is there)
   run        LANDING --output-root O --run-id R [--tables a,b] [--dry-run] [--format F]
                                               detections -> finding tables
 """
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("landing")
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--env", default="dev")
+    ing.add_argument("--max-messages", type=int, default=50_000)
 
     r = sub.add_parser("run")
     r.add_argument("landing")
@@ -94,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "ingest":
         from gatewatch.streaming.ingest import ingest_stream
 
-        ingest_stream(spark, a.envelopes, a.landing, a.checkpoint, a.env).awaitTermination()
+        ingest_stream(spark, a.envelopes, a.landing, a.checkpoint, a.env, max_messages=a.max_messages or None).awaitTermination()
         return 0
 
     from gatewatch.plans.runner import run

@@ -44,11 +44,11 @@ def read_envelopes(spark: SparkSession, path: str, *, max_files_per_trigger: int
 
 def pull_envelopes(spark: SparkSession, path: str, log: str, max_messages: int = 50_000) -> DataFrame:
     """The envelopes of a queue folder, at most `max_messages` a trigger, with
-    `_delivery`, their order of delivery: pull, file, place in the file. A line
+    `_delivery`, their order of delivery: pull, range of the pull, byte. A line
     that is no JSON object is an envelope of nulls."""
     spark.dataSource.register(EnvelopeQueue)
     lines = spark.readStream.format("envelope_queue").options(path=path, log=log, max_messages=max_messages).load()
-    return lines.select(F.from_json("line", ENVELOPE_SCHEMA).alias("e"), F.struct("pull", "file", "at").alias("_delivery")).select(
+    return lines.select(F.from_json("line", ENVELOPE_SCHEMA).alias("e"), F.struct("pull", "part", "at").alias("_delivery")).select(
         *[F.col(f"e.{c}").alias(c) for c in ENVELOPE_COLUMNS], "_delivery")
 
 

@@ -5,8 +5,9 @@ pull of at most `max_messages` messages that no earlier pull holds: byte ranges
 files, written to `log` as `pull-<n>.json` before the offset `{"pull": n}` goes to
 Spark. The stream's checkpoint says which pulls have landed; a crash between landing
 and commit replays the same pull from its log, however the folder has changed. Files
-are taken in order of their names, a file with an older name is not missed, and a
-file must be complete when it appears (as Spark writes it).
+are taken in order of their times, then names; one with an older time is not missed;
+a file must be complete when it appears (as Spark writes it). Every line comes with
+its place in the order of delivery: pull, range of the pull, byte.
 
 Options: `path`, `log`, `max_messages` (50,000), `split_messages` (5,000, messages of
 one task), `acknowledge` (`keep`, or `delete`: files go when all their messages have
@@ -25,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
-SCHEMA = "line string, pull long, file string, at long"
+SCHEMA = "line string, pull long, part int, at long"
 BLOCK = 4 << 20
 
 
@@ -38,6 +39,7 @@ class Range(InputPartition):
     """Some messages of one file, by bytes."""
 
     pull: int
+    part: int
     file: str
     start: int
     end: int
@@ -77,7 +79,7 @@ class QueueReader(DataSourceStreamReader):
         """Ranges of the next messages, and up to where every file is then taken."""
         fs, root = file_system(self.path)
         files = sorted((f for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-                        if f.type == pafs.FileType.File and not f.base_name.startswith(("_", "."))), key=lambda f: f.base_name)
+                        if f.type == pafs.FileType.File and not f.base_name.startswith(("_", "."))), key=lambda f: (f.mtime_ns or 0, f.base_name))
         ranges: list[list] = []
         after = {f.base_name: taken[f.base_name] for f in files if f.base_name in taken}  # deleted files are forgotten
         left = self.max_messages
@@ -131,7 +133,7 @@ class QueueReader(DataSourceStreamReader):
         return {"pull": last}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [Range(n, *r) for n in range(start["pull"] + 1, end["pull"] + 1) for r in self._load(n)["ranges"]]
+        return [Range(n, k, *r) for n in range(start["pull"] + 1, end["pull"] + 1) for k, r in enumerate(self._load(n)["ranges"])]
 
     def read(self, partition: Range) -> Iterator[tuple]:
         fs, root = file_system(self.path)
@@ -145,7 +147,7 @@ class QueueReader(DataSourceStreamReader):
                 rest = lines.pop() if at < partition.end else b""
                 for line in lines:
                     if line.strip():
-                        yield line.decode("utf-8", "replace").rstrip("\r"), partition.pull, partition.file, begin
+                        yield line.decode("utf-8", "replace").rstrip("\r"), partition.pull, partition.part, begin
                     begin += len(line) + 1
 
     def commit(self, end: dict) -> None:

@@ -359,6 +359,10 @@ def test_command_line_checks_publishes_and_ingests(spark, tmp_path, capsys):
     assert said()[-1]["okta"] == 60
     assert main(["ingest", str(tmp_path / "env"), str(tmp_path / "land"), "--checkpoint", str(tmp_path / "ck")]) == 0
     assert load_source(spark, str(tmp_path / "land"), "okta").count() == 60
+    args = ["ingest", str(tmp_path / "env"), str(tmp_path / "land2"), "--checkpoint", str(tmp_path / "ck2"), "--max-messages"]
+    assert main([*args, "25"]) == 0
+    rows = lambda: spark.read.option("recursiveFileLookup", True).schema("_pubsub_message_id string").parquet(str(tmp_path / "land2")).count()
+    assert 0 < rows() <= 25
     with open(data / SOURCE_FILES["okta"], "a") as f:
         f.write("too,few\n" * 70)
     assert main(["check-csv", str(data), "--out", str(tmp_path / "bad")]) == 1

@@ -249,6 +249,8 @@ def _queue(spark, rows, run):
 
 
 def test_a_run_stops_at_the_message_bound_and_a_crash_replays(spark, monkeypatch):
+    import os
+
     from gatewatch.streaming import ingest
 
     root, lines = _queue(spark, [(f"u{i}", "1", f"Zürich {i}") for i in range(120)], "r1")
@@ -263,7 +265,8 @@ def test_a_run_stops_at_the_message_bound_and_a_crash_replays(spark, monkeypatch
         return spark.read.option("recursiveFileLookup", True).parquet(f"{landing}/hrlifecycle")
 
     assert run().count() == 50
-    Path(f"{root}/in/a.json").write_text("\n".join([*lines[90:], "no json"]) + "\n")  # an older name is not missed
+    Path(f"{root}/in/a.json").write_text("\n".join([*lines[90:], "no json"]) + "\n")
+    os.utime(f"{root}/in/a.json", (1_000_000_000, 1_000_000_000))  # a file with an older time is not missed
     real = ingest.land
 
     def land_and_fail(by_source, to):
@@ -286,6 +289,19 @@ def test_a_run_stops_at_the_message_bound_and_a_crash_replays(spark, monkeypatch
     assert spark.read.parquet(f"{landing}/_rejects").count() >= 1
 
 
+def test_the_last_delivery_of_a_pull_wins(spark):
+    import os
+
+    root, old = _queue(spark, [("u", "1", "old")], "r1")
+    _, new = _queue(spark, [("u", "1", "new")], "r1")
+    Path(f"{root}/in").mkdir()
+    for name, line, at in (("z", old[0], 100), ("a", new[0], 200)):
+        Path(f"{root}/in/{name}.json").write_text(line)
+        os.utime(f"{root}/in/{name}.json", (at, at))
+    ingest_stream(spark, f"{root}/in", f"{root}/land", f"{root}/ckpt", "dev", max_messages=50).awaitTermination()
+    assert [r["location"] for r in load_source(spark, f"{root}/land", "hrlifecycle").collect()] == ["new"]
+
+
 def test_queue_source_plans_and_acknowledges(tmp_path):
     from gatewatch.streaming.message_source import QueueReader
 
@@ -300,7 +316,7 @@ def test_queue_source_plans_and_acknowledges(tmp_path):
     lines = lambda a, b: [[r[0] for r in reader().read(p)] for p in reader().partitions({"pull": a}, {"pull": b})]
     assert lines(0, 1) == [['{"n": 0}', '{"n": 1}', '{"n": 2}'], ['{"n": 3}']]
     assert lines(1, 2) == [['{"n": 4}', '{"n": 5}', '{"n": 6}'], ["é"]] and lines(2, 3) == [["last"]]
-    places = [r[2:] for p in reader().partitions({"pull": 0}, {"pull": 3}) for r in reader().read(p)]
+    places = [r[1:] for p in reader().partitions({"pull": 0}, {"pull": 3}) for r in reader().read(p)]
     assert places == sorted(places) and len(set(places)) == 9
     reader(acknowledge="delete").commit({"pull": 2})
     assert sorted(f.name for f in (tmp_path / "q").iterdir()) == ["2.json"]
