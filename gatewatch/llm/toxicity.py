@@ -188,46 +188,63 @@ def learn_weights(rows: DataFrame, min_toxic: int = 3, size: int = 5000) -> dict
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000,
-        exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+        exceptions: tuple[str, ...] = EXCEPTIONS, max_phrases: int = 5000) -> Model:
     """The model of at most about ``max_rows`` labelled rows. Without rows of
     both labels it has no lexicon, and its score is near 0 (or near 1 if all
     rows are toxic) for every text."""
     rows = labelled(docs, labels, id_col, text_col, max_rows)
     model = Model(learn_weights(rows), ())
-    schema = "toxic int, n_words long, hits array<struct<weight:double,left:string,right:string>>"
+    if not model.weights:
+        learned: set[str] = set()
+    else:
+        by_label = phrases_beside_hits(rows, model).where("clean >= 8 and clean >= 8 * (toxic + 1)")
+        learned = {r.phrase for r in by_label.orderBy(F.desc("clean"), "phrase").limit(max_phrases).collect()}
+    model.exceptions = tuple(sorted(learned | set(exceptions)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold, match = folder(), matcher(model)
         for batch in batches:
-            out = []
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                plain, hits = fold(text), []
-                for start, weight in match(plain).items():
-                    end = plain.index(" ", start + 1)
-                    before = plain[plain.rfind(" ", 0, start) + 1 : end] if start else ""
-                    after = plain[start + 1 : plain.find(" ", end + 1)] if end + 1 < len(plain) else ""
-                    hits.append({"weight": weight, "left": before, "right": after})
-                out.append({"toxic": min(toxic, 1), "n_words": plain.count(" ") - 1, "hits": hits})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("toxic", pa.int32()), ("n_words", pa.int64()),
-                ("hits", pa.list_(pa.struct([("weight", pa.float64()), ("left", pa.string()), ("right", pa.string())])))]))
-
-    seen = rows.select("text", "toxic").mapInArrow(work, schema).collect()  # at most about max_rows
+            plain = [fold(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array([p.count(" ") - 1 for p in plain], pa.int64()), pa.array([sum(match(p).values()) for p in plain], pa.float64())],
+                names=["toxic", "n_words", "total"])
+
+    seen = rows.select("text", "toxic").mapInArrow(work, "toxic int, n_words long, total double").collect()  # three numbers a row
     if not seen:
         return model
-    by_label = [Counter(), Counter()]
-    for r in seen:
-        by_label[r.toxic].update({p for h in r.hits for p in (h.left, h.right) if p})
-    learned = {p for p, n in by_label[0].items() if n >= 8 and n >= 8 * (by_label[1][p] + 1)}
-    model.exceptions = tuple(sorted(learned | set(exceptions)))
-    spared = set(model.exceptions)
-    total = np.array([sum(h.weight for h in r.hits if h.left not in spared and h.right not in spared) for r in seen])
+    total = np.array([r.total for r in seen])
     words = np.array([max(r.n_words, 1) for r in seen], float)
-    label = np.array([r.toxic for r in seen], float)
+    label = np.array([min(r.toxic, 1) for r in seen], float)
     model.curve = logistic(np.stack([np.ones(len(seen)), np.log1p(total), np.log(FLOOR + 100 * total / words)], 1), label)
     return model
 
 
+def phrases_beside_hits(rows: DataFrame, model: Model) -> DataFrame:
+    """(phrase, clean, toxic): how many rows of either label hold a hit with the
+    word before or after it."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, match = folder(), matcher(model)
+        counts: list[Counter] = [Counter(), Counter()]
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                plain, held = fold(text), set()
+                for start in match(plain):
+                    end = plain.index(" ", start + 1)
+                    if start:
+                        held.add(plain[plain.rfind(" ", 0, start) + 1 : end])
+                    if end + 1 < len(plain):
+                        held.add(plain[start + 1 : plain.find(" ", end + 1)])
+                counts[min(toxic, 1)].update(held)
+        names = list(counts[0].keys() | counts[1].keys())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array([counts[0][p] for p in names], pa.int64()), pa.array([counts[1][p] for p in names], pa.int64())],
+            names=["phrase", "clean", "toxic"])
+
+    return rows.select("text", "toxic").mapInArrow(work, "phrase string, clean long, toxic long").groupBy("phrase").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, ...]:
     """Ridge logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
