@@ -43,6 +43,7 @@ from .suffixes import RangeMinimum, common_prefixes, suffix_array
 ANCHOR, EVERY = 8, 32
 SECOND = 0xC2B2AE3D27D4EB4F  # the base of the second hash
 CHUNK = 1 << 20
+SALTS = 16
 
 
 class Rolling:
@@ -382,7 +383,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("sha", F.sha2("text", 256))
     cid = F.unhex(F.substring("sha", 1, 32)).alias("cid")
-    rows = checkpointed(base.select("id", "sha", F.octet_length("text").cast("long").alias("n_bytes")))
+    # the salt spreads the copies of one text over tasks of the join below
+    rows = checkpointed(base.select("id", "sha", F.octet_length("text").cast("long").alias("n_bytes"),
+                                    F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")))
     texts = base.where(F.octet_length("text") >= span).select(cid, "text")
     # a key is worth moving if two different places have it
     place = F.xxhash64("cid", "lo")
@@ -429,13 +432,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ranges = ranges.unionByName(r)
     solved = remaining(joined.select("cid", "text"), ranges)
     copies = rows.where(F.col("n_bytes") >= span).groupBy("sha").agg(F.count("*").alias("copies")).where("copies > 1")
-    marked = rows.join(copies, "sha", "left").withColumn("cid", F.unhex(F.substring("sha", 1, 32)))
-    gone, nothing = F.col("copies").isNotNull(), F.lit(0).cast("long")
-    return marked.join(solved, "cid", "left").select(
-        "id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", nothing)).alias("n_removed"),
-        F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", nothing)).alias("n_spans"),
-        F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
-        F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+    copies = copies.select("sha", "copies", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    marked = rows.join(copies, ["sha", "salt"], "left").withColumn("cid", F.unhex(F.substring("sha", 1, 32)))
+    columns = ["id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
+    nothing = F.lit(0).cast("long")
+    # of copies all bytes go, short texts stay; other texts stand once, so their join by text is even
+    gone = marked.where(F.col("copies").isNotNull()).select(
+        "id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"),
+        F.sha2(F.lit(b""), 256).alias("kept_sha256"))
+    short = marked.where(F.col("n_bytes") < span).select(
+        "id", "n_bytes", nothing.alias("n_removed"), nothing.alias("n_spans"), F.lit(None).cast("binary").alias("kept"), F.col("sha").alias("kept_sha256"))
+    single = marked.where(F.col("copies").isNull() & (F.col("n_bytes") >= span)).join(solved, "cid", "left").select(
+        "id", "n_bytes", F.coalesce("n_removed", nothing).alias("n_removed"), F.coalesce("n_spans", nothing).alias("n_spans"), "kept",
+        F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+    return gone.select(*columns).unionByName(short.select(*columns)).unionByName(single.select(*columns))
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
