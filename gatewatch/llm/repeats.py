@@ -29,7 +29,6 @@ equal and nothing is left to compare. Only texts with such keys are read again.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
