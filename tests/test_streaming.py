@@ -18,6 +18,15 @@ from gatewatch.streaming.ingest import ingest_stream, write_envelopes
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _few_state_partitions(spark):
+    """Every micro-batch opens a state store and a worker per partition."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def staged(spark):
     if not Path(SF).exists():
