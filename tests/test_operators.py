@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gatewatch.operators.dedup import latest_by_key
 from gatewatch.operators.joins import interval_join, with_evidence, without_evidence
-from gatewatch.operators.scan import asof_join, neighbors, number_bucket, time_bucket
+from gatewatch.operators.scan import asof_join, neighbors, number_bucket, offsets, time_bucket
+from gatewatch.operators.scoring import union_all
 from gatewatch.operators.sequence import match_sequence
 from gatewatch.operators.aggregates import rolling_baseline
 
@@ -154,3 +156,27 @@ def test_without_evidence_split_null_keys_same_rows(spark):
     split = without_evidence(acts, ev, on, split_null_keys=True)
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
     assert plain.count() == 3
+
+
+def test_offsets_equal_plain_windows(spark):
+    """Any offsets, over chunks of any size: one row, many rows, none; null keys and times."""
+    rng = random.Random(12)
+    rows = [(rng.choice([None, "a", "b", "c", f"solo{i}"]), rng.choice([None, rng.randint(0, 40), rng.randint(0, 4000)]), i, f"v{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v string")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    for width in (1, 10, 100_000):
+        got = offsets(df, ["k"], [F.col("t"), F.col("id")], F.col("v"), bucket=number_bucket(F.col("t"), width),
+                      before=["p1", "p2", "p3"], after=["n1", "n2"])
+        exp = df.select("*", *[F.lag("v", i).over(w).alias(f"p{i}") for i in (1, 2, 3)], *[F.lead("v", i).over(w).alias(f"n{i}") for i in (1, 2)])
+        assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str), width
+
+
+def test_union_widens_types_and_fills_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "n int, a string")
+    b = spark.createDataFrame([(1.5, "y")], "n double, b string")
+    got = union_all([a, b])
+    assert got.columns == ["n", "a", "b"] and sorted(map(tuple, got.collect()), key=str) == [(1.0, "x", None), (1.5, None, "y")]
+    long = spark.createDataFrame([(2**40, "z")], "n long, a string")
+    assert sorted(r["n"] for r in union_all([a, long]).collect()) == [1, 2**40]
+    with pytest.raises(ValueError):
+        union_all([])
