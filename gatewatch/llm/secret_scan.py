@@ -123,7 +123,8 @@ def tail(x: np.ndarray, mean: np.ndarray, above: bool) -> np.ndarray:
     return np.where(far, np.exp(np.minimum(0.0, x - mean - x * np.log(np.maximum(x, 1e-300) / mean))), 1.0)
 
 
-erfc = np.vectorize(math.erfc, otypes=[float])
+def erfc(x: np.ndarray) -> np.ndarray:
+    return np.vectorize(math.erfc, otypes=[float])(x)
 
 
 def p_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
