@@ -95,3 +95,15 @@ def test_long_and_empty(spark):
     got = {r.id: (r.n_removed, r.n_spans) for r in rep.remove_repeats(docs).collect()}
     assert got == {1: (200_000, 1), 2: (0, 0), 3: (0, 0)}
     assert rep.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_near_copies_take_few_rounds(spark, monkeypatch):
+    rng = random.Random(5)
+    base = "".join(rng.choices("abcdefghij ", k=1000))
+    texts = [base[:i] + "#" + base[i + 1:] for i in range(3, 1000, 12)] + [base]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    written = []
+    monkeypatch.setattr(rep, "checkpointed", lambda df, own=rep.checkpointed: written.append(1) or own(df))
+    got = rows(rep.remove_repeats(docs, max_segments=2))
+    assert got == sorted((i, *w) for i, w in enumerate(brute([t.encode() for t in texts], 400)))
+    assert len(written) <= 12
